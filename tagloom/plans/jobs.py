@@ -1,0 +1,60 @@
+"""Tag jobs: from a source description to a new profile version."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tagloom.operators.match import match_column, match_many, tag_list
+from tagloom.operators.stats import rule_band
+from tagloom.sinks.writers import write_merged_profile
+from tagloom.sources.readers import read_source
+from tagloom.specs import Rule, SourceSpec
+
+
+@dataclass(frozen=True)
+class TagJob:
+    """One level-4 tag over a user table: the column, its rules, how they apply."""
+
+    name: str
+    column: str
+    rules: tuple[Rule, ...]
+    kind: str = "match"
+
+    def tag(self) -> Column:
+        value = F.col(self.column)
+        if self.kind == "match":
+            return match_column(value.cast("string"), self.rules)
+        if self.kind == "range":
+            return rule_band(value.try_cast("double"), self.rules)
+        raise ValueError(f"unknown kind of tag job: {self.kind!r}")
+
+
+def run_wide(users: DataFrame, key: str, jobs: Sequence[TagJob]) -> DataFrame:
+    """All jobs over one scan, one column per tag."""
+    return match_many(users, key, {j.name: j.tag() for j in jobs})
+
+
+def run_pairs(users: DataFrame, key: str, jobs: Sequence[TagJob], also: Mapping[str, Column] | None = None) -> DataFrame:
+    """All jobs over one scan as ``(user_id, tag_id)`` rows."""
+    columns = [j.tag() for j in jobs] + list((also or {}).values())
+    return users.select(F.col(key).alias("user_id"), F.explode(tag_list(columns)).alias("tag_id"))
+
+
+def run_profile(users: DataFrame, key: str, jobs: Sequence[TagJob], also: Mapping[str, Column] | None = None) -> DataFrame:
+    """All jobs over one scan as profile rows, without a shuffle; the key is unique."""
+    columns = [j.tag() for j in jobs] + list((also or {}).values())
+    return users.select(
+        F.col(key).alias("user_id"), F.array_sort(F.array_distinct(tag_list(columns))).alias("tag_ids")
+    )
+
+
+def tag_source(
+    spark: SparkSession, spec: SourceSpec, key: str, jobs: Sequence[TagJob], root: str, version: int, base: int | None = None
+) -> str:
+    """Read a source, tag it and merge the result into the next profile version."""
+    pairs = run_pairs(read_source(spark, spec), key, jobs)
+    return write_merged_profile(pairs.withColumn("user_id", F.col("user_id").try_cast("bigint")), root, version, base)
