@@ -16,7 +16,7 @@ from tagloom.functions.columns import units
 from tagloom.operators.match import match_column
 from tagloom.operators.stats import age_band_column, rule_band
 from tagloom.plans.jobs import TagJob
-from tagloom.session import tune
+from tagloom.session import small_table, tune
 from tagloom.specs import Rule
 
 AS_OF_ORDERS = "2001-08-10"
@@ -191,8 +191,8 @@ def tree_rows() -> list[tuple]:
 
 def tags(spark: SparkSession, sf: str) -> DataFrame:
     """The tag tree: the seeded part and one tag per product below "purchased goods"."""
-    seeded = tune(spark).createDataFrame(
-        tree_rows(), "id bigint, name string, level int, pid bigint, `order` int, state int"
+    seeded = small_table(
+        tune(spark), tree_rows(), "id bigint, name string, level int, pid bigint, `order` int, state int"
     )
     p = F.col("p_partkey")
     product = table(spark, sf, "part").select(

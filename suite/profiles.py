@@ -10,6 +10,7 @@ from tagloom import seeds
 from tagloom.functions.columns import mask, mask_name
 from tagloom.operators import composite, match, profile, search, stats
 from tagloom.plans.jobs import run_pairs
+from tagloom.session import small_table
 
 QUERIES: dict[str, tuple] = {}
 
@@ -41,7 +42,7 @@ def sql_text(pairs: str) -> str:
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Match job tags, merge them into an empty profile, count users per tag."""
     tagged = match.match_tag(b.users(spark, sf), "id", "job", seeds.JOB)
-    empty = spark.createDataFrame([], "user_id bigint, tag_ids array<bigint>")
+    empty = small_table(spark, [], "user_id bigint, tag_ids array<bigint>")
     merged = profile.merge_profile(empty, tagged.withColumnRenamed("id", "user_id"))
     return search.tag_user_count(merged)
 
@@ -85,13 +86,13 @@ def merge_profile(spark: SparkSession, sf: str) -> DataFrame:
         SELECT coalesce(o.user_id, n.user_id) AS user_id, list_concat(CASE WHEN n.tag_id IS NULL THEN coalesce(o.tags, [])
           ELSE list_filter(coalesce(o.tags, []), lambda x: x NOT IN (50, 51)) END,
           CASE WHEN n.tag_id IS NULL THEN [] ELSE [n.tag_id] END) AS tags FROM {_OLD} o FULL JOIN
-          (SELECT id AS user_id, 50 + id % 2 * 1 AS tag_id FROM u WHERE id % 2 = 0) n ON o.user_id = n.user_id)"""
+          (SELECT id AS user_id, 50 + id % 4 // 2 AS tag_id FROM u WHERE id % 2 = 0) n ON o.user_id = n.user_id)"""
     ),
 )
 def replace_siblings(spark: SparkSession, sf: str) -> DataFrame:
-    """Every second member gets gender tag 50; an old 51 has to go."""
+    """Every second member gets a gender tag anew; the old one has to go."""
     users = b.users(spark, sf).where(F.col("id") % 2 == 0)
-    new = users.select(F.col("id").alias("user_id"), F.lit(50).cast("bigint").alias("tag_id"))
+    new = users.select(F.col("id").alias("user_id"), (F.col("id") % 4 / 2 + 50).cast("bigint").alias("tag_id"))
     parents = b.tags(spark, sf).where("level = 5").select(F.col("id").alias("tag_id"), F.col("pid").alias("parent_id"))
     merged = profile.replace_siblings(_old(spark, sf), new, parents)
     return as_text(merged.withColumn("tag_ids", F.array_sort("tag_ids")))

@@ -271,16 +271,20 @@ def _scored_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return ml.assemble(rfm_scored(spark, sf), _SCORES)
 
 
+def _scored_points(spark: SparkSession, sf: str) -> DataFrame:
+    """At most 125 score triples with the number of users of each."""
+    return ml.assemble(ml.compress(rfm_scored(spark, sf), _SCORES), _SCORES)
+
+
 @query("A12_kmeans")
 def kmeans(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _scored_vectors(spark, sf)
-    model = ml.kmeans_fit(rows, len(seeds.SPENDING))
-    return model.transform(rows).groupBy("prediction").agg(F.count("*").alias("users"))
+    model = ml.kmeans_fit(_scored_points(spark, sf), len(seeds.SPENDING), weight="weight")
+    return model.transform(_scored_vectors(spark, sf)).groupBy("prediction").agg(F.count("*").alias("users"))
 
 
 @query("A13_kmeans_sweep")
 def kmeans_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    return ml.kmeans_sweep(_scored_vectors(spark, sf), range(2, 11))
+    return ml.kmeans_sweep(_scored_points(spark, sf), range(2, 11), weight="weight")
 
 
 def _centers(spark: SparkSession, sf: str) -> DataFrame:
@@ -316,8 +320,8 @@ def cluster_to_tag(spark: SparkSession, sf: str) -> DataFrame:
 @query("A15_cluster_tags")
 def cluster_tags(spark: SparkSession, sf: str) -> DataFrame:
     """Train, rank and tag: the spending band of every scored user."""
-    rows = _scored_vectors(spark, sf)
-    return ml.cluster_tags(rows, "member_id", ml.kmeans_fit(rows, len(seeds.SPENDING)), seeds.SPENDING)
+    model = ml.kmeans_fit(_scored_points(spark, sf), len(seeds.SPENDING), weight="weight")
+    return ml.cluster_tags(_scored_vectors(spark, sf), "member_id", model, seeds.SPENDING)
 
 
 @query(
@@ -401,33 +405,41 @@ def shop_features(spark: SparkSession, sf: str) -> DataFrame:
     return _shop(spark, sf)
 
 
-def _shop_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return ml.assemble(_shop(spark, sf), ["colour_code", "type_code"])
+_CODES = ["colour_code", "type_code"]
+
+
+def _shop_parts(spark: SparkSession, sf: str, shares: list[float]) -> list[DataFrame]:
+    """Train and test points: distinct codes with label and count. Both splits are
+    counted in one pass over the goods."""
+    train, test = ml.split(_shop(spark, sf), shares, "order_sn")
+    return [ml.assemble(ml.compress(d, ["label", *_CODES]), _CODES) for d in (train, test)]
 
 
 @query("A21_decision_tree")
 def decision_tree(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = ml.split(_shop_vectors(spark, sf), [0.7, 0.3], "order_sn")
-    model = ml.decision_tree_fit(train)
-    return model.transform(test).groupBy("label", "predicted_label").agg(F.count("*").alias("n"))
+    train, test = _shop_parts(spark, sf, [0.7, 0.3])
+    model = ml.decision_tree_fit(train, weight="weight")
+    return model.transform(test).groupBy("label", "predicted_label").agg(F.sum("weight").cast("bigint").alias("n"))
 
 
 @query("A22_evaluate")
 def evaluate(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = ml.split(_shop_vectors(spark, sf), [0.7, 0.3], "order_sn")
-    model = ml.decision_tree_fit(train)
-    named = [("train", train), ("test", test)]
-    parts = [ml.evaluate(model.transform(d)).withColumn("part", F.lit(n)) for n, d in named]
+    train, test = _shop_parts(spark, sf, [0.7, 0.3])
+    model = ml.decision_tree_fit(train, weight="weight")
+    parts = [
+        ml.evaluate(model.transform(d), weight="weight").withColumn("part", F.lit(n))
+        for n, d in (("train", train), ("test", test))
+    ]
     return parts[0].unionByName(parts[1])
 
 
 @query("A22_shop_gender_job")
 def shop_gender(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job: no tags unless both splits are predicted well enough."""
-    rows = _shop_vectors(spark, sf)
-    train, test = ml.split(rows, [0.7, 0.3], "order_sn")
-    model = ml.decision_tree_fit(train)
-    accuracy = [ml.evaluate(model.transform(d), auc=False).first()["accuracy"] for d in (train, test)]
+    parts = _shop_parts(spark, sf, [0.7, 0.3])
+    model = ml.decision_tree_fit(parts[0], weight="weight")
+    accuracy = [ml.evaluate(model.transform(d), auc=False, weight="weight").first()["accuracy"] for d in parts]
+    rows = ml.assemble(_shop(spark, sf), _CODES)
     predicted = model.transform(rows).withColumn("predicted", F.col("predicted_label").cast("double"))
     votes = score.shop_gender_vote(predicted, "member_id", "predicted", seeds.SHOP_GENDER)
     return votes if min(accuracy) > 0.8 else votes.limit(0)
@@ -447,19 +459,19 @@ def vote(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("A24_bisecting_sweep")
 def bisecting(spark: SparkSession, sf: str) -> DataFrame:
-    return ml.bisecting_sweep(_scored_vectors(spark, sf), range(2, 11))
+    return ml.bisecting_sweep(_scored_points(spark, sf), range(2, 11), weight="weight")
 
 
 @query("A25_random_forest")
 def random_forest(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = ml.split(_shop_vectors(spark, sf), [0.7, 0.3], "order_sn")
-    return ml.evaluate(ml.random_forest_fit(train).transform(test))
+    train, test = _shop_parts(spark, sf, [0.7, 0.3])
+    return ml.evaluate(ml.random_forest_fit(train, weight="weight").transform(test), weight="weight")
 
 
 @query("A26_naive_bayes")
 def naive_bayes(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = ml.split(_shop_vectors(spark, sf), [0.6, 0.4], "order_sn")
-    return ml.evaluate(ml.naive_bayes_fit(train).transform(test), auc=False)
+    train, test = _shop_parts(spark, sf, [0.6, 0.4])
+    return ml.evaluate(ml.naive_bayes_fit(train, weight="weight").transform(test), auc=False, weight="weight")
 
 
 @query("A27_pca")

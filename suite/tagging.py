@@ -104,12 +104,11 @@ def parse_rule(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("inType=mysql\nurl=jdbc:x?a="), F.col("p_size").cast("string"), F.lit("\ndbTable=tbl_"), F.col("p_type"),
         F.lit("\nselectFieldNames=id,"), F.col("p_brand"),
     )
-    # a regular expression takes the value behind the first "=" of a line
-    def value(name: str):
-        return F.regexp_extract("rule", rf"(?m)^{name}=(.*)$", 1)
-
     return b.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), lines.alias("rule")).select(
-        "id", value("dbTable").alias("source_table"), value("selectFieldNames").alias("fields"), value("url").alias("url")
+        "id",
+        col.rule_value(F.col("rule"), "dbTable").alias("source_table"),
+        col.rule_value(F.col("rule"), "selectFieldNames").alias("fields"),
+        col.rule_value(F.col("rule"), "url").alias("url"),
     )
 
 

@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# --- fixed values: account formats, tried in this order
+# --- fixed values: account formats, tried in this order. The local part of an
+# address is written so that it can be read in one way only: matching stays
+# linear in the length of the text.
 ACCOUNT_FORMATS = {
     "mobile": r"^((17[0-9])|(14[0-9])|(13[0-9])|(15[^4,\D])|(18[0,5-9]))\d{8}$",
-    "email": r"^([a-z0-9A-Z]+[-|\.]?)+[a-z0-9A-Z]@([a-z0-9A-Z]+(-[a-z0-9A-Z]+)?\.)+[a-zA-Z]{2,}$",
+    "email": r"^[a-z0-9A-Z]([-|.]?[a-z0-9A-Z])+@([a-z0-9A-Z]+(-[a-z0-9A-Z]+)?\.)+[a-zA-Z]{2,}$",
     "qq": r"^[0-9]\d{4,11}$",
     "id_card": r"(^\d{15}$|^\d{17}[0-9Xx]$)",
 }
@@ -72,7 +74,7 @@ def digits_to_date(value: Column) -> Column:
 
 
 def days_since(value: Column, as_of: str | Column) -> Column:
-    return F.datediff(_day(as_of), digits_to_date(value))
+    return F.datediff(day(as_of), digits_to_date(value))
 
 
 def zodiac(day: Column) -> Column:
@@ -105,6 +107,12 @@ def units(value: Column, scale: int = 2) -> Column:
     return F.rint(value * F.lit(float(10**scale))).cast("bigint")
 
 
+def rule_value(rule: Column, name: str) -> Column:
+    """Value of one ``key=value`` line in a rule text, up to the end of the line;
+    only the first ``=`` separates. Empty where the key is missing."""
+    return F.regexp_extract(rule, rf"(?:^|[\r\n])\s*{name}=([^\r\n]*)", 1)
+
+
 def device_type(user_agent: Column) -> Column:
     """Device family named in a user agent. Phones are tested before desktops,
     because their agents also carry a desktop word."""
@@ -117,10 +125,6 @@ def device_type(user_agent: Column) -> Column:
     )
 
 
-def _day(value: str | Column) -> Column:
-    return F.to_date(F.lit(value)) if isinstance(value, str) else F.to_date(value)
-
-
 def day(value: str | Column) -> Column:
     """``as_of`` given as text or as a column."""
-    return _day(value)
+    return F.to_date(F.lit(value)) if isinstance(value, str) else F.to_date(value)

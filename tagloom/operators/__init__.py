@@ -1 +1,4 @@
-"""Operators: DataFrame in, DataFrame out. Only ML ``fit`` runs a job."""
+"""Operators: DataFrame in, DataFrame out.
+
+Jobs run only in ML fits and in the size checks that come before a broadcast.
+"""

@@ -1,8 +1,8 @@
 """Queries over the five-level tag tree and its companions.
 
 A tag table has ``id, name, level, pid`` and, where a query needs them,
-``order, state, business, ctime``. Joins carry no broadcast hint: the tree may
-hold a tag per product, so Spark decides by the size it sees.
+``order, state, business, ctime``. The tree may hold a tag per product, so what
+is broadcast is counted first.
 """
 
 from __future__ import annotations
@@ -12,31 +12,43 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.session import broadcast_if, is_small
+
 DEPTH = 5
 LEAF = 5
 
 
+def small_tree(tags: DataFrame) -> bool:
+    """Whether the leaves are few enough to broadcast."""
+    return is_small(tags.where(F.col("level") == LEAF))
+
+
 def ancestry(tags: DataFrame) -> DataFrame:
     """Every tag with its chain from itself up to the root.
 
-    Parents are inner nodes only, so each of the bounded self-joins has the few
-    upper levels on its build side.
+    The bounded self-joins climb among the inner nodes only; the leaves, which
+    may be as many as the products, are joined once, to their parent's chain.
     """
-    inner = tags.where(F.col("level") < LEAF)
     node = F.struct("id", "name", "level")
-    out = tags.select("id", "name", "level", F.array(node).alias("chain"), F.col("pid").alias("_up"))
-    for _ in range(DEPTH - 1):
-        parent = inner.select(F.col("id").alias("_pid"), F.col("pid").alias("_next"), node.alias("_node"))
-        out = out.join(parent, F.col("_up") == F.col("_pid"), "left").select(
-            "id",
-            "name",
-            "level",
-            F.when(F.col("_node").isNull(), F.col("chain"))
-            .otherwise(F.concat("chain", F.array("_node")))
-            .alias("chain"),
+    inner = tags.where(F.col("level") < LEAF)
+    small = is_small(inner)
+    climb = inner.select(F.col("id").alias("_id"), F.array(node).alias("_chain"), F.col("pid").alias("_up"))
+    step = inner.select(F.col("id").alias("_pid"), F.col("pid").alias("_next"), node.alias("_node"))
+    for _ in range(DEPTH - 2):
+        climb = climb.join(broadcast_if(small, step), F.col("_up") == F.col("_pid"), "left").select(
+            "_id",
+            F.when(F.col("_node").isNull(), F.col("_chain"))
+            .otherwise(F.concat("_chain", F.array("_node")))
+            .alias("_chain"),
             F.col("_next").alias("_up"),
         )
-    return out.drop("_up")
+    own = F.array(node)
+    return tags.join(broadcast_if(small, climb), F.col("pid") == F.col("_id"), "left").select(
+        "id",
+        "name",
+        "level",
+        F.when(F.col("_chain").isNull(), own).otherwise(F.concat(own, "_chain")).alias("chain"),
+    )
 
 
 def closure(tags: DataFrame) -> DataFrame:
@@ -67,26 +79,30 @@ def tag_path(tags: DataFrame, include_leaf: bool = False, separator: str = " ---
 
 
 def leaf_tags(tags: DataFrame, ids: Sequence[int]) -> DataFrame:
-    """Level-5 tags at or below any of the ids."""
+    """Level-5 tags at or below any of the ids, once each."""
+    above = F.transform("chain", lambda n: n["id"])
+    wanted = F.array(*[F.lit(i).cast("bigint") for i in ids])
     return (
-        closure(tags)
-        .where(F.col("ancestor_id").isin(*ids) & (F.col("tag_level") == LEAF))
-        .select("tag_id")
-        .distinct()
+        ancestry(tags)
+        .where((F.col("level") == LEAF) & F.arrays_overlap(above, wanted))
+        .select(F.col("id").alias("tag_id"))
     )
 
 
 def subtree(tags: DataFrame, tag_id: int) -> DataFrame:
     """The tag, everything below it and its ancestors, each with its relation."""
-    pairs = closure(tags)
-    below = pairs.where(F.col("ancestor_id") == tag_id).select(
-        F.col("tag_id").alias("id"), F.col("tag_level").alias("level"),
-        F.when(F.col("tag_id") == tag_id, "self").otherwise("descendant").alias("relation"),
+    chains = ancestry(tags)
+    above = F.transform("chain", lambda n: n["id"])
+    below = chains.where(F.array_contains(above, F.lit(tag_id).cast("bigint"))).select(
+        "id", "level", F.when(F.col("id") == tag_id, "self").otherwise("descendant").alias("relation")
     )
-    above = pairs.where((F.col("tag_id") == tag_id) & (F.col("ancestor_id") != tag_id)).select(
-        F.col("ancestor_id").alias("id"), F.col("ancestor_level").alias("level"), F.lit("ancestor").alias("relation")
+    up = (
+        chains.where(F.col("id") == tag_id)
+        .select(F.explode("chain").alias("n"))
+        .select("n.id", "n.level", F.lit("ancestor").alias("relation"))
+        .where(F.col("id") != tag_id)
     )
-    return below.unionByName(above)
+    return below.unionByName(up)
 
 
 def search_tags(tags: DataFrame, name: str) -> DataFrame:

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.session import broadcast_if, is_small
+
 CELL = ["rowkey", "family", "qualifier"]
 
 
@@ -77,6 +79,7 @@ def get(cells: DataFrame, key: str) -> DataFrame:
 def multi_get(cells: DataFrame, keys: DataFrame, column: str = "rowkey") -> DataFrame:
     """Cells of the rows named in a table of keys."""
     wanted = keys.select(F.col(column).alias("rowkey"))
+    wanted = broadcast_if(is_small(wanted), wanted)
     return latest(cells.join(wanted, "rowkey", "left_semi"))
 
 
@@ -156,4 +159,5 @@ def update_qualifier(cells: DataFrame, keys: DataFrame, family: str, qualifier:
 
 
 def delete_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
-    return cells.join(keys.select("rowkey"), "rowkey", "left_anti")
+    gone = keys.select("rowkey")
+    return cells.join(broadcast_if(is_small(gone), gone), "rowkey", "left_anti")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagloom.operators.match import CASE_LIMIT
+from tagloom.session import broadcast_if, is_small, small_table
 
 _MEMBER = re.compile(r"(\d+)\s*(and|or)?", re.IGNORECASE)
 
@@ -68,13 +69,12 @@ def eval_merge_tags(
     Short rule lists become tests on the profile row: one scan, no shuffle.
     """
     if len(rules) > CASE_LIMIT:
-        spark = profile.sparkSession
         rows = [
             (mid, seq, tag, connector)
             for mid, members in rules
             for seq, (tag, connector) in enumerate(members, start=1)
         ]
-        table = spark.createDataFrame(rows, "merge_tag_id bigint, seq int, basic_tag_id bigint, connector string")
+        table = small_table(profile.sparkSession, rows, "merge_tag_id bigint, seq int, basic_tag_id bigint, connector string")
         pairs = profile.select(user, F.explode(tags).alias("tag_id"))
         return eval_merge_table(pairs, table, user)
     met = [
@@ -95,7 +95,7 @@ def member_groups(members: DataFrame) -> DataFrame:
 def eval_merge_table(pairs: DataFrame, members: DataFrame, user: str = "user_id") -> DataFrame:
     """The same with rules as a table: a user meets a rule when the groups hit are
     as many as the rule has."""
-    grouped = member_groups(members)
+    grouped = broadcast_if(is_small(members), member_groups(members))
     needed = grouped.groupBy("merge_tag_id").agg(F.countDistinct("grp").alias("_need"))
     hits = pairs.join(grouped, "tag_id").groupBy(user, "merge_tag_id").agg(F.countDistinct("grp").alias("_hit"))
     return hits.join(needed, "merge_tag_id").where("_hit = _need").select(user, "merge_tag_id")

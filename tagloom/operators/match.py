@@ -7,12 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.session import BROADCAST_ROWS, broadcast_if, is_small, small_table
 from tagloom.specs import Rule, in_order
 
 # Longer chains would outgrow one generated method; they become a join.
 CASE_LIMIT = 200
-# Driver-side rule lists up to this length are small enough to broadcast.
-BROADCAST_RULES = 100_000
 
 
 def match_column(value: Column, rules: Sequence[Rule]) -> Column:
@@ -40,9 +39,8 @@ def match_tag_join(
     first: dict[str, int] = {}
     for rule in in_order(rules):
         first.setdefault(rule.text, rule.tag_id)
-    table = df.sparkSession.createDataFrame(list(first.items()), f"_rule string, `{out}` bigint")
-    if len(first) <= BROADCAST_RULES:
-        table = F.broadcast(table)
+    table = small_table(df.sparkSession, list(first.items()), f"_rule string, `{out}` bigint")
+    table = broadcast_if(len(first) <= BROADCAST_ROWS, table)
     return df.join(table, F.col(column) == F.col("_rule"), "left").select(key, out)
 
 
@@ -53,6 +51,7 @@ def match_tag_table(
     first = rules.groupBy(F.col("rule").alias("_rule")).agg(
         F.min(F.struct(F.coalesce("order", F.lit(-1)).alias("o"), F.col("tag_id").alias("t")))["t"].alias(out)
     )
+    first = broadcast_if(is_small(rules), first)
     return df.join(first, F.col(column) == F.col("_rule"), "left").select(key, out)
 
 

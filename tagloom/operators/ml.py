@@ -1,14 +1,18 @@
 """Feature vectors, clusterings and classifiers on Spark ML.
 
-Fitting reads the data several times; ``fit`` keeps the assembled vectors in
-memory and on disk for that long. Lost blocks are computed again from lineage.
+Fitting reads its input many times, so the input is kept in memory and on disk
+for that long; lost blocks are computed again from lineage. Scores and category
+codes take few distinct values: ``compress`` counts equal rows first, and the
+fits take the counts as weights, which is the same model from far fewer rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes, RandomForestClassifier
 from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
@@ -28,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from pyspark.storagelevel import StorageLevel
 
+from tagloom.session import small_table
 from tagloom.specs import Rule, in_order
 
 
@@ -44,6 +49,11 @@ def kept(df: DataFrame):
 # ---------------------------------------------------------------- features
 
 
+def compress(df: DataFrame, columns: Sequence[str], weight: str = "weight") -> DataFrame:
+    """Distinct rows over the columns with how often each occurs."""
+    return df.groupBy(*columns).agg(F.count("*").cast("double").alias(weight))
+
+
 def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:
     """One vector column; rows with a missing value are left out."""
     return VectorAssembler(inputCols=list(columns), outputCol=out, handleInvalid="skip").transform(df)
@@ -83,17 +93,30 @@ def pca_project(df: DataFrame, n: int, features: str = "features", out: str = "p
 # ---------------------------------------------------------------- clusters
 
 
+def _points(df: DataFrame, features: str, weight: str | None) -> DataFrame:
+    return df.select(features, *([weight] if weight else []))
+
+
+def _weighted(estimator, weight: str | None):
+    return estimator.setWeightCol(weight) if weight else estimator
+
+
 def kmeans_fit(
-    df: DataFrame, k: int, seed: int = 10, max_iter: int = 10, features: str = "features"
+    df: DataFrame,
+    k: int,
+    seed: int = 10,
+    max_iter: int = 10,
+    features: str = "features",
+    weight: str | None = None,
 ) -> KMeansModel:
-    with kept(df.select(features)) as held:
-        return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features).fit(held)
+    with kept(_points(df, features, weight)) as held:
+        return _weighted(KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features), weight).fit(held)
 
 
 def centers_frame(spark: SparkSession, model) -> DataFrame:
     """Cluster centers as a table; k rows of a few numbers."""
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return spark.createDataFrame(rows, "prediction int, center array<double>")
+    return small_table(spark, rows, "prediction int, center array<double>")
 
 
 def rank_clusters(centers: DataFrame) -> DataFrame:
@@ -111,7 +134,7 @@ def rank_clusters(centers: DataFrame) -> DataFrame:
 def cluster_to_tag(ranked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The i-th ranked cluster takes the i-th child tag; spare tags stay unused."""
     tags = [(i, r.tag_id) for i, r in enumerate(in_order(rules), start=1)]
-    table = ranked.sparkSession.createDataFrame(tags, "rank int, tag_id bigint")
+    table = small_table(ranked.sparkSession, tags, "rank int, tag_id bigint")
     return ranked.join(F.broadcast(table), "rank").select("prediction", "center_sum", "rank", "tag_id")
 
 
@@ -136,39 +159,55 @@ def cluster_stats(predicted: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _sweep(df: DataFrame, ks: Sequence[int], fit, features: str) -> DataFrame:
-    rows = []
-    with kept(df.select(features)) as held:
-        for k in ks:
-            rows.append((k, float(fit(held, k).summary.trainingCost)))
-    costs = [c for _, c in rows]
+def _sweep(points: DataFrame, ks: Sequence[int], estimator, parallelism: int) -> DataFrame:
+    """Cost per k. The fits do not depend on each other, so a few run at a time
+    over the same cached points, the way Spark's own cross validator does."""
+
+    def cost(k: int) -> float:
+        return float(estimator(k).fit(held).summary.trainingCost)
+
+    with kept(points) as held, ThreadPool(min(parallelism, len(ks))) as pool:
+        held.count()
+        costs = pool.map(inheritable_thread_target(points.sparkSession)(cost), ks)
     bend = [
         costs[i - 1] - 2 * costs[i] + costs[i + 1] if 0 < i < len(costs) - 1 else None
         for i in range(len(costs))
     ]
-    return df.sparkSession.createDataFrame(
-        [(k, c, b) for (k, c), b in zip(rows, bend)], "k int, cost double, second_diff double"
+    return small_table(
+        points.sparkSession, list(zip(ks, costs, bend)), "k int, cost double, second_diff double"
     )
 
 
 def kmeans_sweep(
-    df: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = 10, max_iter: int = 10, features: str = "features"
+    df: DataFrame,
+    ks: Sequence[int] = range(2, 11),
+    seed: int = 10,
+    max_iter: int = 10,
+    features: str = "features",
+    weight: str | None = None,
+    parallelism: int = 8,
 ) -> DataFrame:
     """Cost per k and how sharply the cost curve bends there."""
-    return _sweep(
-        df, list(ks), lambda d, k: KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features).fit(d), features
-    )
+
+    def estimator(k: int):
+        return _weighted(KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features), weight)
+
+    return _sweep(_points(df, features, weight), list(ks), estimator, parallelism)
 
 
 def bisecting_sweep(
-    df: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = 10, max_iter: int = 20, features: str = "features"
+    df: DataFrame,
+    ks: Sequence[int] = range(2, 11),
+    seed: int = 10,
+    max_iter: int = 20,
+    features: str = "features",
+    weight: str | None = None,
+    parallelism: int = 8,
 ) -> DataFrame:
-    return _sweep(
-        df,
-        list(ks),
-        lambda d, k: BisectingKMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features).fit(d),
-        features,
-    )
+    def estimator(k: int):
+        return _weighted(BisectingKMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features), weight)
+
+    return _sweep(_points(df, features, weight), list(ks), estimator, parallelism)
 
 
 def best_k(sweep: DataFrame) -> int:
@@ -179,12 +218,20 @@ def best_k(sweep: DataFrame) -> int:
 # ---------------------------------------------------------------- classifiers
 
 
-def _tree_pipeline(df: DataFrame, classifier, max_categories: int, label: str, features: str) -> Pipeline:
-    labels = StringIndexer(inputCol=label, outputCol="indexed_label").fit(df)
-    index = VectorIndexer(inputCol=features, outputCol="indexed_features", maxCategories=max_categories).fit(df)
-    classifier.setLabelCol("indexed_label").setFeaturesCol("indexed_features")
-    back = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels.labels)
-    return Pipeline(stages=[labels, index, classifier, back])
+def _fit_trees(
+    train: DataFrame, classifier, max_categories: int, label: str, features: str, weight: str | None
+) -> PipelineModel:
+    """Label index, category index, trees, and the label of the prediction."""
+    with kept(train) as held:
+        labels = StringIndexer(inputCol=label, outputCol="indexed_label").fit(held)
+        index = VectorIndexer(
+            inputCol=features, outputCol="indexed_features", maxCategories=max_categories, handleInvalid="keep"
+        ).fit(held)
+        classifier.setLabelCol("indexed_label").setFeaturesCol("indexed_features")
+        if weight:
+            classifier.setWeightCol(weight)
+        back = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels.labels)
+        return Pipeline(stages=[labels, index, classifier, back]).fit(held)
 
 
 def split(df: DataFrame, shares: Sequence[float], key: str, seed: int = 10) -> list[DataFrame]:
@@ -206,10 +253,10 @@ def decision_tree_fit(
     depth: int = 7,
     bins: int = 24,
     max_categories: int = 3,
+    weight: str | None = None,
 ) -> PipelineModel:
     tree = DecisionTreeClassifier(impurity="gini", maxDepth=depth, maxBins=bins)
-    with kept(train) as held:
-        return _tree_pipeline(held, tree, max_categories, label, features).fit(held)
+    return _fit_trees(train, tree, max_categories, label, features, weight)
 
 
 def random_forest_fit(
@@ -219,18 +266,25 @@ def random_forest_fit(
     trees: int = 20,
     max_categories: int = 4,
     seed: int = 10,
+    weight: str | None = None,
 ) -> PipelineModel:
     forest = RandomForestClassifier(numTrees=trees, seed=seed)
-    with kept(train) as held:
-        return _tree_pipeline(held, forest, max_categories, label, features).fit(held)
+    return _fit_trees(train, forest, max_categories, label, features, weight)
 
 
 def naive_bayes_fit(
-    train: DataFrame, label: str = "label", features: str = "features", smoothing: float = 1.0
+    train: DataFrame,
+    label: str = "label",
+    features: str = "features",
+    smoothing: float = 1.0,
+    weight: str | None = None,
 ) -> PipelineModel:
     labels = StringIndexer(inputCol=label, outputCol="indexed_label")
     bayes = NaiveBayes(labelCol="indexed_label", featuresCol=features, smoothing=smoothing)
-    return Pipeline(stages=[labels, bayes]).fit(train)
+    if weight:
+        bayes.setWeightCol(weight)
+    with kept(train) as held:
+        return Pipeline(stages=[labels, bayes]).fit(held)
 
 
 def points_tree_fit(train: DataFrame, label: str = "label", features: str = "features"):
@@ -238,23 +292,26 @@ def points_tree_fit(train: DataFrame, label: str = "label", features: str = "fea
     tree = DecisionTreeClassifier(
         labelCol=label, featuresCol=features, impurity="gini", maxDepth=5, maxBins=32
     )
-    return tree.fit(train)
+    with kept(train.select(label, features)) as held:
+        return tree.fit(held)
 
 
-def evaluate(predicted: DataFrame, label: str = "indexed_label", auc: bool = True) -> DataFrame:
+def evaluate(
+    predicted: DataFrame, label: str = "indexed_label", auc: bool = True, weight: str | None = None
+) -> DataFrame:
     """Accuracy, error and, for two classes, the area under the ROC curve taken
     from the class probability. One row."""
-    with kept(predicted.select(label, "prediction", *(["rawPrediction"] if auc else []))) as held:
-        accuracy = MulticlassClassificationEvaluator(
-            labelCol=label, predictionCol="prediction", metricName="accuracy"
-        ).evaluate(held)
-        area = (
-            BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction").evaluate(held)
-            if auc
-            else None
-        )
-    return predicted.sparkSession.createDataFrame(
-        [(float(accuracy), 1.0 - float(accuracy), area)], "accuracy double, error double, auc double"
+    columns = [label, "prediction"] + (["rawPrediction"] if auc else []) + ([weight] if weight else [])
+    hits = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
+    curve = BinaryClassificationEvaluator(labelCol=label)
+    if weight:
+        hits.setWeightCol(weight)
+        curve.setWeightCol(weight)
+    with kept(predicted.select(*columns)) as held:
+        accuracy = float(hits.evaluate(held))
+        area = float(curve.evaluate(held)) if auc else None
+    return small_table(
+        predicted.sparkSession, [(accuracy, 1.0 - accuracy, area)], "accuracy double, error double, auc double"
     )
 
 

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.session import broadcast_if, is_small
+
 SEPARATOR = ","
 
 
@@ -22,8 +24,8 @@ def encode_tags(tags: Column) -> Column:
 
 
 def explode_profile(profile: DataFrame, user: str = "user_id", tags: str = "tag_ids") -> DataFrame:
-    """One row per user and tag."""
-    return profile.select(user, F.explode(tags).alias("tag_id"))
+    """One row per user and tag, without repeats."""
+    return profile.select(user, F.explode(F.array_distinct(tags)).alias("tag_id"))
 
 
 def collapse_profile(pairs: DataFrame, user: str = "user_id", tag: str = "tag_id") -> DataFrame:
@@ -57,6 +59,7 @@ def merge_profile(existing: DataFrame, new: DataFrame, user: str = "user_id", ta
 def replace_siblings(existing: DataFrame, new: DataFrame, parents: DataFrame) -> DataFrame:
     """Like ``merge_profile``, but a user's new tag ousts the old ones of the same
     parent. ``parents`` has ``(tag_id, parent_id)``."""
+    parents = broadcast_if(is_small(parents), parents)
     fresh = new.where("user_id is not null and tag_id is not null").join(parents, "tag_id")
     ousted = fresh.select("user_id", "parent_id").distinct()
     stays = (
@@ -81,9 +84,8 @@ def pivot_profile(pairs: DataFrame, tags: DataFrame, parents: Sequence[int], use
     """One column per level-4 tag. ``tags`` has ``(id, pid)``; the least tag wins
     where a user holds two of one parent. The parents are listed, so no job runs
     to find them."""
-    with_parent = pairs.join(
-        tags.where(F.col("pid").isin(*parents)).select(F.col("id").alias("tag_id"), "pid"), "tag_id"
-    )
+    children = tags.where(F.col("pid").isin(*parents)).select(F.col("id").alias("tag_id"), "pid")
+    with_parent = pairs.join(broadcast_if(is_small(children), children), "tag_id")
     columns = [
         F.min(F.when(F.col("pid") == p, F.col("tag_id"))).alias(f"tag_{p}") for p in parents
     ]

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagloom.functions.columns import classify_account, mask, mask_name
-from tagloom.operators.catalog import leaf_paths, leaf_tags
+from tagloom.operators.catalog import leaf_paths, leaf_tags, small_tree
+from tagloom.session import broadcast_if, small_table
 
 
 def _ids(ids: Sequence[int]) -> Column:
@@ -19,7 +20,8 @@ def _ids(ids: Sequence[int]) -> Column:
 def users_by_tags_any(profile: DataFrame, tags: DataFrame, ids: Sequence[int]) -> DataFrame:
     """Users holding any level-5 tag at or below the ids, once each."""
     pairs = profile.select("user_id", F.explode("tag_ids").alias("tag_id"))
-    return pairs.join(leaf_tags(tags, ids), "tag_id", "left_semi").select("user_id").distinct()
+    wanted = broadcast_if(small_tree(tags), leaf_tags(tags, ids))
+    return pairs.join(wanted, "tag_id", "left_semi").select("user_id").distinct()
 
 
 def page(df: DataFrame, order: Sequence[str], number: int, size: int) -> DataFrame:
@@ -73,7 +75,7 @@ def tag_user_count(profile: DataFrame, tag_type: int = 1) -> DataFrame:
 
 def stored_tag_count(counts: DataFrame, tag_ids: Sequence[int], tag_type: int) -> DataFrame:
     """Stored counts read back by tag and type, 0 where nothing is stored."""
-    wanted = counts.sparkSession.createDataFrame([(i,) for i in tag_ids], "tag_id bigint")
+    wanted = small_table(counts.sparkSession, [(i,) for i in tag_ids], "tag_id bigint")
     sums = (
         counts.where((F.col("tag_type") == tag_type) & F.col("tag_id").isin(*tag_ids))
         .groupBy("tag_id")
@@ -113,8 +115,10 @@ def top_users_per_tag(pairs: DataFrame, n: int = 5, user: str = "user_id") -> Da
 
 
 def portrait(pairs: DataFrame, tags: DataFrame, user: str = "user_id") -> DataFrame:
-    """One row per user and level-5 tag with its whole path."""
-    return pairs.select(user, "tag_id").distinct().join(leaf_paths(tags), "tag_id")
+    """One row per user and level-5 tag with its whole path. A user holds a tag
+    once, so the pairs need no distinct before the join."""
+    paths = broadcast_if(small_tree(tags), leaf_paths(tags))
+    return pairs.select(user, "tag_id").join(paths, "tag_id")
 
 
 def portrait_tree(paths: DataFrame, user: str = "user_id", merges: DataFrame | None = None) -> DataFrame:
@@ -165,10 +169,18 @@ def portrait_graph(paths: DataFrame, root: str = "user") -> DataFrame:
         )
         for i in range(1, 6)
     ]
-    edges = paths.select(F.explode(F.array(*steps)).alias("e")).select("e.*").distinct()
-    children = edges.groupBy(F.col("source_id").alias("target_id")).agg(F.count("*").alias("_n"))
-    return edges.join(children, "target_id", "left").select(
-        "depth", "source_id", "source", "target_id", "target", "category", F.coalesce("_n", F.lit(0)).alias("children")
+    edges = paths.select(F.explode(F.array(*steps)).alias("e")).distinct()
+    # an edge says something about both its ends: it describes its target and is
+    # one more child of its source, so one aggregation by node gives both
+    none = F.lit(None).cast(edges.schema["e"].dataType)
+    target = F.struct(F.col("e.target_id").alias("node"), F.col("e").alias("edge"), F.lit(0).alias("child"))
+    source = F.struct(F.col("e.source_id").alias("node"), none.alias("edge"), F.lit(1).alias("child"))
+    ends = edges.select(F.explode(F.array(target, source)).alias("n")).select("n.*")
+    return (
+        ends.groupBy("node")
+        .agg(F.max("edge").alias("edge"), F.sum("child").alias("children"))
+        .where("edge is not null")
+        .select("edge.*", "children")
     )
 
 

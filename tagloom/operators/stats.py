@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagloom.functions.columns import day, device_type, exact_sum, zodiac
-from tagloom.operators.match import BROADCAST_RULES, CASE_LIMIT, match_column
+from tagloom.operators.match import CASE_LIMIT, match_column
+from tagloom.session import BROADCAST_ROWS, broadcast_if, small_table
 from tagloom.specs import Band, Rule, bands
 
 # Order of the signs in the catalogue. Tag ids 103 to 114.
@@ -128,9 +129,8 @@ def range_tag_join(
     rows = [
         (c, lo, hi, tag) for lo, hi, tag in pieces for c in range(cell(lo) - 1, cell(hi) + 2)
     ]
-    table = df.sparkSession.createDataFrame(rows, f"_cell bigint, _lo double, _hi double, `{out}` bigint")
-    if len(rows) <= BROADCAST_RULES:
-        table = F.broadcast(table)
+    table = small_table(df.sparkSession, rows, f"_cell bigint, _lo double, _hi double, `{out}` bigint")
+    table = broadcast_if(len(rows) <= BROADCAST_ROWS, table)
     v = value.cast("double")
     spot = F.least(
         F.greatest(F.floor((v - F.lit(low)) / F.lit(width)), F.lit(-1).cast("bigint")),

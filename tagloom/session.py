@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings that may change on a running session. Shuffle partition counts are
 # left to the cluster; AQE coalesces small ones and splits skewed ones.
@@ -32,6 +37,22 @@ def build_session(app: str = "tagloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+# Tables up to this many rows are small enough to broadcast; a tag row with its
+# whole path takes some hundred bytes, so this stays in the tens of megabytes.
+BROADCAST_ROWS = 100_000
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table has at most so many rows; counting stops behind them."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def broadcast_if(small: bool, df: DataFrame) -> DataFrame:
+    """Broadcast a table whose size was checked; otherwise the join shuffles, and
+    AQE splits its skewed partitions."""
+    return F.broadcast(df) if small else df
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
@@ -44,3 +65,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="tagloom-")
     return f"{base.rstrip('/')}/tagloom/{name}-{uuid.uuid4().hex}"
+
+
+def small_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """Driver-side rows as a local relation. Unlike rows handed over one by one its
+    size is known to the optimizer, and reading it needs no Python worker."""
+    struct = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(struct)
+    columns = list(zip(*rows)) or [()] * len(struct)
+    arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), struct)

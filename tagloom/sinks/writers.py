@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators.cells import rows_to_cells, sort_cells
 from tagloom.operators.profile import encode_tags, merge_profile, upsert_wide
+from tagloom.session import small_table
 
 SHEET_ROWS = 65535
 
@@ -20,13 +21,15 @@ def version_path(root: str, version: int) -> str:
 
 
 def write_version(df: DataFrame, root: str, version: int, key: str | None = None, parts: int | None = None) -> str:
-    """Write one version of a table, spread by key hash, and return its folder.
+    """Write one version of a table and return its folder.
 
-    A folder that exists already is an error, so a run that comes too late cannot
-    damage the version another run wrote.
+    With ``parts`` the rows are spread over that many pieces by key hash; without
+    it they stay where the merge left them, which is by key hash as well. A folder
+    that exists already is an error, so a run that comes too late cannot damage
+    the version another run wrote.
     """
-    if key:
-        df = df.repartition(parts, key) if parts else df.repartition(key)
+    if key and parts:
+        df = df.repartition(parts, key)
     path = version_path(root, version)
     df.write.mode("errorifexists").parquet(path)
     return path
@@ -48,7 +51,7 @@ def write_merged_profile(new: DataFrame, root: str, version: int, base: int | No
     old = (
         spark.read.parquet(version_path(root, base))
         if base is not None
-        else spark.createDataFrame([], "user_id bigint, tag_ids array<bigint>")
+        else small_table(spark, [], "user_id bigint, tag_ids array<bigint>")
     )
     return write_version(merge_profile(old, new), root, version)
 
