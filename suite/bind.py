@@ -446,4 +446,7 @@ def sql(body: str) -> str:
 
     add(" ".join(re.findall(r"(?:FROM|JOIN|IN|,)\s+\(?(\w+)", body)))
     head = ", ".join(f"{n} AS ({CTE[n][1]})" for n in needed)
-    return f"WITH {head} {body}" if head else body
+    if not head:
+        return body
+    own = re.match(r"\s*WITH\s+", body)
+    return f"WITH {head}, {body[own.end():]}" if own else f"WITH {head} {body}"

@@ -281,7 +281,27 @@ def portrait(spark: SparkSession, sf: str) -> DataFrame:
     return search.portrait(b.pairs(spark, sf), b.tags(spark, sf))
 
 
-@query("Q9_portrait_tree")
+_TREE = b.sql(
+    f"""WITH flat AS (SELECT user_id, paths.* FROM own JOIN paths USING (tag_id)),
+    a4 AS (SELECT user_id, l1, l1_name, l2, l2_name, l3, l3_name, l4, l4_name, list({{'id': l5, 'name': l5_name}} ORDER BY l5) AS c
+      FROM flat GROUP BY ALL),
+    a3 AS (SELECT user_id, l1, l1_name, l2, l2_name, l3, l3_name, list({{'id': l4, 'name': l4_name, 'children': c}} ORDER BY l4) AS c
+      FROM a4 GROUP BY user_id, l1, l1_name, l2, l2_name, l3, l3_name),
+    a2 AS (SELECT user_id, l1, l1_name, l2, l2_name, list({{'id': l3, 'name': l3_name, 'children': c}} ORDER BY l3) AS c
+      FROM a3 GROUP BY user_id, l1, l1_name, l2, l2_name),
+    a1 AS (SELECT user_id, l1, l1_name, list({{'id': l2, 'name': l2_name, 'children': c}} ORDER BY l2) AS c
+      FROM a2 GROUP BY user_id, l1, l1_name),
+    a0 AS (SELECT user_id, CAST(to_json(list({{'id': l1, 'name': l1_name, 'children': c}} ORDER BY l1)) AS VARCHAR) AS tags
+      FROM a1 GROUP BY user_id),
+    met AS (SELECT user_id, 1 AS m FROM {_RICH} UNION ALL
+      SELECT user_id, 2 FROM own WHERE tag_id IN (75, 134, 51) GROUP BY user_id HAVING count(*) = 3 UNION ALL
+      SELECT user_id, 3 FROM own WHERE tag_id IN (50, 137, 130, 217, 160) GROUP BY user_id HAVING count(*) = 5 UNION ALL
+      SELECT user_id, 4 FROM own WHERE tag_id = 55)
+    SELECT a0.user_id, tags, (SELECT string_agg(m, ',' ORDER BY m) FROM met WHERE met.user_id = a0.user_id) AS merge_tags FROM a0"""
+)
+
+
+@query("Q9_portrait_tree", _TREE)
 def portrait_tree(spark: SparkSession, sf: str) -> DataFrame:
     """Nested portraits with composite tags; as text, one row per user."""
     flat = search.portrait(b.profile(spark, sf).select("user_id", F.explode("tag_ids").alias("tag_id")), b.tags(spark, sf))

@@ -287,6 +287,40 @@ def kmeans_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return ml.kmeans_sweep(_scored_points(spark, sf), range(2, 11), weight="weight")
 
 
+# Four groups of members far apart from each other, so that every clustering that
+# works finds just these: coordinates are a multiple of 1000 and a small rest.
+_GROUPS = """(SELECT c_custkey AS id, c_custkey * 7 % 4 AS g, 1000 * (c_custkey * 7 % 4) + c_acctbal / 10000 AS x,
+  1000 * (c_custkey * 7 % 4) + c_custkey % 10 / 10 AS y FROM customer)"""
+_GROUP_COST = f"""(SELECT sum(s) AS cost FROM (SELECT (var_pop(x) + var_pop(y)) * count(*) AS s FROM {_GROUPS} GROUP BY g))"""
+
+
+def _groups(spark: SparkSession, sf: str) -> DataFrame:
+    c = F.col("c_custkey")
+    far = 1000 * (c * 7 % 4)
+    rows = b.table(spark, sf, "customer").select(
+        c.alias("id"), (far + F.col("c_acctbal") / 10000).alias("x"), (far + c % 10 / 10).alias("y")
+    )
+    return ml.assemble(rows, ["x", "y"]).select("id", "features")
+
+
+@query("A12_kmeans_far_groups", f"SELECT id, CAST(4 - g AS INTEGER) AS rank, CAST(1554 + 4 - g AS BIGINT) AS tag_id FROM {_GROUPS}")
+def kmeans_far(spark: SparkSession, sf: str) -> DataFrame:
+    """Fit, rank and tag: the group with the greatest coordinates takes the first tag."""
+    rows = _groups(spark, sf)
+    tags = [Rule(1555 + i, "", i) for i in range(4)]
+    return ml.cluster_tags(rows, "id", ml.kmeans_fit(rows, 4, max_iter=20), tags).drop("prediction")
+
+
+@query("A13_kmeans_cost", f"SELECT 4 AS k, round(cost, 3) AS cost FROM {_GROUP_COST}")
+def kmeans_cost(spark: SparkSession, sf: str) -> DataFrame:
+    return ml.kmeans_sweep(_groups(spark, sf), [4], max_iter=20).select("k", F.round("cost", 3).alias("cost"))
+
+
+@query("A24_bisecting_cost", f"SELECT 4 AS k, round(cost, 3) AS cost FROM {_GROUP_COST}")
+def bisecting_cost(spark: SparkSession, sf: str) -> DataFrame:
+    return ml.bisecting_sweep(_groups(spark, sf), [4]).select("k", F.round("cost", 3).alias("cost"))
+
+
 def _centers(spark: SparkSession, sf: str) -> DataFrame:
     """Mean vector per label, cents exact: stands for fitted centers."""
     o = b.orders(spark, sf)
@@ -457,6 +491,80 @@ def vote(spark: SparkSession, sf: str) -> DataFrame:
     return score.shop_gender_vote(_shop(spark, sf), "member_id", "label", seeds.SHOP_GENDER)
 
 
+# A label that one threshold on the colour code decides, as codes and members.
+_SPLIT = f"(SELECT colour_code, type_code, CASE WHEN colour_code > 8 THEN 1 ELSE 0 END AS label FROM {_CODED} WHERE colour_code <> 0 AND type_code <> 0)"
+
+
+def _threshold(spark: SparkSession, sf: str) -> DataFrame:
+    coded = score.encode_categories(b.goods(spark, sf), "colour", "kind").where("colour_code != 0 and type_code != 0")
+    labelled = coded.withColumn("label", F.when(F.col("colour_code") > 8, 1).otherwise(0))
+    return ml.assemble(ml.compress(labelled, ["label", *_CODES]), _CODES)
+
+
+_CONFUSION = b.sql(f"SELECT label, CAST(label AS VARCHAR) AS predicted_label, count(*) AS n FROM {_SPLIT} GROUP BY label")
+
+
+@query("A21_decision_tree_threshold", _CONFUSION)
+def tree_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _threshold(spark, sf)
+    out = ml.decision_tree_fit(rows, weight="weight").transform(rows)
+    return out.groupBy("label", "predicted_label").agg(F.sum("weight").cast("bigint").alias("n"))
+
+
+@query("A28_points_tree_threshold", _CONFUSION)
+def points_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _threshold(spark, sf)
+    out = ml.points_tree_fit(rows.withColumn("label", F.col("label").cast("double"))).transform(rows)
+    guess = F.col("prediction").cast("int").cast("string").alias("predicted_label")
+    return out.groupBy("label", guess).agg(F.sum("weight").cast("bigint").alias("n"))
+
+
+@query(
+    "A22_evaluate_given",
+    b.sql(
+        f"""SELECT round(accuracy, 6) AS accuracy, round(1 - accuracy, 6) AS error, round(auc, 6) AS auc FROM (
+        SELECT sum(CASE WHEN (c > 10) = (l = 1) THEN n ELSE 0 END) / sum(n) AS accuracy FROM (
+          SELECT colour_code AS c, label AS l, count(*) AS n FROM {_CODED} WHERE colour_code <> 0 GROUP BY ALL)),
+        (SELECT sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) AS auc FROM (SELECT pos, neg,
+          coalesce(sum(neg) OVER (ORDER BY c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM (
+          SELECT colour_code AS c, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg
+          FROM {_CODED} WHERE colour_code <> 0 GROUP BY colour_code)))"""
+    ),
+)
+def evaluate_given(spark: SparkSession, sf: str) -> DataFrame:
+    """Accuracy and area for a guess from the colour code alone."""
+    coded = score.weak_label(score.encode_categories(b.goods(spark, sf), "colour", "kind"), "colour", "kind")
+    counted = ml.compress(coded.where("colour_code != 0"), ["label", "colour_code"])
+    code = F.col("colour_code").cast("double")
+    rows = counted.select(
+        F.col("label").cast("double").alias("indexed_label"),
+        F.when(F.col("colour_code") > 10, 1.0).otherwise(0.0).alias("prediction"),
+        ml.array_to_vector(F.array(-code, code)).alias("rawPrediction"),
+        "weight",
+    )
+    report = ml.evaluate(rows, weight="weight")
+    return report.select(*[F.round(c, 6).alias(c) for c in report.columns])
+
+
+@query(
+    "A26_naive_bayes_whole",
+    b.sql(
+        f"""WITH f AS (SELECT label, CAST(colour_code AS DOUBLE) AS c, CAST(type_code AS DOUBLE) AS t, count(*) AS n
+          FROM {_CODED} JOIN ord ON goods_order = order_sn WHERE colour_code <> 0 AND type_code <> 0 GROUP BY ALL),
+        m AS (SELECT label, ln((sum(n) + 1) / ((SELECT sum(n) FROM f) + 2)) AS pi,
+          ln((sum(c * n) + 1) / (sum((c + t) * n) + 2)) AS tc, ln((sum(t * n) + 1) / (sum((c + t) * n) + 2)) AS tt FROM f GROUP BY label)
+        SELECT round(accuracy, 6) AS accuracy, round(1 - accuracy, 6) AS error FROM (
+        SELECT CAST(sum(CASE WHEN label = guess THEN n ELSE 0 END) AS DOUBLE) / sum(n) AS accuracy FROM (
+          SELECT f.label, f.n, arg_max(m.label, pi + f.c * tc + f.t * tt) AS guess FROM f, m GROUP BY f.label, f.c, f.t, f.n))"""
+    ),
+)
+def naive_bayes_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Fitted to all goods and judged on them."""
+    rows = ml.assemble(ml.compress(_shop(spark, sf), ["label", *_CODES]), _CODES)
+    report = ml.evaluate(ml.naive_bayes_fit(rows, weight="weight").transform(rows), auc=False, weight="weight")
+    return report.select(F.round("accuracy", 6).alias("accuracy"), F.round("error", 6).alias("error"))
+
+
 @query("A24_bisecting_sweep")
 def bisecting(spark: SparkSession, sf: str) -> DataFrame:
     return ml.bisecting_sweep(_scored_points(spark, sf), range(2, 11), weight="weight")
@@ -481,6 +589,17 @@ def pca(spark: SparkSession, sf: str) -> DataFrame:
     return ml.pca_project(rows, 3).select("vec_id", v[0].alias("c1"), v[1].alias("c2"), v[2].alias("c3"))
 
 
+@query(
+    "A27_pca_rotation",
+    """SELECT vec_id, round(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x)), 4) AS square FROM embeddings""",
+)
+def pca_rotation(spark: SparkSession, sf: str) -> DataFrame:
+    """All 64 components only turn a vector: its length stays."""
+    rows = ml.vectors(b.table(spark, sf, "embeddings"), "embedding")
+    turned = ml.pca_project(rows, 64).select("vec_id", ml.as_array("projected").alias("v"))
+    return turned.select("vec_id", F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 4).alias("square"))
+
+
 @query("A28_points_tree")
 def points_tree(spark: SparkSession, sf: str) -> DataFrame:
     rows = ml.vectors(b.table(spark, sf, "embeddings").withColumn("label", F.col("label").cast("double")), "embedding")

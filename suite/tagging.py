@@ -38,9 +38,9 @@ def where_dsl(spark: SparkSession, sf: str) -> DataFrame:
     return b.users(spark, sf).where(test).select("id", "gender", "education")
 
 
-@query("F1_where_dsl_numeric", b.sql("SELECT id, height FROM u WHERE CAST(qq AS BIGINT) >= 10500 AND height < 200"))
+@query("F1_where_dsl_numeric", b.sql("SELECT id, height FROM u WHERE CAST(qq AS BIGINT) >= 10020 AND height < 200"))
 def where_numeric(spark: SparkSession, sf: str) -> DataFrame:
-    return b.users(spark, sf).where(pred.where_dsl("qq[ge]10500,height[lt]200", numeric=True)).select("id", "height")
+    return b.users(spark, sf).where(pred.where_dsl("qq[ge]10020,height[lt]200", numeric=True)).select("id", "height")
 
 
 @query(

@@ -6,19 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# --- fixed values: account formats, tried in this order. The local part of an
-# address is written so that it can be read in one way only: matching stays
-# linear in the length of the text.
+# --- fixed values: account formats, tried in this order. Repeated groups are
+# written as character runs with a look ahead for what a run must not contain:
+# Java matches a repeated group by recursion, so a long text would overflow the
+# stack of the executor, and nested repeats take exponential time.
 ACCOUNT_FORMATS = {
-    "mobile": r"^((17[0-9])|(14[0-9])|(13[0-9])|(15[^4,\D])|(18[0,5-9]))\d{8}$",
-    "email": r"^[a-z0-9A-Z]([-|.]?[a-z0-9A-Z])+@([a-z0-9A-Z]+(-[a-z0-9A-Z]+)?\.)+[a-zA-Z]{2,}$",
-    "qq": r"^[0-9]\d{4,11}$",
-    "id_card": r"(^\d{15}$|^\d{17}[0-9Xx]$)",
+    "mobile": r"^((17[0-9])|(14[0-9])|(13[0-9])|(15[^4,\D])|(18[0,5-9]))\d{8}\z",
+    "email": (
+        r"^(?!.*[-|.]{2})[a-z0-9A-Z][a-z0-9A-Z|.-]*[a-z0-9A-Z]"
+        r"@(?!.*-[a-z0-9A-Z]*-)[a-z0-9A-Z][a-z0-9A-Z.-]*\.[a-zA-Z]{2,}\z"
+    ),
+    "qq": r"^[0-9]\d{4,11}\z",
+    "id_card": r"^(\d{15}|\d{17}[0-9Xx])\z",
 }
 # --- fixed values: other formats, matched against the whole value
-URL_FORMAT = r"^http(s)?://([\w-]+\.)+[\w-]+(/[\w- ./?%&=]*)?$"
+URL_FORMAT = r"^https?://(?![^/]*\.\.)[\w-][\w.-]*\.[\w-]+(/[\w ./?%&=-]*)?\z"
 IP_PART = r"(25[0-5]|2[0-4]\d|[0-1]\d{2}|[1-9]?\d)"
-IP_FORMAT = rf"^{IP_PART}(\.{IP_PART}){{3}}$"
+IP_FORMAT = rf"^{IP_PART}(\.{IP_PART}){{3}}\z"
 
 # --- fixed values: first day of the sign that starts in each month, from January
 ZODIAC_STARTS = (20, 19, 21, 21, 21, 22, 23, 23, 23, 23, 22, 22)

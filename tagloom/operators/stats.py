@@ -87,7 +87,10 @@ def disjoint(items: Sequence[Band]) -> list[tuple[float, float, int]]:
         hi = inf if band.hi is None else float(band.hi)
         lo = nextafter(lo, inf) if band.lo_open else lo
         hi = nextafter(hi, -inf) if band.hi_open else hi
-        spans += [(lo, inf, band.tag_id), (-inf, hi, band.tag_id)] if lo > hi else [(lo, hi, band.tag_id)]
+        if band.wraps:
+            spans += [(lo, inf, band.tag_id), (-inf, hi, band.tag_id)]
+        elif lo <= hi:
+            spans.append((lo, hi, band.tag_id))
     taken: list[tuple[float, float, int]] = []
     for lo, hi, tag in spans:
         # what is left of this span once the earlier ones have taken their share

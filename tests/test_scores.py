@@ -1,0 +1,123 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tagloom import seeds
+from tagloom.operators import score
+
+# sample orders: user, day, receivable, discount, paid
+PSM_ROWS = [
+    ("1", "20190511", 199.49, 0.00, 199.49),
+    ("3", "20190501", 158.00, 4.34, 153.66),
+    ("2", "20190520", 649.00, 60.00, 589.00),
+    ("4", "20190517", 1399.00, 420.50, 978.50),
+    ("4", "20190515", 60.99, 5.00, 55.99),
+    ("1", "20190512", 499.00, 5.00, 494.00),
+    ("2", "20190522", 104.80, 23.00, 81.80),
+    ("1", "20190513", 376.00, 42.95, 333.05),
+    ("3", "20190502", 1099.00, 150.00, 949.00),
+    ("3", "20190503", 1099.00, 0.00, 1099.00),
+    ("5", "20190503", 10.00, 0.00, 10.00),
+]
+PSM_WANT = {
+    "1": (3, 1074.49, 2, 47.95, 0.666667, 0.066939, 0.044626, 0.778231),
+    "2": (2, 753.80, 2, 83.00, 1.0, 0.110109, 0.110109, 1.220218),
+    "3": (3, 2356.00, 2, 154.34, 0.666667, 0.098264, 0.065509, 0.830440),
+    "4": (2, 1459.99, 2, 425.50, 1.0, 0.291440, 0.291440, 1.582881),
+    "5": (1, 10.0, 0, 0.0, 0.0, 0.0, 0.0, 0.0),
+}
+
+
+@pytest.fixture(scope="module")
+def psm_orders(spark):
+    return spark.createDataFrame(PSM_ROWS, "u string, day string, ra double, da double, aa double")
+
+
+def _by_user(df):
+    names = ("otn", "rat", "dotn", "dat", "dor", "odr", "dara", "score")
+    return {r["u"]: tuple(round(r[n], 6) for n in names) for r in df.collect()}
+
+
+def test_psm(psm_orders):
+    assert _by_user(score.psm(psm_orders, "u", "aa", "da")) == PSM_WANT
+
+
+def test_psm_positive(psm_orders):
+    assert _by_user(score.psm_positive(psm_orders, "u", "ra", "da")) == PSM_WANT
+
+
+def test_psm_negative_coupon_is_in_no_count(spark):
+    df = spark.createDataFrame([(1, 10.0, -2.0), (1, 10.0, 2.0)], "u int, aa double, da double")
+    got = score.psm(df, "u", "aa", "da").first()
+    assert (got["otn"], got["dotn"], got["dat"]) == (1, 1, 0.0)
+
+
+def test_psm_bands_keep_their_holes(spark):
+    df = spark.createDataFrame([(1, 1.2), (2, 0.5), (3, 0.35), (4, 0.0), (5, -0.1), (6, 0.2), (7, 1.0)], "u int, score double")
+    got = {r["u"]: r["tag_id"] for r in score.psm_band(df, "u", seeds.PSM).collect()}
+    assert got == {1: 234, 2: 235, 3: None, 4: 237, 5: 238, 6: 236, 7: 234}
+
+
+RFM_ROWS = [
+    ("1", "20190519", 1998), ("1", "20190522", 2998), ("1", "20190521", 1998), ("2", "20190523", 1099),
+    ("2", "20190520", 909), ("3", "20190519", 1999), ("1", "20190519", 2499), ("3", "20190519", 1499),
+    ("4", "20190519", 1998), ("1", "20190519", 2099), ("1", "20190519", 1899), ("2", "20190519", 499),
+    ("1", "20190519", 2199), ("3", "20190519", 1799), ("1", "20190519", 2249),
+]
+
+
+def test_rfm(spark):
+    df = spark.createDataFrame(RFM_ROWS, "u string, d string, m int").withColumn("t", F.to_timestamp("d", "yyyyMMdd"))
+    got = {r["u"]: (r["recency"], r["frequency"], r["monetary"]) for r in score.rfm(df, "u", "t", "d", "m", "2019-05-24").collect()}
+    assert got == {"1": (2, 8, 17939.0), "2": (1, 3, 2507.0), "3": (5, 3, 5297.0), "4": (5, 1, 1998.0)}
+
+
+@pytest.mark.parametrize(
+    "recency, frequency, monetary, compat, closed",
+    [
+        (0, 250, 199999.5, (None, 5, None), (5, 5, 4)),
+        (3, 1, 9999.0, (5, 1, 1), (5, 1, 1)),
+        (16, 49, 9999.5, (1, 1, None), (1, 1, 1)),
+        (400, 150, 200000.0, (1, 4, 5), (1, 4, 5)),
+    ],
+)
+def test_rfm_score_holes(spark, recency, frequency, monetary, compat, closed):
+    df = spark.createDataFrame([(recency, frequency, monetary)], "recency int, frequency bigint, monetary double")
+    for flag, want in ((True, compat), (False, closed)):
+        got = score.rfm_score(df, compat=flag).first()
+        assert (got["r_score"], got["f_score"], got["m_score"]) == want
+
+
+RFE_ROWS = [
+    ("1", "20190719"), ("1", "20190809"), ("1", "20190721"), ("1", "20190721"), ("2", "20190723"), ("2", "20190720"),
+    ("2", "20190719"), ("3", "20190719"), ("3", "20190719"), ("3", "20190719"), ("4", "20190719"), ("4", "20190719"),
+]
+
+
+def test_rfe_and_total(spark):
+    df = spark.createDataFrame(RFE_ROWS, "u string, url string").withColumn("t", F.to_timestamp("url", "yyyyMMdd"))
+    features = score.rfe(df, "u", "t", "url", "2019-08-10")
+    got = {r["u"]: (r["recency"], r["frequency"], r["engagements"]) for r in features.collect()}
+    assert got == {"1": (1, 4, 3), "2": (18, 3, 3), "3": (22, 3, 1), "4": (22, 2, 1)}
+    total = {r["u"]: r["total"] for r in score.rfe_score_total(features).collect()}
+    assert total == {"1": 6 + 3 + 3, "2": 1 + 2 + 3, "3": 1 + 2 + 1, "4": 1 + 2 + 1}
+
+
+def test_rfe_hole_is_dropped(spark):
+    df = spark.createDataFrame([(1, 150), (1, 50)], "recency int, engagements bigint").withColumn("frequency", F.lit(5))
+    scored = score.rfe_score(df, compat=True)
+    assert scored.count() == 2 and score.drop_unscored(scored, "e_score").count() == 1
+    assert score.rfe_score(df).where("e_score is null").count() == 0
+
+
+def test_shop_gender_vote(spark):
+    data = [(1, 0), (1, 0), (1, 1), (2, 1), (2, 1), (2, 1), (3, 0), (3, 1)]
+    df = spark.createDataFrame(data, "u int, label int")
+    got = {r["u"]: r["tag_id"] for r in score.shop_gender_vote(df, "u", "label", seeds.SHOP_GENDER).collect()}
+    assert got == {1: 248, 2: 249}
+
+
+def test_codes(spark):
+    df = spark.createDataFrame([("银色", "4K电视"), ("玫瑰金", "空气净化器"), ("x", None)], "c string, k string")
+    got = [(r["colour_code"], r["type_code"]) for r in score.encode_categories(df, "c", "k").collect()]
+    assert got == [(1, 9), (20, 37), (0, 0)]
+    assert [r["label"] for r in score.weak_label(df, "c", "k").collect()] == [0, 0, 0]
