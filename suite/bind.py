@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 
 from tagloom import seeds
 from tagloom.functions.columns import units
-from tagloom.operators.match import match_column
-from tagloom.operators.stats import age_band_column, rule_band
-from tagloom.plans.jobs import TagJob
+from tagloom.plans.jobs import DAY, RANGE, TagJob, run_pairs, run_profile
 from tagloom.session import small_table, tune
 from tagloom.specs import Rule
 
@@ -138,25 +136,14 @@ USER_JOBS = [
     TagJob("education", "education", tuple(seeds.EDUCATION)),
     TagJob("native_place", "native_place", tuple(seeds.NATIVE_PLACE)),
     TagJob("property", "property", tuple(seeds.PROPERTY)),
+    TagJob("age", "birthday", tuple(seeds.AGE), DAY),
+    TagJob("spending", "spend", tuple(seeds.SPENDING), RANGE),
 ]
 
 
-def user_tags() -> dict[str, Column]:
-    return {
-        "age": age_band_column(F.col("birthday"), seeds.AGE),
-        "spending": rule_band(F.col("spend"), seeds.SPENDING),
-    }
-
-
-def user_tag_columns() -> list[Column]:
-    return [j.tag() for j in USER_JOBS] + list(user_tags().values())
-
-
 def profile(spark: SparkSession, sf: str) -> DataFrame:
     """One row per user with the sorted list of the user's own tags."""
-    from tagloom.plans.jobs import run_profile
-
-    return run_profile(users(spark, sf), "id", USER_JOBS, user_tags())
+    return run_profile(users(spark, sf), "id", USER_JOBS)
 
 
 def purchases(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,7 +159,7 @@ def purchases(spark: SparkSession, sf: str) -> DataFrame:
 
 def pairs(spark: SparkSession, sf: str) -> DataFrame:
     """``(user_id, tag_id)``: own tags and product tags."""
-    own = profile(spark, sf).select("user_id", F.explode("tag_ids").alias("tag_id"))
+    own = run_pairs(users(spark, sf), "id", USER_JOBS)
     return own.unionByName(purchases(spark, sf))
 
 

@@ -95,7 +95,7 @@ def replace_siblings(spark: SparkSession, sf: str) -> DataFrame:
     new = users.select(F.col("id").alias("user_id"), (F.col("id") % 4 / 2 + 50).cast("bigint").alias("tag_id"))
     parents = b.tags(spark, sf).where("level = 5").select(F.col("id").alias("tag_id"), F.col("pid").alias("parent_id"))
     merged = profile.replace_siblings(_old(spark, sf), new, parents)
-    return as_text(merged.withColumn("tag_ids", F.array_sort("tag_ids")))
+    return as_text(merged.withColumn("tag_ids", F.sort_array("tag_ids")))
 
 
 @query("P2_explode_profile", b.sql("SELECT user_id, tag_id FROM own"))
@@ -183,7 +183,7 @@ def _with_merges(spark: SparkSession, sf: str) -> DataFrame:
         F.when(composite.condition(F.col("tag_ids"), members), F.lit(mid).cast("bigint"))
         for mid, members in seeds.COMPOSITES
     ]
-    return b.profile(spark, sf).withColumn("merge_ids", F.array_compact(F.array(*met)))
+    return b.profile(spark, sf).withColumn("merge_ids", match.tag_list(met))
 
 
 @query(
@@ -304,7 +304,7 @@ _TREE = b.sql(
 @query("Q9_portrait_tree", _TREE)
 def portrait_tree(spark: SparkSession, sf: str) -> DataFrame:
     """Nested portraits with composite tags; as text, one row per user."""
-    flat = search.portrait(b.profile(spark, sf).select("user_id", F.explode("tag_ids").alias("tag_id")), b.tags(spark, sf))
+    flat = search.portrait(profile.explode_profile(b.profile(spark, sf)), b.tags(spark, sf))
     merges = composite.eval_merge_tags(b.profile(spark, sf), seeds.COMPOSITES)
     tree = search.portrait_tree(flat, merges=merges)
     return tree.select("user_id", F.to_json("tags").alias("tags"), F.array_join(F.col("merge_tags").cast("array<string>"), ",").alias("merge_tags"))

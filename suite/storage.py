@@ -166,7 +166,7 @@ def merge_versions(spark: SparkSession, sf: str) -> DataFrame:
     job = match.match_tag(users, "id", "job", seeds.JOB).withColumnRenamed("id", "user_id")
     writers.write_merged_profile(gender, root, 1)
     stored = spark.read.parquet(writers.write_merged_profile(job, root, 2, base=1))
-    return stored.select("user_id", F.array_join(F.array_sort("tag_ids").cast("array<string>"), ",").alias("tag_ids"))
+    return stored.select("user_id", F.array_join(F.sort_array("tag_ids").cast("array<string>"), ",").alias("tag_ids"))
 
 
 @query(
@@ -251,7 +251,7 @@ def _text(df: DataFrame) -> DataFrame:
 def scan(spark: SparkSession, sf: str) -> DataFrame:
     entries = F.transform(F.map_entries("cells"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return cells.scan(b.cells(spark, sf), "detail").select(
-        "rowkey", F.array_join(F.array_sort(entries), ";").alias("row")
+        "rowkey", F.array_join(F.sort_array(entries), ";").alias("row")
     )
 
 

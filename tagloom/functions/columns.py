@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,6 +113,21 @@ def units(value: Column, scale: int = 2) -> Column:
     return F.rint(value * F.lit(float(10**scale))).cast("bigint")
 
 
+def literal(text: str) -> str:
+    """Text as a literal of an SQL expression."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def map_literal(table: Mapping[str, int], dtype: str) -> Column:
+    """A fixed table as a map that the optimizer folds to one literal.
+
+    A lookup in it is a short loop. A chain of comparisons would make one long
+    method, which the JVM stops compiling once it is too long.
+    """
+    entries = ", ".join(f"{literal(k)}, {v}" for k, v in table.items())
+    return F.expr(f"cast(map({entries}) as map<string, {dtype}>)")
+
+
 def rule_value(rule: Column, name: str) -> Column:
     """Value of one ``key=value`` line in a rule text, up to the end of the line;
     only the first ``=`` separates. Empty where the key is missing."""

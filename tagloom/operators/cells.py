@@ -63,7 +63,7 @@ def cells_to_rows(cells: DataFrame, family: str, fields: Sequence[str], key: str
 
 def scan(cells: DataFrame, family: str) -> DataFrame:
     """Every row of a family as a map from qualifier to value."""
-    pairs = F.map_from_entries(F.array_sort(F.collect_list(F.struct("qualifier", "value"))))
+    pairs = F.map_from_entries(F.sort_array(F.collect_list(F.struct("qualifier", "value"))))
     return latest(cells.where(F.col("family") == family)).groupBy("rowkey").agg(pairs.alias("cells"))
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagloom.operators.match import CASE_LIMIT
+from tagloom.operators.match import CASE_LIMIT, tag_list
+from tagloom.operators.profile import explode_profile
 from tagloom.session import broadcast_if, is_small, small_table
 
 _MEMBER = re.compile(r"(\d+)\s*(and|or)?", re.IGNORECASE)
@@ -75,12 +76,12 @@ def eval_merge_tags(
             for seq, (tag, connector) in enumerate(members, start=1)
         ]
         table = small_table(profile.sparkSession, rows, "merge_tag_id bigint, seq int, basic_tag_id bigint, connector string")
-        pairs = profile.select(user, F.explode(tags).alias("tag_id"))
-        return eval_merge_table(pairs, table, user)
+        return eval_merge_table(explode_profile(profile, user, tags), table, user)
     met = [
         F.when(condition(F.col(tags), members), F.lit(mid).cast("bigint")) for mid, members in rules
     ]
-    return profile.select(user, F.explode(F.array_compact(F.array(*met))).alias("merge_tag_id"))
+    rows = profile.select(user, F.explode_outer(tag_list(met)).alias("merge_tag_id"))
+    return rows.where("merge_tag_id is not null")
 
 
 def member_groups(members: DataFrame) -> DataFrame:

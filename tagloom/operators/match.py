@@ -7,20 +7,27 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.functions.columns import map_literal
 from tagloom.session import BROADCAST_ROWS, broadcast_if, is_small, small_table
 from tagloom.specs import Rule, in_order
 
-# Longer chains would outgrow one generated method; they become a join.
+# Longer rule lists are looked up by a hash join instead of within the row.
 CASE_LIMIT = 200
 
 
-def match_column(value: Column, rules: Sequence[Rule]) -> Column:
-    chain = None
+def first_tags(rules: Sequence[Rule]) -> dict[str, int]:
+    """Tag by rule text; of several rules with one text the first counts."""
+    first: dict[str, int] = {}
     for rule in in_order(rules):
-        test = value == F.lit(rule.text)
-        tag = F.lit(rule.tag_id).cast("bigint")
-        chain = F.when(test, tag) if chain is None else chain.when(test, tag)
-    return F.lit(None).cast("bigint") if chain is None else chain
+        first.setdefault(rule.text, rule.tag_id)
+    return first
+
+
+def match_column(value: Column, rules: Sequence[Rule]) -> Column:
+    """Tag of the rule that equals the value, else null."""
+    if not rules:
+        return F.lit(None).cast("bigint")
+    return map_literal(first_tags(rules), "bigint")[value]
 
 
 def match_tag(
@@ -36,9 +43,7 @@ def match_tag_join(
     df: DataFrame, key: str, column: str, rules: Sequence[Rule], out: str = "tag_id"
 ) -> DataFrame:
     """The same tags with the rules as a table, for long rule lists."""
-    first: dict[str, int] = {}
-    for rule in in_order(rules):
-        first.setdefault(rule.text, rule.tag_id)
+    first = first_tags(rules)
     table = small_table(df.sparkSession, list(first.items()), f"_rule string, `{out}` bigint")
     table = broadcast_if(len(first) <= BROADCAST_ROWS, table)
     return df.join(table, F.col(column) == F.col("_rule"), "left").select(key, out)
@@ -61,5 +66,8 @@ def match_many(df: DataFrame, key: str, columns: Mapping[str, Column]) -> DataFr
 
 
 def tag_list(columns: Sequence[Column]) -> Column:
-    """The tags of a row as a list without nulls."""
-    return F.array_compact(F.array(*columns))
+    """The distinct tags of a row as a list without nulls.
+
+    ``array_except`` stays in generated code, where a filter with a lambda would not.
+    """
+    return F.array_except(F.array(*columns), F.array(F.lit(None).cast("bigint")))

@@ -14,9 +14,9 @@ SEPARATOR = ","
 
 
 def decode_tags(text: Column) -> Column:
-    """Comma list to array; the empty text is the empty list."""
-    parts = F.filter(F.split(text, SEPARATOR), lambda x: F.trim(x) != "")
-    return F.transform(parts, lambda x: F.trim(x).cast("bigint"))
+    """Comma list to array, each tag once; parts that are no number are left out, so
+    the empty text is the empty list."""
+    return F.array_except(F.split(text, SEPARATOR).try_cast("array<bigint>"), F.array(F.lit(None).cast("bigint")))
 
 
 def encode_tags(tags: Column) -> Column:
@@ -24,8 +24,14 @@ def encode_tags(tags: Column) -> Column:
 
 
 def explode_profile(profile: DataFrame, user: str = "user_id", tags: str = "tag_ids") -> DataFrame:
-    """One row per user and tag, without repeats."""
-    return profile.select(user, F.explode(F.array_distinct(tags)).alias("tag_id"))
+    """One row per user and tag, without repeats.
+
+    The outer form with a filter behind it says the same as a plain explode. For
+    the plain form Spark puts a size test below it, which would compute a list
+    that is made on the way a second time.
+    """
+    rows = profile.select(user, F.explode_outer(F.array_distinct(tags)).alias("tag_id"))
+    return rows.where("tag_id is not null")
 
 
 def collapse_profile(pairs: DataFrame, user: str = "user_id", tag: str = "tag_id") -> DataFrame:
@@ -37,7 +43,7 @@ def collapse_profile(pairs: DataFrame, user: str = "user_id", tag: str = "tag_id
     return (
         pairs.where(F.col(user).isNotNull() & F.col(tag).isNotNull())
         .groupBy(F.col(user).alias("user_id"))
-        .agg(F.array_sort(F.collect_set(F.col(tag).cast("bigint"))).alias("tag_ids"))
+        .agg(F.sort_array(F.collect_set(F.col(tag).cast("bigint"))).alias("tag_ids"))
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom import seeds
-from tagloom.functions.columns import day, exact_sum
+from tagloom.functions.columns import day, exact_sum, map_literal
 from tagloom.operators.stats import band_column
 from tagloom.specs import Rule, bands, close_gaps
 
@@ -92,9 +92,8 @@ def rfe_score_total(features: DataFrame) -> DataFrame:
 def activity_band(features: DataFrame, user: str, rules: Sequence[Rule], best: int = 18) -> DataFrame:
     """Six-step total as tenths of the best total, then its band."""
     tenths = F.floor(F.col("total") * 10 / F.lit(float(best)) + F.lit(0.5)) / F.lit(10.0)
-    return rfe_score_total(features).select(
-        user, "total", tenths.alias("share"), band_column(tenths, bands(rules)).alias("tag_id")
-    )
+    shares = rfe_score_total(features).select(user, "total", tenths.alias("share"))
+    return shares.select(user, "total", "share", band_column(F.col("share"), bands(rules)).alias("tag_id"))
 
 
 def psm(orders: DataFrame, user: str, paid: str, coupon: str, scale: int = 2) -> DataFrame:
@@ -156,8 +155,7 @@ def psm_band(scored: DataFrame, user: str, rules: Sequence[Rule], score: str = "
 
 def lookup(value: Column, codes: Mapping[str, int]) -> Column:
     """Code of a text from a fixed table, 0 if it has none."""
-    table = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
-    return F.coalesce(table[value], F.lit(0))
+    return F.coalesce(map_literal(codes, "int")[value], F.lit(0))
 
 
 def encode_categories(

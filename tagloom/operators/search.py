@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from tagloom.functions.columns import classify_account, mask, mask_name
 from tagloom.operators.catalog import leaf_paths, leaf_tags, small_tree
+from tagloom.operators.profile import explode_profile
 from tagloom.session import broadcast_if, small_table
 
 
@@ -19,7 +20,7 @@ def _ids(ids: Sequence[int]) -> Column:
 
 def users_by_tags_any(profile: DataFrame, tags: DataFrame, ids: Sequence[int]) -> DataFrame:
     """Users holding any level-5 tag at or below the ids, once each."""
-    pairs = profile.select("user_id", F.explode("tag_ids").alias("tag_id"))
+    pairs = explode_profile(profile)
     wanted = broadcast_if(small_tree(tags), leaf_tags(tags, ids))
     return pairs.join(wanted, "tag_id", "left_semi").select("user_id").distinct()
 
@@ -67,7 +68,7 @@ def count_users_by_tags(profile: DataFrame, basic: Sequence[int], merge: Sequenc
 def tag_user_count(profile: DataFrame, tag_type: int = 1) -> DataFrame:
     """Users per tag. A profile row lists a tag once, so counting rows is exact and
     needs no distinct; partial counts keep a popular tag to one row per task."""
-    pairs = profile.select(F.explode(F.array_distinct("tag_ids")).alias("tag_id"))
+    pairs = explode_profile(profile)
     return pairs.groupBy("tag_id").agg(F.count("*").alias("user_count")).select(
         "tag_id", F.lit(tag_type).alias("tag_type"), "user_count"
     )
@@ -128,7 +129,7 @@ def portrait_tree(paths: DataFrame, user: str = "user_id", merges: DataFrame | N
     ``merges`` adds the user's composite tags.
     """
     rows = paths.groupBy(user).agg(
-        F.array_sort(
+        F.sort_array(
             F.collect_set(
                 F.struct(*[F.struct(F.col(f"l{i}").alias("id"), F.col(f"l{i}_name").alias("name")).alias(f"l{i}") for i in range(1, 6)])
             )
@@ -136,7 +137,7 @@ def portrait_tree(paths: DataFrame, user: str = "user_id", merges: DataFrame | N
     )
     out = rows.select(user, _forest(F.col("_paths"), 1).alias("tags"))
     if merges is not None:
-        lists = merges.groupBy(user).agg(F.array_sort(F.collect_set("merge_tag_id")).alias("merge_tags"))
+        lists = merges.groupBy(user).agg(F.sort_array(F.collect_set("merge_tag_id")).alias("merge_tags"))
         out = out.join(lists, user, "left")
     return out
 

@@ -72,7 +72,7 @@ def range_tag(
 ) -> DataFrame:
     if len(items) > CASE_LIMIT:
         return range_tag_join(df, key, value, items, out)
-    return df.select(key, band_column(value, items).alias(out))
+    return df.select(key, value.alias("_v")).select(key, band_column(F.col("_v"), items).alias(out))
 
 
 def disjoint(items: Sequence[Band]) -> list[tuple[float, float, int]]:
@@ -151,11 +151,12 @@ def range_tag_join(
 
 def age_band(df: DataFrame, key: str, birthday: str, rules: Sequence[Rule], out: str = "tag_id") -> DataFrame:
     """Decade of birth; the birthday may be written with or without dashes."""
-    return df.select(key, age_band_column(F.col(birthday), rules).alias(out))
+    return range_tag(df, key, day_number(F.col(birthday)), bands(rules), out)
 
 
-def age_band_column(birthday: Column, rules: Sequence[Rule]) -> Column:
-    return rule_band(F.regexp_replace(birthday, "-", "").try_cast("int"), rules)
+def day_number(text: Column) -> Column:
+    """A date text, dashed or not, as a number that reads yyyyMMdd."""
+    return F.translate(text.cast("string"), "-", "").try_cast("int")
 
 
 def purchase_cycle(
@@ -209,7 +210,7 @@ def payment_counts(orders: DataFrame, user: str, code: str, rules: Sequence[Rule
 def zodiac_tag(df: DataFrame, key: str, birthday: Column, out: str = "tag_id") -> DataFrame:
     sign = zodiac(birthday)
     rules = [Rule(tag, name) for name, tag in ZODIAC_TAGS.items()]
-    return df.select(key, sign.alias("sign"), match_column(sign, rules).alias(out))
+    return df.select(key, sign.alias("sign")).select(key, "sign", match_column(F.col("sign"), rules).alias(out))
 
 
 def order_value(

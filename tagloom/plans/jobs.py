@@ -2,56 +2,76 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.operators.match import match_column, match_many, tag_list
-from tagloom.operators.stats import rule_band
+from tagloom.operators.match import match_column, tag_list
+from tagloom.operators.profile import explode_profile
+from tagloom.operators.stats import day_number, rule_band
 from tagloom.sinks.writers import write_merged_profile
 from tagloom.sources.readers import read_source
 from tagloom.specs import Rule, SourceSpec
 
 
+MATCH, RANGE, DAY = "match", "range", "day"
+
+
 @dataclass(frozen=True)
 class TagJob:
-    """One level-4 tag over a user table: the column, its rules, how they apply."""
+    """One level-4 tag over a user table: the column, its rules, how they apply.
+
+    ``match`` compares text, ``range`` numbers, ``day`` dates as yyyyMMdd numbers.
+    """
 
     name: str
     column: str
     rules: tuple[Rule, ...]
-    kind: str = "match"
-
-    def tag(self) -> Column:
-        value = F.col(self.column)
-        if self.kind == "match":
-            return match_column(value.cast("string"), self.rules)
-        if self.kind == "range":
-            return rule_band(value.try_cast("double"), self.rules)
+    kind: str = MATCH
+
+    def value(self) -> Column:
+        """What the rules look at."""
+        raw = F.col(self.column)
+        if self.kind == MATCH:
+            return raw.cast("string")
+        if self.kind == RANGE:
+            return raw.try_cast("double")
+        if self.kind == DAY:
+            return day_number(raw)
         raise ValueError(f"unknown kind of tag job: {self.kind!r}")
 
+    def tag(self, value: Column) -> Column:
+        return match_column(value, self.rules) if self.kind == MATCH else rule_band(value, self.rules)
 
-def run_wide(users: DataFrame, key: str, jobs: Sequence[TagJob]) -> DataFrame:
-    """All jobs over one scan, one column per tag."""
-    return match_many(users, key, {j.name: j.tag() for j in jobs})
 
+def _values(users: DataFrame, key: str, jobs: Sequence[TagJob]) -> DataFrame:
+    """The key and one prepared value per job, so that no rule prepares it again."""
+    return users.select(F.col(key), *[j.value().alias(f"_{j.name}") for j in jobs])
 
-def run_pairs(users: DataFrame, key: str, jobs: Sequence[TagJob], also: Mapping[str, Column] | None = None) -> DataFrame:
-    """All jobs over one scan as ``(user_id, tag_id)`` rows."""
-    columns = [j.tag() for j in jobs] + list((also or {}).values())
-    return users.select(F.col(key).alias("user_id"), F.explode(tag_list(columns)).alias("tag_id"))
+
+def _tags(jobs: Sequence[TagJob]) -> list[Column]:
+    return [j.tag(F.col(f"_{j.name}")).alias(j.name) for j in jobs]
 
 
-def run_profile(users: DataFrame, key: str, jobs: Sequence[TagJob], also: Mapping[str, Column] | None = None) -> DataFrame:
+def run_wide(users: DataFrame, key: str, jobs: Sequence[TagJob]) -> DataFrame:
+    """All jobs over one scan, one column per tag."""
+    return _values(users, key, jobs).select(key, *_tags(jobs))
+
+
+def run_profile(users: DataFrame, key: str, jobs: Sequence[TagJob]) -> DataFrame:
     """All jobs over one scan as profile rows, without a shuffle; the key is unique."""
-    columns = [j.tag() for j in jobs] + list((also or {}).values())
-    return users.select(
-        F.col(key).alias("user_id"), F.array_sort(F.array_distinct(tag_list(columns))).alias("tag_ids")
+    return _values(users, key, jobs).select(
+        F.col(key).alias("user_id"), F.sort_array(tag_list(_tags(jobs))).alias("tag_ids")
     )
 
 
+def run_pairs(users: DataFrame, key: str, jobs: Sequence[TagJob]) -> DataFrame:
+    """All jobs over one scan as ``(user_id, tag_id)`` rows."""
+    return explode_profile(run_profile(users, key, jobs))
+
+
 def tag_source(
     spark: SparkSession, spec: SourceSpec, key: str, jobs: Sequence[TagJob], root: str, version: int, base: int | None = None
 ) -> str:

@@ -115,7 +115,7 @@ def test_cells_source_without_family_rows(spark, tmp_path):
 
 def test_run_wide_and_pairs_agree(spark, rows):
     users = small_table(spark, [(1, "1", "152"), (2, "9", "999")], "id bigint, gender string, height string")
-    todo = [jobs.TagJob("gender", "gender", tuple(seeds.GENDER)), jobs.TagJob("height", "height", tuple(seeds.HEIGHT), "range")]
+    todo = [jobs.TagJob("gender", "gender", tuple(seeds.GENDER)), jobs.TagJob("height", "height", tuple(seeds.HEIGHT), jobs.RANGE)]
     assert rows(jobs.run_wide(users, "id", todo)) == {(1, 50, 60), (2, None, None)}
     assert rows(jobs.run_pairs(users, "id", todo)) == {(1, 50), (1, 60)}
     assert rows(jobs.run_profile(users, "id", todo)) == {(1, (50, 60)), (2, ())}
