@@ -442,37 +442,41 @@ def shop_features(spark: SparkSession, sf: str) -> DataFrame:
 _CODES = ["colour_code", "type_code"]
 
 
-def _shop_parts(spark: SparkSession, sf: str, shares: list[float]) -> list[DataFrame]:
-    """Train and test points: distinct codes with label and count. Both splits are
-    counted in one pass over the goods."""
-    train, test = ml.split(_shop(spark, sf), shares, "order_sn")
-    return [ml.assemble(ml.compress(d, ["label", *_CODES]), _CODES) for d in (train, test)]
+def _shop_points(spark: SparkSession, sf: str, share: float) -> DataFrame:
+    """Distinct codes with label, side of the split and count: one pass over the
+    goods serves both sides."""
+    rows = _shop(spark, sf).withColumn("train", ml.draw("order_sn") < share)
+    return ml.assemble(ml.compress(rows, ["train", "label", *_CODES]), _CODES)
 
 
 @query("A21_decision_tree")
 def decision_tree(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _shop_parts(spark, sf, [0.7, 0.3])
-    model = ml.decision_tree_fit(train, weight="weight")
-    return model.transform(test).groupBy("label", "predicted_label").agg(F.sum("weight").cast("bigint").alias("n"))
+    points = _shop_points(spark, sf, 0.7)
+    model = ml.decision_tree_fit(points.where("train"), weight="weight")
+    test = model.transform(points.where("not train"))
+    return test.groupBy("label", "predicted_label").agg(F.sum("weight").cast("bigint").alias("n"))
 
 
 @query("A22_evaluate")
 def evaluate(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _shop_parts(spark, sf, [0.7, 0.3])
-    model = ml.decision_tree_fit(train, weight="weight")
-    parts = [
-        ml.evaluate(model.transform(d), weight="weight").withColumn("part", F.lit(n))
-        for n, d in (("train", train), ("test", test))
-    ]
+    with ml.kept(_shop_points(spark, sf, 0.7)) as points:
+        model = ml.decision_tree_fit(points.where("train"), weight="weight")
+        parts = [
+            ml.evaluate(model.transform(points.where(side)), weight="weight").withColumn("part", F.lit(name))
+            for name, side in (("train", "train"), ("test", "not train"))
+        ]
     return parts[0].unionByName(parts[1])
 
 
 @query("A22_shop_gender_job")
 def shop_gender(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job: no tags unless both splits are predicted well enough."""
-    parts = _shop_parts(spark, sf, [0.7, 0.3])
-    model = ml.decision_tree_fit(parts[0], weight="weight")
-    accuracy = [ml.evaluate(model.transform(d), auc=False, weight="weight").first()["accuracy"] for d in parts]
+    with ml.kept(_shop_points(spark, sf, 0.7)) as points:
+        model = ml.decision_tree_fit(points.where("train"), weight="weight")
+        accuracy = [
+            ml.evaluate(model.transform(points.where(side)), auc=False, weight="weight").first()["accuracy"]
+            for side in ("train", "not train")
+        ]
     rows = ml.assemble(_shop(spark, sf), _CODES)
     predicted = model.transform(rows).withColumn("predicted", F.col("predicted_label").cast("double"))
     votes = score.shop_gender_vote(predicted, "member_id", "predicted", seeds.SHOP_GENDER)
@@ -572,14 +576,16 @@ def bisecting(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("A25_random_forest")
 def random_forest(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _shop_parts(spark, sf, [0.7, 0.3])
-    return ml.evaluate(ml.random_forest_fit(train, weight="weight").transform(test), weight="weight")
+    with ml.kept(_shop_points(spark, sf, 0.7)) as points:
+        model = ml.random_forest_fit(points.where("train"), weight="weight")
+        return ml.evaluate(model.transform(points.where("not train")), weight="weight")
 
 
 @query("A26_naive_bayes")
 def naive_bayes(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _shop_parts(spark, sf, [0.6, 0.4])
-    return ml.evaluate(ml.naive_bayes_fit(train, weight="weight").transform(test), auc=False, weight="weight")
+    with ml.kept(_shop_points(spark, sf, 0.6)) as points:
+        model = ml.naive_bayes_fit(points.where("train"), weight="weight")
+        return ml.evaluate(model.transform(points.where("not train")), auc=False, weight="weight")
 
 
 @query("A27_pca")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from suite import bind as b
 from tagloom import seeds
-from tagloom.operators import cells, match, search
+from tagloom.operators import cells, match, profile, search
 from tagloom.session import shared_dir
 from tagloom.sinks import writers
 from tagloom.sources import readers
@@ -169,6 +169,24 @@ def merge_versions(spark: SparkSession, sf: str) -> DataFrame:
     return stored.select("user_id", F.array_join(F.sort_array("tag_ids").cast("array<string>"), ",").alias("tag_ids"))
 
 
+@query(
+    "K2_merge_bucketed_profile",
+    b.sql(
+        f"""SELECT user_id, array_to_string(list_sort(list(tag_id)), ',') AS tag_ids FROM (
+        SELECT id AS user_id, {b.sql_match('gender', seeds.GENDER)} AS tag_id FROM u UNION ALL
+        SELECT id, {b.sql_match('job', seeds.JOB)} FROM u) WHERE tag_id IS NOT NULL GROUP BY user_id"""
+    ),
+)
+def merge_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored profile keeps its buckets; only the new tags are shuffled to them."""
+    users, path = b.users(spark, sf), shared_dir(spark, "bucketed")
+    first = profile.collapse_profile(match.match_tag(users, "id", "gender", seeds.GENDER), "id")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = writers.write_bucketed(first, f"tagloom_{path[-12:]}", path, "user_id", buckets)
+    merged = profile.merge_profile(stored, match.match_tag(users, "id", "job", seeds.JOB), "id")
+    return merged.select("user_id", profile.encode_tags(F.sort_array("tag_ids")).alias("tag_ids"))
+
+
 @query(
     "K3_rows_to_cells",
     b.sql(

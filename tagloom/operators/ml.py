@@ -234,14 +234,18 @@ def _fit_trees(
         return Pipeline(stages=[labels, index, classifier, back]).fit(held)
 
 
+def draw(key: str, seed: int = 10) -> Column:
+    """A random number from 0 to 1 that depends on the row's key alone, so a task
+    that runs again draws the same."""
+    return F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+
+
 def split(df: DataFrame, shares: Sequence[float], key: str, seed: int = 10) -> list[DataFrame]:
-    """Random split that depends on the row's key alone, so a task that runs again
-    puts every row on the same side."""
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    total, parts, lo = float(sum(shares)), [], 0.0
+    """Random split by key."""
+    number, total, parts, lo = draw(key, seed), float(sum(shares)), [], 0.0
     for i, share in enumerate(shares):
         hi = 1.0 if i == len(shares) - 1 else lo + share / total
-        parts.append(df.where((draw >= lo) & (draw < hi)))
+        parts.append(df.where((number >= lo) & (number < hi)))
         lo = hi
     return parts
 

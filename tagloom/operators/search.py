@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from tagloom.functions.columns import classify_account, mask, mask_name
 from tagloom.operators.catalog import leaf_paths, leaf_tags, small_tree
 from tagloom.operators.profile import explode_profile
-from tagloom.session import broadcast_if, small_table
+from tagloom.session import broadcast_if, is_small, small_table
 
 
 def _ids(ids: Sequence[int]) -> Column:
@@ -194,14 +194,16 @@ def lookup_users(numbers: DataFrame, users: DataFrame, number: str = "num") -> D
     ``users`` has ``id, mobile, email, qq, id_card``. Each number is looked up once
     however often it was asked for, so a popular number is no heavy join key.
     """
-    asked = numbers.select(F.col(number).alias("num")).distinct().select("num", classify_account(F.col("num")).alias("kind"))
+    asked = numbers.select(F.col(number).alias("num")).distinct()
+    asked = asked.select("num", classify_account(F.col("num")).alias("kind")).where("kind is not null")
+    asked = broadcast_if(is_small(numbers), asked)
     accounts = users.select(
         F.col("id").alias("user_id"),
         F.explode(
             F.create_map(*[x for k in ("mobile", "email", "qq", "id_card") for x in (F.lit(k), F.col(k))])
         ).alias("kind", "num"),
     ).where("num is not null")
-    return asked.where("kind is not null").join(accounts, ["kind", "num"]).select("num", "kind", "user_id")
+    return accounts.join(asked, ["kind", "num"]).select("num", "kind", "user_id")
 
 
 def masked_users(users: DataFrame, name: str, hidden: Sequence[str]) -> DataFrame:

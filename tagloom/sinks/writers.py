@@ -56,6 +56,26 @@ def write_merged_profile(new: DataFrame, root: str, version: int, base: int | No
     return write_version(merge_profile(old, new), root, version)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Write a table bucketed and sorted by its key and return it.
+
+    A profile kept this way is merged, joined and grouped by user without being
+    shuffled again; only the new rows travel. Take at least as many buckets as
+    the session has shuffle partitions. The rows are brought together by bucket
+    first, so that each bucket is one file.
+    """
+    (
+        df.repartition(buckets, key)
+        .write.mode("errorifexists")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .format("parquet")
+        .saveAsTable(table)
+    )
+    return df.sparkSession.table(table)
+
+
 def profile_cells(profile: DataFrame, family: str = "user", prefix: str = "u_") -> DataFrame:
     """Profile rows as cells: key ``u_<id>``, columns userId and tagIds."""
     rows = profile.select(

@@ -70,8 +70,11 @@ def read_tsv_fixed(spark: SparkSession, path: str, kind: str, fields: Sequence[t
     """TAB lines of a known kind. Lines with too few fields are dropped; what is
     too much stays in the last field. ``fields`` picks ``(name, position)``."""
     size = TSV_FIELDS[kind]
-    parts = spark.read.text(path).select(F.split("value", "\t", size).alias("p"))
-    return parts.where(F.size("p") == size).select(*[F.col("p")[i].alias(n) for n, i in fields])
+    # a line has that many fields if it has at least one TAB less; counting them
+    # first means that only the lines that stay are split
+    tabs = F.length("value") - F.length(F.translate("value", "\t", ""))
+    parts = spark.read.text(path).where(tabs >= size - 1).select(F.split("value", "\t", size).alias("p"))
+    return parts.select(*[F.col("p")[i].alias(n) for n, i in fields])
 
 
 def read_libsvm(spark: SparkSession, path: str, features: int | None = None) -> DataFrame:
