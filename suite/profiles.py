@@ -395,16 +395,22 @@ def eval_merge(spark: SparkSession, sf: str) -> DataFrame:
     return composite.eval_merge_tags(b.profile(spark, sf), seeds.COMPOSITES)
 
 
-@query(
-    "C2_eval_merge_table",
-    b.sql(
-        f"""SELECT DISTINCT x.user_id, p_partkey + 1 AS merge_tag_id FROM part
-        JOIN bought x ON x.tag_id IN (p_partkey + {b.GOODS_BASE}, p_partkey + {b.GOODS_BASE + 1})
-        JOIN bought y ON y.user_id = x.user_id AND y.tag_id = p_partkey + {b.GOODS_BASE + 2}"""
-    ),
+_PER_PRODUCT = b.sql(
+    f"""SELECT DISTINCT x.user_id, p_partkey + 1 AS merge_tag_id FROM part
+    JOIN bought x ON x.tag_id IN (p_partkey + {b.GOODS_BASE}, p_partkey + {b.GOODS_BASE + 1})
+    JOIN bought y ON y.user_id = x.user_id AND y.tag_id = p_partkey + {b.GOODS_BASE + 2}"""
 )
+
+
+@query("C2_eval_merge_texts", _PER_PRODUCT)
+def eval_merge_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """A rule text per product over everything that members bought."""
+    return composite.eval_merge_texts(b.purchases(spark, sf), b.merge_tags(spark, sf), "id")
+
+
+@query("C2_eval_merge_table", _PER_PRODUCT)
 def eval_merge_table(spark: SparkSession, sf: str) -> DataFrame:
-    """A rule per product over everything that members bought."""
+    """The same rules as member rows."""
     return composite.eval_merge_table(b.purchases(spark, sf), b.merge_members(spark, sf))
 
 

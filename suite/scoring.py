@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from suite import bind as b
 from tagloom import seeds
 from tagloom.operators import ml, score
+from tagloom.plans import training
 from tagloom.session import shared_dir
 from tagloom.sinks.writers import load_or_fit
 from tagloom.specs import Rule, rules
@@ -353,9 +354,28 @@ def cluster_to_tag(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("A15_cluster_tags")
 def cluster_tags(spark: SparkSession, sf: str) -> DataFrame:
-    """Train, rank and tag: the spending band of every scored user."""
-    model = ml.kmeans_fit(_scored_points(spark, sf), len(seeds.SPENDING), weight="weight")
-    return ml.cluster_tags(_scored_vectors(spark, sf), "member_id", model, seeds.SPENDING)
+    """Customer value: train on the RFM scores, store, load, and tag every user."""
+    scored, path = rfm_scored(spark, sf), shared_dir(spark, "rfm")
+    training.train(scored, _SCORES, len(seeds.SPENDING), path)
+    return training.predict(scored, "member_id", _SCORES, path, seeds.SPENDING)
+
+
+@query("A15_activity_clusters")
+def activity_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """User activity: RFE scores scaled to 0..1, four clusters, four tags."""
+    names = ["r_score", "f_score", "e_score"]
+    scored = score.drop_unscored(rfe_scored(spark, sf), *names)
+    scaled = ml.scale_minmax(ml.assemble(scored, names)).select("user_id", F.col("scaled").alias("features"))
+    model = ml.kmeans_fit(ml.compress(scaled, ["features"]), len(seeds.ACTIVITY), weight="weight")
+    return ml.cluster_tags(scaled, "user_id", model, seeds.ACTIVITY)
+
+
+@query("A15_sensitivity_clusters")
+def sensitivity_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """Price sensitivity: the PSM score alone, five clusters, five tags."""
+    scored, path = score.psm(b.priced_orders(spark, sf), "member_id", "amount", "coupon", 4), shared_dir(spark, "psm")
+    training.train(scored, ["score"], len(seeds.PSM), path, distinct=False)
+    return training.predict(scored, "member_id", ["score"], path, seeds.PSM)
 
 
 @query(

@@ -47,7 +47,8 @@ def read_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("S2_read_wide", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer")
 def read_wide(spark: SparkSession, sf: str) -> DataFrame:
-    return readers.read_wide(spark, f"{sf}/customer.parquet", ["c_mktsegment", "c_nationkey"], key="c_custkey")
+    catalog = readers.catalog_text(f"{sf}/customer.parquet", ["c_mktsegment", "c_nationkey"], "info", key="c_custkey")
+    return readers.read_catalog(spark, catalog)
 
 
 @query("S3_read_tag_family", b.sql("SELECT id, name, level, pid FROM tags WHERE id = 42 OR pid = 42"))

@@ -72,7 +72,7 @@ def cell_predicates(spark: SparkSession, sf: str) -> DataFrame:
     b.sql(
         f"""SELECT order_sn, CAST(date_diff('day', CAST(pay_time AS DATE), DATE '{b.AS_OF_ORDERS}') AS INTEGER) AS days,
         pay_time >= DATE '{b.AS_OF_ORDERS}' - 182 AS half_year, pay_time >= DATE '{b.AS_OF_ORDERS}' - INTERVAL 1 MONTH AS month,
-        pay_time >= DATE '{b.AS_OF_ORDERS}' - 60 AS sixty FROM ord WHERE pay_time >= DATE '{b.AS_OF_ORDERS}' - 182"""
+        pay_time >= DATE '{b.AS_OF_ORDERS}' - 60 AS sixty, epoch_ms(DATE '{b.AS_OF_ORDERS}' - 60) AS sixty_ms FROM ord WHERE pay_time >= DATE '{b.AS_OF_ORDERS}' - 182"""
     ),
 )
 def relative_time(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,6 +88,7 @@ def relative_time(spark: SparkSession, sf: str) -> DataFrame:
             since("0.5y").alias("half_year"),
             since("1m").alias("month"),
             since("60d").alias("sixty"),
+            pred.epoch_millis(pred.relative_day("60d", b.AS_OF_ORDERS)).alias("sixty_ms"),
         )
     )
 

@@ -84,22 +84,52 @@ def eval_merge_tags(
     return rows.where("merge_tag_id is not null")
 
 
-def member_groups(members: DataFrame) -> DataFrame:
-    """Members with their group number: how many ``and`` stand before them."""
-    before = (
-        Window.partitionBy("merge_tag_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+def condition_groups(rules: DataFrame, key: str = "merge_tag_id", text: str = "condition") -> DataFrame:
+    """Rule texts as rows ``(merge_tag_id, tag_id, grp, need)``: the ``and`` parts of a
+    text are its groups, the ``or`` parts their tags. Each text is taken apart in
+    its own row, so nothing is shuffled."""
+    body = F.regexp_replace(F.lower(F.trim(F.col(text))), r"\s+(and|or)$", "")
+    groups = F.split(body, r"\s+and\s+")
+    return (
+        rules.select(F.col(key).alias("merge_tag_id"), groups.alias("_g"))
+        .select("merge_tag_id", F.size("_g").alias("need"), F.posexplode("_g").alias("grp", "_t"))
+        .select("merge_tag_id", "need", "grp", F.explode(F.split("_t", r"\s+or\s+")).alias("_t"))
+        .select("merge_tag_id", F.col("_t").cast("bigint").alias("tag_id"), "grp", "need")
     )
+
+
+def member_groups(members: DataFrame) -> DataFrame:
+    """The same from stored member rows: the group of a member is how many ``and``
+    stand before it, and a rule needs one more than its last group number."""
+    rule = Window.partitionBy("merge_tag_id")
+    before = rule.orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     number = F.coalesce(F.sum(F.when(F.col("connector") == "and", 1).otherwise(0)).over(before), F.lit(0))
-    return members.select("merge_tag_id", F.col("basic_tag_id").alias("tag_id"), number.alias("grp"))
+    return (
+        members.select("merge_tag_id", F.col("basic_tag_id").alias("tag_id"), number.cast("int").alias("grp"))
+        .withColumn("need", F.max("grp").over(rule) + 1)
+    )
+
+
+def eval_merge_groups(pairs: DataFrame, groups: DataFrame, user: str = "user_id") -> DataFrame:
+    """``(user, merge_tag_id)`` where the groups hit are as many as the rule has."""
+    return (
+        pairs.join(groups, "tag_id")
+        .groupBy(user, "merge_tag_id", "need")
+        .agg(F.countDistinct("grp").alias("_hit"))
+        .where("_hit = need")
+        .select(user, "merge_tag_id")
+    )
+
+
+def eval_merge_texts(pairs: DataFrame, rules: DataFrame, key: str = "merge_tag_id", text: str = "condition") -> DataFrame:
+    """Rules as a table of texts."""
+    groups = condition_groups(rules, key, text)
+    return eval_merge_groups(pairs, broadcast_if(is_small(groups), groups))
 
 
 def eval_merge_table(pairs: DataFrame, members: DataFrame, user: str = "user_id") -> DataFrame:
-    """The same with rules as a table: a user meets a rule when the groups hit are
-    as many as the rule has."""
-    grouped = broadcast_if(is_small(members), member_groups(members))
-    needed = grouped.groupBy("merge_tag_id").agg(F.countDistinct("grp").alias("_need"))
-    hits = pairs.join(grouped, "tag_id").groupBy(user, "merge_tag_id").agg(F.countDistinct("grp").alias("_hit"))
-    return hits.join(needed, "merge_tag_id").where("_hit = _need").select(user, "merge_tag_id")
+    """Rules as a table of members."""
+    return eval_merge_groups(pairs, broadcast_if(is_small(members), member_groups(members)), user)
 
 
 def merge_tag_user_count(matches: DataFrame) -> DataFrame:

@@ -30,6 +30,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str = "tagloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    # call sites of every column expression help only in error messages
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME, **conf}.items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,20 @@ def read_wide(spark: SparkSession, path: str, fields: Sequence[str], key: str =
     return spark.read.parquet(path).select(*[F.col(c).cast("string").alias(c) for c in (key, *fields)])
 
 
+def catalog_text(table: str, fields: Sequence[str], family: str, key: str = "id") -> str:
+    """Catalog of a wide table: the key and its fields, all text."""
+    columns = {key: {"cf": "rowkey", "col": key, "type": "string"}}
+    columns |= {f: {"cf": family, "col": f, "type": "string"} for f in fields}
+    return json.dumps({"table": {"namespace": "default", "name": table}, "rowkey": key, "columns": columns})
+
+
+def read_catalog(spark: SparkSession, catalog: str) -> DataFrame:
+    """The wide table that a catalog text describes."""
+    spec = json.loads(catalog)
+    fields = [name for name, c in spec["columns"].items() if c["cf"] != "rowkey"]
+    return read_wide(spark, spec["table"]["name"], fields, spec["rowkey"])
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,

@@ -141,3 +141,16 @@ def test_split_depends_on_the_key_only(spark):
 def test_cluster_stats(spark):
     df = spark.createDataFrame([(0, 1, 2), (0, 5, 5), (1, 0, 1)], "prediction int, a int, b int")
     assert [tuple(r) for r in ml.cluster_stats(df, ["a", "b"]).collect()] == [(0, 3, 10), (1, 1, 1)]
+
+
+def test_train_then_predict(spark, tmp_path):
+    from tagloom.plans import training
+
+    data = [(i, float(i % 3) * 10, float(i % 3)) for i in range(90)]
+    df = spark.createDataFrame(data, "u int, a double, b double")
+    path = str(tmp_path / "model")
+    training.train(df, ["a", "b"], 3, path)
+    tags = training.predict(df, "u", ["a", "b"], path, [Rule(t, "", i) for i, t in enumerate((7, 8, 9), 1)])
+    assert {r["tag_id"] for r in tags.where("u % 3 = 2").collect()} == {7}
+    assert {r["tag_id"] for r in tags.where("u % 3 = 0").collect()} == {9}
+    assert tags.count() == 90

@@ -105,7 +105,11 @@ def test_composites_against_brute_force(spark, rows):
         "merge_tag_id bigint, seq int, basic_tag_id bigint, connector string",
     )
     assert rows(composite.eval_merge_tags(df, rules)) == want
-    assert rows(composite.eval_merge_table(profile.explode_profile(df), table)) == want
+    pairs = profile.explode_profile(df)
+    assert rows(composite.eval_merge_table(pairs, table)) == want
+    texts = [(m, " ".join(f"{t} {c}" for t, c in members)) for m, members in rules]
+    texts = small_table(spark, texts, "merge_tag_id bigint, condition string")
+    assert rows(composite.eval_merge_texts(pairs, texts)) == want
 
 
 # ---------------------------------------------------------------- search
