@@ -110,10 +110,10 @@ def audit_total(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "Q18_tag_audit_page",
-    b.sql(f"SELECT * FROM {_AUDIT} ORDER BY ctime DESC, type, tag_id, id NULLS FIRST LIMIT 30 OFFSET 30"),
+    b.sql(f"SELECT * REPLACE (CAST(ctime AS VARCHAR) AS ctime) FROM {_AUDIT} a ORDER BY a.ctime DESC, type, tag_id, id NULLS FIRST LIMIT 30 OFFSET 30"),
 )
 def audit_page(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.tag_audit_list(_audit(spark, sf), 2, 30)
+    return catalog.tag_audit_list(_audit(spark, sf), 2, 30).withColumn("ctime", F.col("ctime").cast("string"))
 
 
 @query("Q19_tags_per_merge_tag", b.sql("SELECT merge_tag_id, count(*) AS members FROM members GROUP BY 1"))

@@ -49,19 +49,22 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- merging
 
-# An existing profile: two thirds of the members, some without any tag yet.
-_OLD = """(SELECT id AS user_id, CASE WHEN id % 5 = 0 THEN [] ELSE [50 + id % 2, 850] END AS tags FROM u WHERE id % 3 <> 0)"""
-_NEW = f"(SELECT id AS user_id, {b.sql_match('job', seeds.JOB)} AS tag_id FROM u WHERE id % 2 = 0)"
+# An existing profile: the members whose property is known; without a known
+# education the list is empty. The new tags: jobs, but for the first kind of job.
+_OLD = """(SELECT id AS user_id, CASE WHEN education IS NULL THEN [] ELSE [50 + id % 2, 850] END AS tags
+  FROM u WHERE property IS NOT NULL)"""
+_NEW = f"(SELECT id AS user_id, {b.sql_match('job', seeds.JOB[1:])} AS tag_id FROM u)"
 
 
 def _old(spark: SparkSession, sf: str) -> DataFrame:
     i = F.col("id")
-    tags = F.when(i % 5 == 0, F.array().cast("array<bigint>")).otherwise(F.array(i % 2 + 50, F.lit(850).cast("bigint")))
-    return b.users(spark, sf).where(i % 3 != 0).select(i.alias("user_id"), tags.alias("tag_ids"))
+    none = F.array().cast("array<bigint>")
+    tags = F.when(F.col("education").isNull(), none).otherwise(F.array(i % 2 + 50, F.lit(850).cast("bigint")))
+    return b.users(spark, sf).where("property is not null").select(i.alias("user_id"), tags.alias("tag_ids"))
 
 
 def _new(spark: SparkSession, sf: str) -> DataFrame:
-    tagged = match.match_tag(b.users(spark, sf).where(F.col("id") % 2 == 0), "id", "job", seeds.JOB)
+    tagged = match.match_tag(b.users(spark, sf), "id", "job", seeds.JOB[1:])
     return tagged.withColumnRenamed("id", "user_id")
 
 
@@ -86,13 +89,12 @@ def merge_profile(spark: SparkSession, sf: str) -> DataFrame:
         SELECT coalesce(o.user_id, n.user_id) AS user_id, list_concat(CASE WHEN n.tag_id IS NULL THEN coalesce(o.tags, [])
           ELSE list_filter(coalesce(o.tags, []), lambda x: x NOT IN (50, 51)) END,
           CASE WHEN n.tag_id IS NULL THEN [] ELSE [n.tag_id] END) AS tags FROM {_OLD} o FULL JOIN
-          (SELECT id AS user_id, 50 + id % 4 // 2 AS tag_id FROM u WHERE id % 2 = 0) n ON o.user_id = n.user_id)"""
+          (SELECT id AS user_id, {b.sql_match('gender', seeds.GENDER)} AS tag_id FROM u WHERE gender IN ('1', '2')) n ON o.user_id = n.user_id)"""
     ),
 )
 def replace_siblings(spark: SparkSession, sf: str) -> DataFrame:
-    """Every second member gets a gender tag anew; the old one has to go."""
-    users = b.users(spark, sf).where(F.col("id") % 2 == 0)
-    new = users.select(F.col("id").alias("user_id"), (F.col("id") % 4 / 2 + 50).cast("bigint").alias("tag_id"))
+    """Members of known gender get that tag anew; another old one has to go."""
+    new = match.match_tag(b.users(spark, sf), "id", "gender", seeds.GENDER).withColumnRenamed("id", "user_id")
     parents = b.tags(spark, sf).where("level = 5").select(F.col("id").alias("tag_id"), F.col("pid").alias("parent_id"))
     merged = profile.replace_siblings(_old(spark, sf), new, parents)
     return as_text(merged.withColumn("tag_ids", F.sort_array("tag_ids")))

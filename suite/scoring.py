@@ -500,7 +500,7 @@ def shop_gender(spark: SparkSession, sf: str) -> DataFrame:
     rows = ml.assemble(_shop(spark, sf), _CODES)
     predicted = model.transform(rows).withColumn("predicted", F.col("predicted_label").cast("double"))
     votes = score.shop_gender_vote(predicted, "member_id", "predicted", seeds.SHOP_GENDER)
-    return votes if min(accuracy) > 0.8 else votes.limit(0)
+    return votes.where(F.lit(min(accuracy) > 0.8))
 
 
 @query(

@@ -131,22 +131,21 @@ def read_libsvm(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "K1_write_profile_wide",
     b.sql(
-        f"""SELECT id, CASE WHEN id % 2 = 0 THEN {b.sql_match('gender', seeds.GENDER)} END AS tag_8,
-        coalesce(CASE WHEN id % 3 = 0 THEN {b.sql_match('marriage', seeds.MARRIAGE)} END, CASE WHEN id % 2 = 0 THEN
-        {b.sql_match('job', seeds.JOB)} END) AS tag_14, CASE WHEN id % 3 = 0 THEN {b.sql_match('political', seeds.POLITICAL)} END AS tag_13
-        FROM u WHERE id % 2 = 0 OR id % 3 = 0"""
+        f"""SELECT id, CASE WHEN a THEN {b.sql_match('gender', seeds.GENDER)} END AS tag_8,
+        coalesce(CASE WHEN z THEN {b.sql_match('marriage', seeds.MARRIAGE)} END, CASE WHEN a THEN
+        {b.sql_match('job', seeds.JOB)} END) AS tag_14, CASE WHEN z THEN {b.sql_match('political', seeds.POLITICAL)} END AS tag_13
+        FROM (SELECT *, education IS NOT NULL AS a, property IS NOT NULL AS z FROM u) WHERE a OR z"""
     ),
 )
 def write_wide(spark: SparkSession, sf: str) -> DataFrame:
     """Two versions: the second writes one old column and one new one."""
     users, root = b.users(spark, sf), shared_dir(spark, "wide")
-    i = F.col("id")
     first = match.match_many(
-        users.where(i % 2 == 0), "id",
+        users.where("education is not null"), "id",
         {"tag_8": match.match_column(F.col("gender"), seeds.GENDER), "tag_14": match.match_column(F.col("job"), seeds.JOB)},
     )
     second = match.match_many(
-        users.where(i % 3 == 0), "id",
+        users.where("property is not null"), "id",
         {"tag_14": match.match_column(F.col("marriage"), seeds.MARRIAGE), "tag_13": match.match_column(F.col("political"), seeds.POLITICAL)},
     )
     writers.write_profile_wide(first, root, 1)
