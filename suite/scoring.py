@@ -535,6 +535,13 @@ def tree_threshold(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy("label", "predicted_label").agg(F.sum("weight").cast("bigint").alias("n"))
 
 
+@query("A25_random_forest_threshold", _CONFUSION)
+def forest_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _threshold(spark, sf)
+    out = ml.random_forest_fit(rows, weight="weight").transform(rows)
+    return out.groupBy("label", "predicted_label").agg(F.sum("weight").cast("bigint").alias("n"))
+
+
 @query("A28_points_tree_threshold", _CONFUSION)
 def points_threshold(spark: SparkSession, sf: str) -> DataFrame:
     rows = _threshold(spark, sf)

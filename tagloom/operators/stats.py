@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagloom.functions.columns import day, device_type, exact_sum, zodiac
-from tagloom.operators.match import CASE_LIMIT, match_column
+from tagloom.operators.match import match_column
 from tagloom.session import BROADCAST_ROWS, broadcast_if, small_table
 from tagloom.specs import Band, Rule, bands
 
+# A longer chain of comparisons makes a method the JVM no longer compiles.
+BAND_LIMIT = 64
+
 # Order of the signs in the catalogue. Tag ids 103 to 114.
 ZODIAC_TAGS = {
     "aries": 103,
@@ -70,7 +73,7 @@ def rule_band(value: Column, rules: Sequence[Rule], dtype: str = "bigint") -> Co
 def range_tag(
     df: DataFrame, key: str, value: Column, items: Sequence[Band], out: str = "tag_id"
 ) -> DataFrame:
-    if len(items) > CASE_LIMIT:
+    if len(items) > BAND_LIMIT:
         return range_tag_join(df, key, value, items, out)
     return df.select(key, value.alias("_v")).select(key, band_column(F.col("_v"), items).alias(out))
 
@@ -170,9 +173,11 @@ def purchase_cycle(
 
 def most_frequent(df: DataFrame, user: str, column: str, out: str = "value") -> DataFrame:
     """Each user's most frequent value and its count; equal counts take the least
-    value. Counting per value first leaves a busy user one row per value."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(user, column).agg(F.count("*").alias("_n"))
-    best = F.min(F.struct((-F.col("_n")).alias("n"), F.col(column).alias("v")))
+    value, a missing one last. Counting per value first leaves a busy user one row
+    per value."""
+    counts = df.groupBy(user, column).agg(F.count("*").alias("_n"))
+    value = F.col(column)
+    best = F.min(F.struct((-F.col("_n")).alias("n"), value.isNull().alias("missing"), value.alias("v")))
     return (
         counts.groupBy(user)
         .agg(best.alias("_best"))
@@ -257,8 +262,10 @@ def last_login(logs: DataFrame, user: str, time: str, as_of: str, rules: Sequenc
 
 
 def favourite_tag(df: DataFrame, user: str, label: Column, rules: Sequence[Rule]) -> DataFrame:
-    """Most frequent label per user and its tag: page type, device, category, brand."""
-    top = most_frequent(df.select(user, label.alias("_label")), user, "_label", "label")
+    """Most frequent label per user and its tag: page type, device, category, brand.
+    Rows without a label do not count."""
+    labelled = df.select(user, label.alias("_label")).where("_label is not null")
+    top = most_frequent(labelled, user, "_label", "label")
     return top.select(user, "label", "n", match_column(F.col("label"), rules).alias("tag_id"))
 
 

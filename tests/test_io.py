@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from tagloom import seeds
 from tagloom.operators import ml
 from tagloom.plans import jobs
-from tagloom.session import shared_dir, small_table
+from tagloom.operators.profile import merge_profile
+from tagloom.session import is_small, shared_dir, small_table
 from tagloom.sinks import writers
 from tagloom.sources import readers
 from tagloom.specs import HBASE, SourceSpec, parse_rule
@@ -17,6 +18,22 @@ def test_shared_dir_is_below_the_configured_folder(spark):
     assert one != two and (base is None or one.startswith(base))
 
 
+def test_size_check_counts_to_the_limit(spark):
+    assert is_small(spark.range(10), 10) and not is_small(spark.range(11), 10)
+    assert is_small(spark.range(0), 0)
+
+
+def test_bucketed_profile_is_not_shuffled_again(spark, rows, tmp_path):
+    first = small_table(spark, [(u, [50]) for u in range(40)], "user_id bigint, tag_ids array<bigint>")
+    stored = writers.write_bucketed(first, "tagloom_test_bucketed", str(tmp_path / "p"), "user_id", 8)
+    assert len(list((tmp_path / "p").glob("part-*"))) <= 8
+    new = small_table(spark, [(1, 83), (99, 84)], "user_id bigint, tag_id bigint")
+    merged = merge_profile(stored, new)
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 1
+    assert {r for r in rows(merged) if r[0] in (0, 1, 99)} == {(0, (50,)), (1, (50, 83)), (99, (84,))}
+    spark.sql("drop table tagloom_test_bucketed")
+
+
 def test_versions_are_never_overwritten(spark, rows, tmp_path):
     root = str(tmp_path)
     new = small_table(spark, [(1, 50)], "user_id bigint, tag_id bigint")
