@@ -366,7 +366,8 @@ def activity_clusters(spark: SparkSession, sf: str) -> DataFrame:
     names = ["r_score", "f_score", "e_score"]
     scored = score.drop_unscored(rfe_scored(spark, sf), *names)
     scaled = ml.scale_minmax(ml.assemble(scored, names)).select("user_id", F.col("scaled").alias("features"))
-    model = ml.kmeans_fit(ml.compress(scaled, ["features"]), len(seeds.ACTIVITY), weight="weight")
+    points = ml.compress(scaled, ["features"])
+    model = ml.kmeans_fit(points, len(seeds.ACTIVITY), seed=20, max_iter=20, weight="weight")
     return ml.cluster_tags(scaled, "user_id", model, seeds.ACTIVITY)
 
 

@@ -82,10 +82,12 @@ def drop_unscored(df: DataFrame, *scores: str) -> DataFrame:
 
 
 def rfe_score_total(features: DataFrame) -> DataFrame:
-    """Six-step scores and their sum."""
+    """Six-step scores and their sum; a user without page views scores 0 for them."""
     scored = rfe_score(
         features, seeds.SIX_RECENCY, seeds.SIX_FREQUENCY, seeds.SIX_ENGAGEMENT, compat=True
     )
+    names = ("r_score", "f_score", "e_score")
+    scored = scored.fillna(0, subset=list(names))
     return scored.withColumn("total", F.col("r_score") + F.col("f_score") + F.col("e_score"))
 
 

@@ -173,11 +173,10 @@ def purchase_cycle(
 
 def most_frequent(df: DataFrame, user: str, column: str, out: str = "value") -> DataFrame:
     """Each user's most frequent value and its count; equal counts take the least
-    value, a missing one last. Counting per value first leaves a busy user one row
-    per value."""
-    counts = df.groupBy(user, column).agg(F.count("*").alias("_n"))
-    value = F.col(column)
-    best = F.min(F.struct((-F.col("_n")).alias("n"), value.isNull().alias("missing"), value.alias("v")))
+    value. A missing value counts 0, so it stands only for users who have no other.
+    Counting per value first leaves a busy user one row per value."""
+    counts = df.groupBy(user, column).agg(F.count(column).alias("_n"))
+    best = F.min(F.struct((-F.col("_n")).alias("n"), F.col(column).alias("v")))
     return (
         counts.groupBy(user)
         .agg(best.alias("_best"))

@@ -100,6 +100,8 @@ def test_rfe_and_total(spark):
     assert got == {"1": (1, 4, 3), "2": (18, 3, 3), "3": (22, 3, 1), "4": (22, 2, 1)}
     total = {r["u"]: r["total"] for r in score.rfe_score_total(features).collect()}
     assert total == {"1": 6 + 3 + 3, "2": 1 + 2 + 3, "3": 1 + 2 + 1, "4": 1 + 2 + 1}
+    silent = score.rfe(df.withColumn("url", F.lit(None).cast("string")), "u", "t", "url", "2019-08-10")
+    assert {r["total"] for r in score.rfe_score_total(silent).collect()} == {6, 1}
 
 
 def test_rfe_hole_is_dropped(spark):

@@ -59,10 +59,10 @@ def test_purchase_cycle_from_epoch_seconds(spark):
 
 
 def test_payment_ties(spark):
-    data = [(1, "wxpay"), (1, "alipay"), (2, "other"), (2, "other"), (2, "cod"), (3, None), (4, None), (4, "cod")]
+    data = [(1, "wxpay"), (1, "alipay"), (2, "other"), (2, "other"), (2, "cod"), (3, None), (4, None), (4, None), (4, "cod")]
     orders = spark.createDataFrame(data, "u int, c string")
     got = {r["u"]: (r["code"], r["n"], r["tag_id"]) for r in stats.most_used_payment(orders, "u", "c", seeds.PAYMENT).collect()}
-    assert got == {1: ("alipay", 1, 143), 2: ("other", 2, None), 3: (None, 1, None), 4: ("cod", 1, 146)}
+    assert got == {1: ("alipay", 1, 143), 2: ("other", 2, None), 3: (None, 0, None), 4: ("cod", 1, 146)}
 
 
 def test_latest_payment_ties(spark):
