@@ -217,6 +217,39 @@ def users_merge(spark: SparkSession, sf: str) -> DataFrame:
     return search.users_by_tag(_with_merges(spark, sf), 4, 2, 25)
 
 
+@query(
+    "Q3_user_details",
+    b.sql(
+        """SELECT left(name, 1) || '**' AS name, left(id_card, 3) || repeat('*', 12) || right(id_card, 3) AS id_card,
+        left(mobile, 3) || repeat('*', 5) || right(mobile, 3) AS mobile FROM u
+        WHERE id IN (SELECT user_id FROM own WHERE tag_id = 84 ORDER BY user_id LIMIT 25)"""
+    ),
+)
+def user_details(spark: SparkSession, sf: str) -> DataFrame:
+    """The first users of a tag as they are shown: names and numbers masked."""
+    found = search.users_by_tag(_with_merges(spark, sf), 84, 1, 25)
+    shown = search.user_details(found, b.users(spark, sf), "name", ["id_card", "mobile"], 25)
+    return shown.select("name", "id_card", "mobile")
+
+
+@query(
+    "Q8_top_users_shown",
+    b.sql(
+        """SELECT tag_id, CAST(rn AS INTEGER) AS rn, left(name, 1) || '**' AS name, left(mobile, 3) || repeat('*', 5) || right(mobile, 3) AS mobile
+        FROM (SELECT tag_id, user_id, row_number() OVER (PARTITION BY tag_id ORDER BY user_id) AS rn FROM own
+          JOIN leaves USING (tag_id) WHERE ancestor_id = 14) JOIN u ON id = user_id WHERE rn <= 5"""
+    ),
+)
+def top_users_shown(spark: SparkSession, sf: str) -> DataFrame:
+    """Five sample users for each child of the job tag, masked."""
+    rules = [r.tag_id for r in seeds.JOB]
+    rows = profile.explode_profile(b.profile(spark, sf)).where(F.col("tag_id").isin(*rules))
+    top = search.top_users_per_tag(rows, 5)
+    people = search.masked_users(b.users(spark, sf).select("id", "name", "mobile"), "name", ["mobile"])
+    shown = people.join(F.broadcast(top), F.col("id") == F.col("user_id"))  # five rows per rule
+    return shown.select("tag_id", "rn", "name", "mobile")
+
+
 @query("Q3_users_by_unknown_type", b.sql("SELECT user_id FROM own WHERE false"))
 def users_none(spark: SparkSession, sf: str) -> DataFrame:
     return search.users_by_tag(_with_merges(spark, sf), 84, 3, 25)

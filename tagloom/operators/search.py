@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from tagloom.functions.columns import classify_account, mask, mask_name
 from tagloom.operators.catalog import leaf_paths, leaf_tags, small_tree
 from tagloom.operators.profile import explode_profile
-from tagloom.session import broadcast_if, is_small, small_table
+from tagloom.session import BROADCAST_ROWS, broadcast_if, is_small, small_table
 
 
 def _ids(ids: Sequence[int]) -> Column:
@@ -210,3 +210,11 @@ def masked_users(users: DataFrame, name: str, hidden: Sequence[str]) -> DataFram
     """Users with shortened names and numbers hidden but for three characters at
     both ends."""
     return users.withColumns({name: mask_name(F.col(name)), **{c: mask(F.col(c)) for c in hidden}})
+
+
+def user_details(
+    found: DataFrame, users: DataFrame, name: str, hidden: Sequence[str], n: int, key: str = "id"
+) -> DataFrame:
+    """Masked rows of at most n found users; n tells whether to broadcast them."""
+    wanted = broadcast_if(n <= BROADCAST_ROWS, found.select(F.col("user_id").alias(key)))
+    return masked_users(users.join(wanted, key, "left_semi"), name, hidden)
