@@ -36,13 +36,27 @@ from tagloom.session import small_table
 from tagloom.specs import Rule, in_order
 
 
+# Up to this many rows a fit runs on few partitions, so many rows to each.
+PACKED_ROWS, ROWS_PER_TASK = 1_000_000, 100_000
+
+
 @contextmanager
 def kept(df: DataFrame):
-    """Data that a fit iterates over, released afterwards."""
+    """Data that a fit iterates over, released afterwards.
+
+    A fit runs many short jobs. Counted points are few but lie in as many
+    partitions as the shuffle before them had, so they are packed into as many as
+    their number needs; larger data stays spread as it is.
+    """
     held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = held.count()
+    packed = held
+    if rows <= PACKED_ROWS:
+        packed = held.coalesce(max(1, -(-rows // ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield held
+        yield packed
     finally:
+        packed.unpersist()
         held.unpersist()
 
 
@@ -167,7 +181,6 @@ def _sweep(points: DataFrame, ks: Sequence[int], estimator, parallelism: int) ->
         return float(estimator(k).fit(held).summary.trainingCost)
 
     with kept(points) as held, ThreadPool(min(parallelism, len(ks))) as pool:
-        held.count()
         costs = pool.map(inheritable_thread_target(points.sparkSession)(cost), ks)
     bend = [
         costs[i - 1] - 2 * costs[i] + costs[i + 1] if 0 < i < len(costs) - 1 else None

@@ -154,3 +154,11 @@ def test_train_then_predict(spark, tmp_path):
     assert {r["tag_id"] for r in tags.where("u % 3 = 2").collect()} == {7}
     assert {r["tag_id"] for r in tags.where("u % 3 = 0").collect()} == {9}
     assert tags.count() == 90
+
+
+def test_few_points_are_packed_and_released(spark):
+    df = spark.range(1000).repartition(64)
+    with ml.kept(df) as held:
+        assert held.rdd.getNumPartitions() == 1 and held.count() == 1000
+        assert held.storageLevel.useMemory
+    assert not df.storageLevel.useMemory
