@@ -10,9 +10,6 @@ from tools.plans import FORBIDDEN, plan_of
 
 SF = "/root/testdata/sf0.001"
 
-# The fits of this sweep take long; test_ml runs it on a few points.
-SLOW = {"A24_bisecting_sweep"}
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -30,7 +27,7 @@ def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in SLOW])
+@pytest.mark.parametrize("name", list(queries()))
 def test_query(spark, duck, name):
     result, n = compare(spark, duck, SF, name)
     assert result.startswith(("ok", "rows only")), result
