@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,3 +29,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def carried() -> None:
+    """Functions of this package travel to the workers as they are, so that a cluster
+    needs no copy of it installed."""
+    cloudpickle.register_pickle_by_value(sys.modules["tagloom.llm"])
+
+
+carried()

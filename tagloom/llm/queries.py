@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat, rules
+from tagloom.llm import chat, decontam, packing, rules, tokens
 from tagloom.llm.common import table
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -104,7 +104,27 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    stored = tokens.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.read_ids(stored)
+
+
+def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_quality_rules": (op4_quality_rules, OP4_SQL),
     "op5_chat_format": (op5_chat_format, OP5_SQL),
+    "op6_decontamination": (op6_decontamination, None),
+    "op8_token_planes": (op8_token_planes, None),
+    "op9_best_fit": (op9_best_fit, None),
 }
