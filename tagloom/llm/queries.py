@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat, decontam, packing, rules, tokens
+from tagloom.llm import chat, decontam, packing, rules, simhash, tokens
 from tagloom.llm.common import table
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rules.quality_rules(table(spark, sf_dir, "documents"))
     return out.select(
@@ -122,6 +127,7 @@ def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": (op1_simhash, None),
     "op4_quality_rules": (op4_quality_rules, OP4_SQL),
     "op5_chat_format": (op5_chat_format, OP5_SQL),
     "op6_decontamination": (op6_decontamination, None),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 MULTIPLIER = 0x9E3779B97F4A7C15
 _M = np.uint64(MULTIPLIER)
@@ -90,3 +91,14 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     ends[1:] = inside[:-1] & (blank[1:] | first[1:])
     s, e = np.flatnonzero(starts), np.flatnonzero(ends)
     return s, e, np.searchsorted(s, offsets)
+
+
+def portions(batch: pa.RecordBatch, column: str, work_bytes: int):
+    """Slices of a batch with up to so many bytes in a column, or one longer value."""
+    values = batch[column].cast(pa.large_binary())
+    ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(values), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + work_bytes, "right")))
+        yield batch.slice(at, to - at)
+        at = to
