@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat, decontam, packing, rules, simhash, tokens
+from tagloom.llm import chat, decontam, doubling, packing, rules, simhash, suffix, tokens
 from tagloom.llm.common import table
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -16,6 +16,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix.repeated_bytes(table(spark, sf_dir, "documents"), length=50)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = doubling.repeated_words(table(spark, sf_dir, "documents"), length=20, with_text=False)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rules.quality_rules(table(spark, sf_dir, "documents"))
     return out.select(
@@ -128,6 +138,8 @@ def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
+    "op2_suffix_array": (op2_suffix_array, None),
+    "op3_substring": (op3_substring, None),
     "op4_quality_rules": (op4_quality_rules, OP4_SQL),
     "op5_chat_format": (op5_chat_format, OP5_SQL),
     "op6_decontamination": (op6_decontamination, None),
