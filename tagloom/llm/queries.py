@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat, decontam, doubling, packing, rules, simhash, suffix, tokens
+from tagloom.llm import chat, decontam, doubling, lines, packing, rules, simhash, suffix, tokens
 from tagloom.llm.common import table
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -136,6 +136,40 @@ def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = lines.repeated_lines(table(spark, sf_dir, "documents"), max_edits=2, min_chars=24)
+    return gone.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_removed"),
+        F.count_if("near").alias("n_near"),
+        F.array_join(F.transform(F.array_sort(F.collect_list("line_no")), lambda i: i.cast("string")), ",").alias("removed_lines"),
+    )
+
+
+OP10_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(generate_series(0, len(a) - 1)) AS line_no, unnest(a) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)
+), w AS (SELECT * FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), f AS (SELECT line, min((doc_id, line_no)) AS first FROM w GROUP BY line
+), d AS (
+  SELECT line, first, length(line) AS n, length(line) - length(replace(line, 'e', '')) AS e,
+    length(line) - length(replace(line, 'n', '')) AS k, length(line) - length(replace(line, 't', '')) AS t,
+    length(line) - length(replace(line, 'a', '')) AS s
+  FROM f WHERE length(line) >= 24
+), p AS (SELECT *, unnest([n - 2, n - 1, n, n + 1, n + 2]) AS other FROM d
+), near AS (
+  SELECT DISTINCT p.line FROM p JOIN d ON p.other = d.n
+  WHERE d.first < p.first AND abs(p.e - d.e) <= 2 AND abs(p.k - d.k) <= 2 AND abs(p.t - d.t) <= 2
+    AND abs(p.s - d.s) <= 2 AND levenshtein(p.line, d.line) <= 2
+), gone AS (
+  SELECT w.doc_id, w.line_no, (w.doc_id, w.line_no) = f.first AS near FROM w JOIN f USING (line)
+  WHERE (w.doc_id, w.line_no) <> f.first OR w.line IN (SELECT line FROM near)
+)
+SELECT doc_id, count(*) AS n_removed, count(*) FILTER (near) AS n_near,
+  string_agg(line_no::VARCHAR, ',' ORDER BY line_no) AS removed_lines
+FROM gone GROUP BY doc_id
+"""
+
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
     "op2_suffix_array": (op2_suffix_array, None),
@@ -145,4 +179,5 @@ QUERIES = {
     "op6_decontamination": (op6_decontamination, None),
     "op8_token_planes": (op8_token_planes, None),
     "op9_best_fit": (op9_best_fit, None),
+    "op10_line_dedup": (op10_line_dedup, OP10_SQL),
 }
