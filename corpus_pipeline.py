@@ -1,4 +1,9 @@
-"""The training-data pipeline: documents to packed sequences."""
+"""The training-data pipeline: from documents to packed sequences.
+
+Every stage works on all that the one before it kept, calls one operator and lets its
+decisions take effect. The columns of documents stay until the last stage, whose rows say
+where the pieces of the documents go.
+"""
 
 from __future__ import annotations
 
@@ -6,14 +11,54 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.llm.classifier import accepted
 from tagloom.llm.common import table, written
+from tagloom.llm.decontam import decontaminate
+from tagloom.llm.lines import dedup_lines
+from tagloom.llm.packing import pack
+from tagloom.llm.simhash import one_of_each
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat earlier ones go; every document stays, if need be without text."""
+    return dedup_lines(docs, max_edits=2, min_chars=24)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near duplicates the one with the least id stays."""
+    return one_of_each(docs, shingle=3, max_distance=2)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and the sequences they are packed into."""
+    return pack(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality),
+    ("line_dedup", line_dedup),
+    ("simhash_near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("best_fit_packing", packing),
+]
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+# A trained network, fingerprints and packing are beyond SQL; tests hold the stages
+# against brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage over all that the one before it kept, each written and read again."""
+    """Every stage over the documents, each stage's rows written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)

@@ -231,13 +231,17 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
 
     ``n_chars`` follows the text where there is such a column.
     """
-    gone = removed_by_document(docs, id_col=id_col, text=text, **options).select(F.col(id_col).alias("_id"), "removed")
-    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col("_id")), "left").withColumn("_lines", F.split(text, "\n"))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("removed"))
-    joined = joined.withColumn("_left", F.when(F.col("removed").isNotNull(), left))
-    shown = F.array_join(F.transform("_left", lambda i: F.get("_lines", i)), "\n")
-    out = joined.withColumn(text, F.when(F.col("removed").isNotNull(), shown).otherwise(F.col(text)))
+    gone = removed_by_document(docs, id_col=id_col, text=text, **options).select(
+        F.col(id_col).alias("_ld_id"), F.col("removed").alias("_ld_gone")
+    )
+    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col("_ld_id")), "left")
+    some = F.col("_ld_gone").isNotNull()
+    joined = joined.withColumn("_ld_lines", F.when(some, F.split(text, "\n")))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_ld_lines") - 1), F.col("_ld_gone"))
+    joined = joined.withColumn("_ld_left", F.when(some, left))
+    shown = F.array_join(F.transform("_ld_left", lambda i: F.get("_ld_lines", i)), "\n")
+    out = joined.withColumn(text, F.when(some, shown).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(kind))
+        out = out.withColumn("n_chars", F.when(some, F.length(text).cast(kind)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat, decontam, doubling, lines, packing, rules, simhash, suffix, tokens
+from tagloom.llm import chat, classifier, decontam, doubling, lines, packing, rules, simhash, suffix, tokens
 from tagloom.llm.common import table
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -125,6 +125,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -177,6 +181,7 @@ QUERIES = {
     "op4_quality_rules": (op4_quality_rules, OP4_SQL),
     "op5_chat_format": (op5_chat_format, OP5_SQL),
     "op6_decontamination": (op6_decontamination, None),
+    "op7_quality_classifier": (op7_quality_classifier, None),
     "op8_token_planes": (op8_token_planes, None),
     "op9_best_fit": (op9_best_fit, None),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
