@@ -15,6 +15,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,9 @@ from tagloom.llm.common import written
 MAGIC = b"PLN1"
 HEADER = "<4sBIII"  # magic, planes to an id, ids, ids in a block, planes
 LAYOUT = "shard int, chunk int, first long, ids int, payload binary, doc_id long, row long, n_tokens long"
-CACHE = 150_000
+CACHE = 200_000
+# Punctuation that no special token and no contraction of the tokenizer's pattern holds.
+PLAIN_SIGNS = b'.,!?%$&*#;:()"-_/=+@[]{}~^`'
 _tokenizers: dict[str, tuple] = {}
 
 
@@ -36,40 +39,73 @@ def tokenizer(path: str) -> tuple:
     if path not in _tokenizers:
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
+        _tokenizers[path] = (Tokenizer.from_file(path), {}, _byte_letters())
     return _tokenizers[path]
 
 
+def _byte_letters() -> dict[int, str]:
+    """How a byte-level vocabulary writes bytes: printable ones of Latin-1 as they are, the
+    others as the letters from 256 on, in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [x for x in range(256) if x not in shown]
+    return {x: chr(256 + i) for i, x in enumerate(rest)}
+
+
 def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where texts can be cut without changing their tokens.
 
-    A byte-level tokenizer splits a text at its white space first. Before a single space
-    or line end between two other characters it always does, so the pieces between such
-    places are encoded alone. Neighbours that may belong to a wider white space of
-    Unicode don't count.
+    A byte-level tokenizer splits a text by a pattern first: runs of letters, of digits,
+    of other signs, each with a space before it, and white space. So a text can be cut
+    before a single space or line end between two other characters, and between ASCII
+    letters or digits and plain signs. Neighbours that may belong to a wider white space
+    of Unicode don't count.
     """
     n = len(data)
     cut = np.zeros(n + 1, bool)
     if n > 2:
-        blank = (data == 32) | ((data >= 9) & (data <= 13)) | ((data >= 28) & (data <= 31))
-        wide = (data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3))
+        kind = np.zeros(256, np.uint8)  # 1 white space, 2 letter or digit, 4 sign, 8 start of a wide space
+        kind[[*range(9, 14), *range(28, 33)]] = 1
+        kind[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 2
+        kind[list(PLAIN_SIGNS)] = 4
+        kind[[0xC2, 0xE1, 0xE2, 0xE3]] = 8
+        k = kind[data]
         mid = (data[1:-1] == 32) | (data[1:-1] == 10)
-        mid &= ~blank[:-2]
-        mid &= ~(blank[2:] | wide[2:])
-        mid[1:] &= ~wide[:-3]
-        mid[2:] &= ~wide[:-4]
+        mid &= k[:-2] != 1
+        mid &= (k[2:] & 9) == 0
+        mid[1:] &= k[:-3] != 8
+        mid[2:] &= k[:-4] != 8
         cut[1 : n - 1] = mid
+        cut[1:n] |= (k[:-1] | k[1:]) == 6
     cut[offsets] = True
     return np.flatnonzero(cut)
 
 
+def _encoded(pieces: list[bytes], tok, letters: dict[int, str]) -> list[list[int]]:
+    """Ids of pieces. Those of letters alone are one unit of the tokenizer's pattern and go
+    to its model at once; the others take the whole way."""
+    out: list = [None] * len(pieces)
+    model, other = tok.model, []
+    for i, piece in enumerate(pieces):
+        text = piece.decode()
+        if (text[1:] if text[0] == " " else text).isalpha():
+            # only the space of an ASCII piece is written otherwise
+            shown = text.replace(" ", letters[32]) if piece.isascii() else piece.decode("latin-1").translate(letters)
+            out[i] = [t.id for t in model.tokenize(shown)]
+        else:
+            other.append(i)
+    full = tok.encode_batch_fast([pieces[i].decode() for i in other], add_special_tokens=False)
+    for i, x in zip(other, full):
+        out[i] = x.ids
+    return out
+
+
 def encode(data: np.ndarray, offsets: np.ndarray, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, each with the end id, and their counts.
 
     Pieces are told apart by a 64-bit hash and their length; each different one is
-    encoded once, and common ones are remembered.
+    encoded once, and the first ``CACHE`` are remembered.
     """
-    tok, known = tokenizer(path)
+    tok, known, letters = tokenizer(path)
     cuts = _cuts(data, offsets)
     starts, ends = cuts[:-1], cuts[1:]
     n_docs = len(offsets) - 1
@@ -79,21 +115,16 @@ def encode(data: np.ndarray, offsets: np.ndarray, path: str, end_id: int) -> tup
     _, at, back = np.unique(h, return_index=True, return_inverse=True)
     raw = data.tobytes()
     pieces = [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())]
-    new = [p for p in pieces if p not in known]
-    if len(known) + len(new) > CACHE:
-        known.clear()
-        new = pieces
-    fresh = dict(
-        zip(
-            new,
-            (np.array(x.ids, np.uint32) for x in tok.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)),
-        )
-    )
-    lists = [fresh[p] if p in fresh else known[p] for p in pieces]
-    for p in new[: CACHE - len(known)]:
-        known[p] = fresh[p]
+    lists = list(map(known.get, pieces))
+    missing = [i for i, x in enumerate(lists) if x is None]
+    new = [pieces[i] for i in missing]
+    fresh = _encoded(new, tok, letters)
+    for i, x in zip(missing, fresh):
+        lists[i] = x
+    known.update(zip(new[: max(0, CACHE - len(known))], fresh))
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat, where = np.concatenate(lists), np.cumsum(sizes) - sizes
+    flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
+    where = np.cumsum(sizes) - sizes
     counts = sizes[back]
     ids = ragged.gather(flat, where[back], counts)
     # tokens before each text, then room for one end id behind it
@@ -163,7 +194,7 @@ def write_ids(
     chunk_ids: int = 1 << 16,
     block: int = 4096,
     bits: bool = False,
-    work_bytes: int = 6 << 20,
+    work_bytes: int = 2 << 20,
 ) -> DataFrame:
     """The ids of all texts, in ascending order of id, in the table described above.
 
@@ -193,11 +224,7 @@ def write_ids(
             return pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(values, schema)], schema=schema)
 
         for batch in batches:
-            ends = np.cumsum(np.fromiter((x or 0 for x in pa.compute.binary_length(batch["text"]).to_pylist()), np.int64))
-            at = 0
-            while at < len(ends):
-                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + work_bytes, "right")))
-                part = batch.slice(at, to - at)
+            for part in ragged.portions(batch, "text", work_bytes):
                 ids, counts = encode(*ragged.joined(part["text"]), path, end_id)
                 n, before = len(counts), np.cumsum(counts) - counts + done + len(pending)
                 empty = [pa.nulls(n, t.type) for t in schema]
@@ -210,7 +237,6 @@ def write_ids(
                 while len(pending) >= chunk_ids:
                     yield packed(pending[:chunk_ids])
                     pending, done, chunk = pending[chunk_ids:], done + chunk_ids, chunk + 1
-                at = to
         if len(pending):
             yield packed(pending)
 
