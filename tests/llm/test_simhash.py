@@ -1,0 +1,111 @@
+import random
+
+import cases
+import xxhash
+
+from tagloom.llm import simhash
+from tagloom.llm.components import components
+
+
+def fingerprint(text):
+    w = (text or "").encode().lower().split()
+    grams = [b" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else ([b" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    bits = sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+def groups(pairs, k):
+    """Least id reachable, by brute force."""
+    nodes = [(i, f & (2**64 - 1)) for i, f in pairs]
+    root = list(range(len(nodes)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (_, f) in enumerate(nodes):
+        for j in range(i):
+            if (f ^ nodes[j][1]).bit_count() <= k:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    members = {}
+    for i in range(len(nodes)):
+        members.setdefault(find(i), []).append(nodes[i][0])
+    return {i: min((x for x in m if x is not None), default=None) for m in members.values() for i in m}
+
+
+def test_fingerprints_and_components_of_hostile_texts(spark):
+    rows = cases.texts()
+    got = simhash.near_duplicates(cases.frame(spark)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.fp) for r in got) == sorted(
+        (d is None, d or 0, fingerprint(t)) for d, t in rows
+    )
+    by_fp = {}
+    for d, t in rows:
+        by_fp.setdefault(fingerprint(t), []).append(d)
+    keyed = list(by_fp)
+    want = groups([(i, f) for i, f in enumerate(keyed)], 2)
+    least = {}
+    for i, f in enumerate(keyed):
+        least.setdefault(want[i], []).extend(x for x in by_fp[f] if x is not None)
+    for r in got:
+        ids = least[want[keyed.index(r.fp)]]
+        assert r.component_id == (min(ids) if ids else None)
+
+
+def test_crowded_keys_link_what_pairs_link(spark):
+    rng = random.Random(3)
+    seeds = [rng.getrandbits(64) for _ in range(4)]
+    prints = set()
+    for s in seeds:
+        for _ in range(80):
+            f = s
+            for _ in range(rng.randrange(4)):
+                f ^= 1 << rng.randrange(64)
+            prints.add(f)
+    signed = [f - (1 << 64) if f >> 63 else f for f in prints]
+    want = groups(list(zip(signed, signed)), 2)
+    df = spark.createDataFrame([(f,) for f in signed], "fp long")
+    for crowded in (1000, 3):
+        found = components(simhash.links(df, max_distance=2, crowded=crowded)).collect()
+        root = {r.node: r.root for r in found}
+        assert {f: root.get(f, f) for f in signed} == want
+    # no link is lost: each one of two bits is found, and none further apart
+    links = {frozenset((r.a, r.b)) for r in simhash.links(df, max_distance=2).collect()}
+    mask = 2**64 - 1
+    assert links == {frozenset((a, b)) for a in signed for b in signed if a != b and ((a ^ b) & mask).bit_count() <= 2}
+
+
+def test_other_distances(spark):
+    rng = random.Random(9)
+    base = rng.getrandbits(63)
+    prints = [base ^ sum(1 << b for b in rng.sample(range(63), n)) for n in (0, 1, 1, 2, 3, 4, 5) for _ in range(6)]
+    prints = sorted(set(prints))
+    df = spark.createDataFrame([(f,) for f in prints], "fp long")
+    for k in (0, 1, 3):
+        links = {frozenset((r.a, r.b)) for r in simhash.links(df, max_distance=k).collect()}
+        assert links == {frozenset((a, b)) for a in prints for b in prints if a != b and (a ^ b).bit_count() <= k}
+
+
+def test_components_of_long_paths_and_stars(spark):
+    path = [(i, i + 1) for i in range(60)]
+    star = [(1000, 1000 + i) for i in range(1, 50)]
+    back = [(2005, 2001), (2001, 2003), (2003, 2003), (2003, 2005)]
+    df = spark.createDataFrame(path + star + back + path, "a long, b long")
+    root = {r.node: r.root for r in components(df).collect()}
+    assert root == {**dict.fromkeys(range(61), 0), **dict.fromkeys(range(1000, 1050), 1000), **dict.fromkeys((2001, 2003, 2005), 2001)}
+    assert components(df.limit(0)).count() == 0
+
+
+def test_one_of_each_keeps_columns_and_empty_tables(spark):
+    docs = cases.frame(spark)
+    left = simhash.one_of_each(docs)
+    assert left.columns == docs.columns
+    got = [r.doc_id for r in left.select("doc_id").collect()]
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect() if r.doc_id is not None}
+    assert sorted(x for x in got if x is not None) == sorted({c for c in found.values()} & {d for d, c in found.items() if d == c})
+    assert got.count(None) == 3
+    assert simhash.one_of_each(cases.empty(spark)).count() == 0
+    assert simhash.near_duplicates(cases.empty(spark)).columns == ["doc_id", "fp", "component_id"]
