@@ -24,12 +24,13 @@ FOLDS, HELD_OUT = 4, 2
 
 def framed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Texts padded with zeros to whole blocks, and the first block of each (one more at the
-    end). Every text ends in padding, so that no filter sees two texts."""
+    end). Every text stands behind as many zeros as a filter that begins before it can
+    reach, so that none sees two texts."""
     sizes = np.diff(offsets)
     blocks = (sizes + WIDTH - 1 + BLOCK - 1) // BLOCK
     edges = np.concatenate(([0], np.cumsum(blocks)))
     out = np.zeros(edges[-1] * BLOCK + WIDTH, np.uint8)
-    for at, a, b in zip((edges[:-1] * BLOCK).tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+    for at, a, b in zip((edges[:-1] * BLOCK + WIDTH - 1).tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
         out[at : at + b - a] = data[a:b]
     return out, edges
 
