@@ -113,7 +113,7 @@ def fences(tables: DataFrame, width: float) -> DataFrame:
         out = F.lit(width) * F.greatest(high - low, F.lit(LEAST_SPREAD[f]))
         return F.struct((low - out).alias("low"), (high + out).alias("high"))
 
-    return tables.select("*", F.struct(*[bounds(f).alias(f) for f in FEATURES]).alias("fence")).drop(*FEATURES)
+    return tables.filter("n > 0").select("*", F.struct(*[bounds(f).alias(f) for f in FEATURES]).alias("fence")).drop(*FEATURES)
 
 
 def quality_rules(
