@@ -1,0 +1,19 @@
+import duckdb
+import pytest
+
+from tagloom.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", [n for n, (_, sql) in QUERIES.items() if sql])
+def test_query_gives_what_its_sql_gives(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "conversations", "benchmark", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    query, sql = QUERIES[name]
+    got, want = query(spark, SF), con.sql(sql)
+    order = sorted(got.columns)
+    assert order == sorted(want.columns)
+    theirs = [tuple(r[want.columns.index(c)] for c in order) for r in want.fetchall()]
+    assert sorted(map(repr, map(tuple, got.select(*order).collect()))) == sorted(map(repr, theirs))
