@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import words, written
+from tagloom.llm.common import written
 from tagloom.session import broadcast_if, is_small
 
 UNITS = (
@@ -20,9 +20,12 @@ UNITS = (
     "s sec seconds min minutes h hours hour days day weeks week months month years year "
     "percent degrees dollars cents euros euro pounds usd eur kmh mph w kw v hz kb mb gb tb"
 ).split()
-NAME = r"(?<=[^.!?:;\s][^\S\n])\p{Lu}[\p{L}'’-]*"
-NUMBER = r"(?<![\p{L}\p{N}=])[+-]?\p{Sc}?\p{N}[\p{N}.,:/]*%?(?![\p{L}\p{N}])"
-UNIT = r"(<num=[^>]*>[^\S\n]+)(" + "|".join(UNITS) + r")(?!\p{L})"
+# Each begins with the one character that is rare, so that most places fail at once.
+NAME = r"\p{Lu}(?<=[^.!?:;\s][^\S\n]\p{Lu})[\p{L}'’-]*"
+_UNIT = "(" + "|".join(UNITS) + r")(?!\p{L})"
+NUMBER = r"\p{N}(?<![\p{L}\p{N}=]\p{N})\p{N}*(?:[.,:/]\p{N}+)*(?:(?![\p{L}\p{N}])|(?=" + _UNIT + "))"
+UNIT = r"(<num=[^>]*>[^\S\n]*)" + _UNIT
+TOKEN = r"[\p{L}\p{M}\p{N}]+|<[a-z]+=[^>]*>"
 
 
 def tokens(text: Column) -> Column:
@@ -31,15 +34,19 @@ def tokens(text: Column) -> Column:
     A name is a capitalised word inside a sentence, a unit a word of ``UNITS`` behind
     a number.
     """
-    plain = F.translate(F.coalesce(text, F.lit("")), "<>=", "   ")
-    slots = F.regexp_replace(plain, NAME, "<name=$0>")
+    slots = F.coalesce(text, F.lit(""))
+    for sign in "<>=":
+        slots = F.replace(slots, F.lit(sign), F.lit(" "))
+    slots = F.regexp_replace(slots, NAME, "<name=$0>")
     slots = F.lower(F.regexp_replace(slots, NUMBER, "<num=$0>"))
-    slots = F.regexp_replace(slots, UNIT, "$1<unit=$2>")
-    return words(F.regexp_replace(slots, r"[^\p{L}\p{M}\p{N}<>=\s]+", ""))
+    slots = F.regexp_replace(slots, UNIT, "$1 <unit=$2>")
+    return F.regexp_extract_all(slots, F.lit(TOKEN), F.lit(0))
 
 
 def _hashes(toks: str) -> Column:
-    return F.transform(F.col(toks), lambda t: F.xxhash64(F.substring_index(t, "=", 1)))
+    return F.transform(
+        F.col(toks), lambda t: F.xxhash64(F.when(t.startswith("<"), F.substring_index(t, "=", 1)).otherwise(t))
+    )
 
 
 def _wider(df: DataFrame, step: int) -> DataFrame:
