@@ -98,19 +98,29 @@ def epoch_seconds(value: Column) -> Column:
 
 
 def exact_sum(df: DataFrame, name: str, scale: int = 2) -> Column:
-    """Sum of money in whole units of ``10**-scale``, returned as a double.
+    """Sum of money, returned as a double.
 
-    Doubles are counted in whole units, so neither the order of the rows nor the
-    number of partitions shows in the result; the sum stays a long in codegen.
-    Decimals already add exactly.
+    Doubles are counted in whole units of ``10**-scale``, so for such amounts neither
+    the order of the rows nor the number of partitions shows in the result. What an
+    amount has below a unit is added apart and isn't lost. A sum with NaN or infinity
+    is what doubles make of it. Decimals already add exactly.
     """
     if isinstance(df.schema[name].dataType, T.DecimalType):
         return F.sum(F.col(name)).cast("double")
-    return F.sum(units(F.col(name), scale)).cast("double") / F.lit(float(10**scale))
+    whole = F.coalesce(units(F.col(name), scale), F.lit(0).cast("bigint"))
+    one = F.lit(float(10**scale))
+    # beyond a long's range all is rest; a rest that is no more than the rounding of the
+    # amount itself, as products of prices have, is none
+    value = F.col(name).cast("double")
+    rest = value - whole.cast("double") / one
+    rest = F.when(F.abs(rest) < F.abs(value) * F.lit(2.0**-49), F.lit(0.0)).otherwise(rest)
+    some = F.when(F.col(name).isNotNull(), whole)
+    return F.sum(some).cast("double") / one + F.sum(rest)
 
 
 def units(value: Column, scale: int = 2) -> Column:
-    return F.rint(value * F.lit(float(10**scale))).cast("bigint")
+    """Whole units of an amount; null where a long can't hold them."""
+    return F.rint(value * F.lit(float(10**scale))).try_cast("bigint")
 
 
 def literal(text: str) -> str:

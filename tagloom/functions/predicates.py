@@ -33,10 +33,20 @@ def where_dsl(text: str, numeric: bool = False) -> Column:
     return reduce(operator.and_, terms, F.lit(True))
 
 
-def _term(text: str, numeric: bool) -> Column:
+def where_fields(text: str) -> list[str]:
+    """The columns that conditions ask for, each once."""
+    return list(dict.fromkeys(_parts(t)[1] for t in text.split(",") if t.strip()))
+
+
+def _parts(text: str) -> re.Match:
     m = _TERM.fullmatch(text.strip())
     if not m:
         raise ValueError(f"not a condition: {text!r}")
+    return m
+
+
+def _term(text: str, numeric: bool) -> Column:
+    m = _parts(text)
     name, op, value = m[1], m[2].lower(), m[3]
     if op not in _COMPARE:
         raise ValueError(f"unknown operator {m[2]!r} in {text!r}")

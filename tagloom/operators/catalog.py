@@ -59,11 +59,12 @@ def closure(tags: DataFrame) -> DataFrame:
 
 
 def leaf_paths(tags: DataFrame) -> DataFrame:
-    """Level-5 tags with the id and name of each level, ``l1`` to ``l5``."""
-    full = ancestry(tags).where((F.col("level") == LEAF) & (F.size("chain") == DEPTH))
+    """Level-5 tags with the id and name of each level, ``l1`` to ``l5``; levels above a
+    missing ancestor are null."""
+    full = ancestry(tags).where(F.col("level") == LEAF)
     columns = [F.col("id").alias("tag_id")]
     for level in range(1, DEPTH + 1):
-        at = F.col("chain")[DEPTH - level]
+        at = F.get("chain", F.lit(DEPTH - level))
         columns += [at["id"].alias(f"l{level}"), at["name"].alias(f"l{level}_name")]
     return full.select(*columns)
 

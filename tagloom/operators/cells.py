@@ -49,12 +49,17 @@ def latest(cells: DataFrame) -> DataFrame:
     )
 
 
-def cells_to_rows(cells: DataFrame, family: str, fields: Sequence[str], key: str = "row") -> DataFrame:
+def cells_to_rows(
+    cells: DataFrame, family: str, fields: Sequence[str], key: str = "row", all_rows: bool = False
+) -> DataFrame:
     """The declared fields of one family as columns, newest version each.
 
-    One aggregation by key serves all fields; a row must have at least one.
+    One aggregation by key serves all fields. A row must have at least one of them, or
+    with ``all_rows`` any cell of the family.
     """
-    wanted = cells.where((F.col("family") == family) & F.col("qualifier").isin(*fields))
+    wanted = cells.where(F.col("family") == family)
+    if not all_rows:
+        wanted = wanted.where(F.col("qualifier").isin(*fields))
     newest = [
         F.max(F.when(F.col("qualifier") == f, F.struct("ts", "value")))["value"].alias(f) for f in fields
     ]

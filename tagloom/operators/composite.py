@@ -33,7 +33,7 @@ def parse_condition(text: str) -> list[tuple[int, str]]:
 
 def parse_conditions(rules: DataFrame, key: str = "merge_tag_id", text: str = "condition") -> DataFrame:
     """Member rows ``(key, seq, basic_tag_id, connector)`` from a table of texts."""
-    tokens = F.expr(rf"regexp_extract_all({text}, '(\\d+)\\s*(and|or)?', 0)")
+    tokens = F.expr(rf"regexp_extract_all(lower({text}), '(\\d+)\\s*(and|or)?', 0)")
     return (
         rules.select(key, F.posexplode(tokens).alias("seq", "_m"))
         .select(
@@ -115,7 +115,7 @@ def eval_merge_groups(pairs: DataFrame, groups: DataFrame, user: str = "user_id"
     return (
         pairs.join(groups, "tag_id")
         .groupBy(user, "merge_tag_id", "need")
-        .agg(F.countDistinct("grp").alias("_hit"))
+        .agg(F.size(F.collect_set("grp")).alias("_hit"))  # at most as many as the rule has groups
         .where("_hit = need")
         .select(user, "merge_tag_id")
     )

@@ -27,7 +27,7 @@ def match_column(value: Column, rules: Sequence[Rule]) -> Column:
     """Tag of the rule that equals the value, else null."""
     if not rules:
         return F.lit(None).cast("bigint")
-    return map_literal(first_tags(rules), "bigint")[value]
+    return map_literal(first_tags(rules), "bigint")[value.cast("string")]
 
 
 def match_tag(
@@ -46,7 +46,7 @@ def match_tag_join(
     first = first_tags(rules)
     table = small_table(df.sparkSession, list(first.items()), f"_rule string, `{out}` bigint")
     table = broadcast_if(len(first) <= BROADCAST_ROWS, table)
-    return df.join(table, F.col(column) == F.col("_rule"), "left").select(key, out)
+    return df.join(table, F.col(column).cast("string") == F.col("_rule"), "left").select(key, out)
 
 
 def match_tag_table(
@@ -57,7 +57,7 @@ def match_tag_table(
         F.min(F.struct(F.coalesce("order", F.lit(-1)).alias("o"), F.col("tag_id").alias("t")))["t"].alias(out)
     )
     first = broadcast_if(is_small(rules), first)
-    return df.join(first, F.col(column) == F.col("_rule"), "left").select(key, out)
+    return df.join(first, F.col(column).cast("string") == F.col("_rule"), "left").select(key, out)
 
 
 def match_many(df: DataFrame, key: str, columns: Mapping[str, Column]) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.ml.feature import (
     VectorIndexer,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,27 +37,24 @@ from tagloom.session import small_table
 from tagloom.specs import Rule, in_order
 
 
-# Up to this many rows a fit runs on few partitions, so many rows to each.
-PACKED_ROWS, ROWS_PER_TASK = 1_000_000, 100_000
+# Partitions that a fit reads. Random starts are drawn by partition and row, so a model is
+# the same only where the layout is; raise it for points that were not counted first.
+FIT_PARTITIONS = 16
 
 
 @contextmanager
-def kept(df: DataFrame):
+def kept(df: DataFrame, parts: int = FIT_PARTITIONS):
     """Data that a fit iterates over, released afterwards.
 
-    A fit runs many short jobs. Counted points are few but lie in as many
-    partitions as the shuffle before them had, so they are packed into as many as
-    their number needs; larger data stays spread as it is.
+    Rows are dealt by their values and put in order, whatever layout they come in:
+    neither the number of shuffle partitions nor their sizes show in the model.
     """
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = held.count()
-    packed = held
-    if rows <= PACKED_ROWS:
-        packed = held.coalesce(max(1, -(-rows // ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)
+    values = [vector_to_array(F.col(f.name)) if isinstance(f.dataType, VectorUDT) else F.col(f.name) for f in df.schema]
+    order = [F.xxhash64(*values), *values]
+    held = df.repartition(parts, order[0]).sortWithinPartitions(*order).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield packed
+        yield held
     finally:
-        packed.unpersist()
         held.unpersist()
 
 

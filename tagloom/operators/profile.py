@@ -99,7 +99,9 @@ def pivot_profile(pairs: DataFrame, tags: DataFrame, parents: Sequence[int], use
 
 
 def upsert_wide(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
-    """Column-wise upsert: a new value replaces the old one, a missing one leaves it."""
+    """Column-wise upsert: a new value replaces the old one, a missing one leaves it.
+    Rows without a key belong to nobody and are left out."""
+    old, new = old.where(F.col(key).isNotNull()), new.where(F.col(key).isNotNull())
     fresh = [c for c in new.columns if c != key]
     names = [c for c in old.columns if c != key] + [c for c in fresh if c not in old.columns]
     joined = old.alias("o").join(new.alias("n"), key, "full_outer")

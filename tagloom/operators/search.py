@@ -151,7 +151,7 @@ def _forest(paths: Column, level: int) -> Column:
         lambda node: F.struct(
             node["id"].alias("id"),
             node["name"].alias("name"),
-            _forest(F.filter(paths, lambda p: p[f"l{level}"]["id"] == node["id"]), level + 1).alias("children"),
+            _forest(F.filter(paths, lambda p: p[f"l{level}"]["id"].eqNullSafe(node["id"])), level + 1).alias("children"),
         ),
     )
 

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
+import json
+import operator
+from bisect import bisect_left, insort
 from collections.abc import Sequence
 from decimal import Decimal
-from math import inf, nextafter
+from math import inf
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagloom.functions.columns import day, device_type, exact_sum, zodiac
 from tagloom.operators.match import match_column
-from tagloom.session import BROADCAST_ROWS, broadcast_if, small_table
 from tagloom.specs import Band, Rule, bands
 
-# A longer chain of comparisons makes a method the JVM no longer compiles.
+# A longer chain of comparisons makes a method the JVM no longer compiles; longer lists are
+# searched, with the same tests and the same answers.
 BAND_LIMIT = 64
 
 # Order of the signs in the catalogue. Tag ids 103 to 114.
@@ -78,75 +81,89 @@ def range_tag(
     return df.select(key, value.alias("_v")).select(key, band_column(F.col("_v"), items).alias(out))
 
 
-def disjoint(items: Sequence[Band]) -> list[tuple[float, float, int]]:
-    """Inclusive pieces ``(lo, hi, tag)`` that do not overlap, first match winning.
-
-    Works on the numbers that doubles can hold, so an open bound becomes the
-    neighbouring double and every value lies in at most one piece.
-    """
+def _candidates(items: Sequence[Band]) -> tuple[list[float], list[list[int]]]:
+    """Sorted bounds, and for each stretch between two of them (and the ends) the bands, by
+    number, that can hold a value there or in a stretch beside it: in their order, up to
+    the first that covers all of it."""
     spans = []
-    for band in items:
+    for i, band in enumerate(items):
         lo = -inf if band.lo is None else float(band.lo)
         hi = inf if band.hi is None else float(band.hi)
-        lo = nextafter(lo, inf) if band.lo_open else lo
-        hi = nextafter(hi, -inf) if band.hi_open else hi
-        if band.wraps:
-            spans += [(lo, inf, band.tag_id), (-inf, hi, band.tag_id)]
-        elif lo <= hi:
-            spans.append((lo, hi, band.tag_id))
-    taken: list[tuple[float, float, int]] = []
-    for lo, hi, tag in spans:
-        # what is left of this span once the earlier ones have taken their share
-        start = max(0, bisect_right([t[0] for t in taken], lo) - 1)
-        free, at = [], lo
-        for t_lo, t_hi, _ in taken[start:]:
-            if t_lo > hi:
+        spans += [(lo, inf, i), (-inf, hi, i)] if band.wraps else [(lo, hi, i)] if lo <= hi else []
+    edges = sorted({x for lo, hi, _ in spans for x in (lo, hi) if abs(x) != inf})
+    marks = [-inf, *edges, inf]
+    # a stretch with its neighbours reaches from one mark to the third behind it
+    starts, ends = sorted(spans), sorted(spans, key=lambda s: s[1])
+    active: list[tuple[int, float, float]] = []
+    opened = closed = 0
+    out = []
+    for k in range(len(edges) + 1):
+        low, high = marks[max(0, k - 1)], marks[min(len(marks) - 1, k + 2)]
+        while opened < len(starts) and starts[opened][0] <= high:
+            lo, hi, i = starts[opened]
+            insort(active, (i, lo, hi))
+            opened += 1
+        while closed < len(ends) and ends[closed][1] < low:
+            lo, hi, i = ends[closed]
+            active.pop(bisect_left(active, (i, lo, hi)))
+            closed += 1
+        found: list[int] = []
+        for i, lo, hi in active:
+            if i not in found:
+                found.append(i)
+            if (lo < low or lo == -inf) and (hi > high or hi == inf):
                 break
-            if t_lo > at:
-                free.append((at, nextafter(t_lo, -inf), tag))
-            if t_hi >= at:
-                at = nextafter(t_hi, inf)
-        if at <= hi and not (at == inf and hi == inf and lo != inf):
-            free.append((at, hi, tag))
-        taken = sorted(taken + free)
-    return taken
+        out.append(found)
+    return edges, out
 
 
 def range_tag_join(
     df: DataFrame, key: str, value: Column, items: Sequence[Band], out: str = "tag_id"
 ) -> DataFrame:
-    """Bands as a table, joined by grid cell so that the join stays an equi-join.
-
-    The pieces are disjoint, so a row finds at most one and keeps its place.
+    """The same tags for long lists: a binary search among the bounds, as doubles, leaves a
+    few bands, and those are tried in their order by the tests of ``in_band``, on the value
+    in its own type. Neighbouring stretches count too, so rounding to a double loses none.
     """
-    pieces = disjoint(items)
-    edges = [x for lo, hi, _ in pieces for x in (lo, hi) if abs(x) != float("inf")]
-    low, high = (min(edges), max(edges)) if edges else (0.0, 1.0)
-    width = max((high - low) / max(len(pieces), 1), 1e-9 * max(1.0, abs(high), abs(low)))
-    last = int((high - low) / width) + 1
-
-    def cell(x: float) -> int:
-        if abs(x) == float("inf"):
-            return last if x > 0 else -1
-        return int(max(-1, min(last, (x - low) // width)))
-
-    # a cell computed on either side of an edge may differ by rounding, so the
-    # pieces also sit in the neighbouring cells
-    rows = [
-        (c, lo, hi, tag) for lo, hi, tag in pieces for c in range(cell(lo) - 1, cell(hi) + 2)
+    edges, stretches = _candidates(items)
+
+    def side(bound: Decimal | None, open_: bool) -> dict:
+        if bound is None:
+            return {"i": None, "d": None, "open": False}
+        whole = bound == bound.to_integral_value()
+        return {"i": int(bound) if whole else None, "d": None if whole else float(bound), "open": open_}
+
+    shown = [
+        {"lo": side(b.lo, b.lo_open), "hi": side(b.hi, b.hi_open), "wraps": b.wraps, "tag": b.tag_id} for b in items
     ]
-    table = small_table(df.sparkSession, rows, f"_cell bigint, _lo double, _hi double, `{out}` bigint")
-    table = broadcast_if(len(rows) <= BROADCAST_ROWS, table)
-    v = value.cast("double")
-    spot = F.least(
-        F.greatest(F.floor((v - F.lit(low)) / F.lit(width)), F.lit(-1).cast("bigint")),
-        F.lit(last).cast("bigint"),
-    )
-    return (
-        df.select(key, v.alias("_v"), spot.alias("_spot"))
-        .join(table, (F.col("_spot") == F.col("_cell")) & F.col("_v").between(F.col("_lo"), F.col("_hi")), "left")
-        .select(key, out)
-    )
+    bound = "struct<i:bigint,d:double,open:boolean>"
+    schema = f"array<array<struct<lo:{bound},hi:{bound},wraps:boolean,tag:bigint>>>"
+    lists = F.from_json(F.lit(json.dumps([[shown[i] for i in s] for s in stretches])), schema)
+    rows = df.select(key, value.alias("_v")).withColumn("_d", F.col("_v").cast("double"))
+    if edges:
+        # NaN gets the bucket behind the last; like the greatest value it is in no band with an upper bound
+        cut = Bucketizer(splits=[-inf, *edges, inf], inputCol="_d", outputCol="_at", handleInvalid="keep")
+        rows = cut.transform(rows)
+    else:
+        rows = rows.withColumn("_at", F.lit(0.0))
+    v = F.col("_v")
+
+    def test(bound: Column, strict, loose) -> Column:
+        """Null where there is no such bound."""
+
+        def held(x: Column) -> Column:
+            return F.when(bound["open"], strict(v, x)).otherwise(loose(v, x))
+
+        return F.when(bound["i"].isNotNull(), held(bound["i"])).when(bound["d"].isNotNull(), held(bound["d"]))
+
+    def holds(band: Column) -> Column:
+        above, below = test(band["lo"], operator.gt, operator.ge), test(band["hi"], operator.lt, operator.le)
+        return F.when(band["wraps"], above | below).otherwise(
+            F.coalesce(above, v.isNotNull()) & F.coalesce(below, v.isNotNull())
+        )
+
+    stretch = F.get(lists, F.least(F.col("_at").cast("int"), F.lit(len(edges))))
+    first = F.get(F.filter(stretch, lambda b: F.coalesce(holds(b), F.lit(False))), F.lit(0))
+    return rows.select(key, F.when(v.isNotNull(), first["tag"]).alias(out))
 
 
 # ---------------------------------------------------------------- tags

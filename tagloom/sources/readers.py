@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.functions.predicates import where_dsl
+from tagloom.functions.predicates import where_dsl, where_fields
 from tagloom.operators.cells import cells_to_rows
 from tagloom.seeds import TSV_FIELDS
 from tagloom.specs import HBASE, HDFS, HIVE, RDBMS, SourceSpec
@@ -17,10 +17,19 @@ ROW_KEY = "row"
 
 
 def read_cells(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """Declared fields of one family of a cell table, row key first, all text."""
+    """Declared fields of one family of a cell table, row key first, all text.
+
+    Every row with a cell of the family counts, whether it has these fields or not, and
+    conditions may ask for other fields.
+    """
     cells = spark.read.parquet(spec.table)
-    wide = cells_to_rows(cells, spec.family, spec.fields, ROW_KEY).select(ROW_KEY, *spec.fields)
-    return wide.where(where_dsl(spec.where)) if spec.where else wide
+    asked = [f for f in where_fields(spec.where) if f not in spec.fields and f != ROW_KEY]
+    wide = cells_to_rows(cells, spec.family, [*spec.fields, *asked], ROW_KEY, all_rows=True)
+    return _where(wide, spec).select(ROW_KEY, *spec.fields)
+
+
+def _where(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    return df.where(where_dsl(spec.where)) if spec.where else df
 
 
 def read_wide(spark: SparkSession, path: str, fields: Sequence[str], key: str = "id") -> DataFrame:
@@ -104,16 +113,22 @@ def _from_rdbms(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         for name, given in (("driver", "driver"), ("user", "username"), ("password", "password"))
         if spec.option(given)
     }
-    return read_jdbc(spark, spec.option("url"), spec.table, spec.where or None, **extra)
+    table = f"({spec.option('sql')}) AS rule_rows" if spec.option("sql") else spec.table
+    partition = None
+    if spec.option("partitionColumn"):
+        low, high, parts = (int(spec.option(n)) for n in ("lowerBound", "upperBound", "numPartitions"))
+        partition = (spec.option("partitionColumn"), low, high, parts)
+    df = _where(read_jdbc(spark, spec.option("url"), table, None, partition, **extra), spec)
+    return df.select(*spec.fields) if spec.fields else df
 
 
 def _from_hive(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    df = read_hive(spark, spec.table)
+    df = _where(spark.sql(spec.option("sql")) if spec.option("sql") else read_hive(spark, spec.table), spec)
     return df.select(*spec.fields) if spec.fields else df
 
 
 def _from_hdfs(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    df = read_delimited(spark, spec.table, spec.option("sperator", ","), spec.fields)
+    df = _where(read_delimited(spark, spec.table, spec.option("sperator", ","), spec.fields), spec)
     wanted = [f for f in spec.option("outFields").split(",") if f in spec.fields]
     return df.select(*wanted) if wanted else df
 

@@ -136,3 +136,35 @@ def test_run_wide_and_pairs_agree(spark, rows):
     assert rows(jobs.run_wide(users, "id", todo)) == {(1, 50, 60), (2, None, None)}
     assert rows(jobs.run_pairs(users, "id", todo)) == {(1, 50), (1, 60)}
     assert rows(jobs.run_profile(users, "id", todo)) == {(1, (50, 60)), (2, ())}
+
+
+def test_conditions_of_every_source(spark, rows, tmp_path):
+    from tagloom.operators.cells import rows_to_cells
+
+    users = small_table(spark, [(1, "1", "3"), (2, "2", "5"), (3, None, "3"), (4, None, None)], "id bigint, gender string, job string")
+    extra = users.withColumn("other", F.lit("x"))
+    store = writers.write_cells(rows_to_cells(extra, "id", "detail"), str(tmp_path / "cells"))
+    text = f"inType=hbase\nhbaseTable={store}\nfamily=detail\nselectFieldNames=gender\n"
+    assert rows(readers.read_source(spark, parse_rule(text)[0])) == {("1", "1"), ("2", "2"), ("3", None), ("4", None)}
+    one = parse_rule(text + "whereFieldNames=job\nwhereFieldValues=3")[0]
+    assert rows(readers.read_source(spark, one)) == {("1", "1"), ("3", None), ("4", None)}
+    full = users.where("job is not null")
+    full.write.saveAsTable("rule_users", path=str(tmp_path / "hive"))
+    try:
+        hive = "inType=hive\ndbTable=rule_users\nselectFieldNames=id\n"
+        assert rows(readers.read_source(spark, parse_rule(hive)[0])) == {(1,), (2,), (3,)}
+        assert rows(readers.read_source(spark, parse_rule(hive + "whereFieldNames=job\nwhereFieldValues=3")[0])) == {(1,), (3,)}
+        assert rows(readers.read_source(spark, parse_rule(hive + "sql=select * from rule_users where id > 1")[0])) == {(2,), (3,)}
+    finally:
+        spark.sql("DROP TABLE rule_users")
+    full.select("id", "job").write.csv(str(tmp_path / "csv"), sep=";")
+    hdfs = f"inType=hdfs\ninPath={tmp_path / 'csv'}\nsperator=;\ninFields=id,job\noutFields=id\nwhereFieldNames=job\nwhereFieldValues=3"
+    assert rows(readers.read_source(spark, parse_rule(hdfs)[0])) == {("1",), ("3",)}
+
+
+def test_rdbms_conditions_query_and_partitions(spark):
+    reader = _Reader(spark.createDataFrame([(1, "3"), (2, "5")], "id int, job string"))
+    text = "inType=mysql\nurl=jdbc:x\ndbTable=t\nsql=select * from t\npartitionColumn=id\nlowerBound=0\nupperBound=9\nnumPartitions=3\nselectFieldNames=id\nwhereFieldNames=job\nwhereFieldValues=3"
+    assert [tuple(r) for r in readers.read_source(reader, parse_rule(text)[0]).collect()] == [(1,)]
+    assert reader.given["dbtable"] == "(select * from t) AS rule_rows"
+    assert (reader.given["partitionColumn"], reader.given["numPartitions"]) == ("id", "3")

@@ -131,3 +131,21 @@ def test_pages_cut_the_whole_order(spark):
     df = spark.range(25).withColumnRenamed("id", "user_id").repartition(4)
     pages = [[r[0] for r in search.page(df, ["user_id"], n, 10).collect()] for n in (0, 1, 2, 3, 4)]
     assert pages == [list(range(10)), list(range(10)), list(range(10, 20)), list(range(20, 25)), []]
+
+
+def test_upsert_drops_rows_without_key(spark, rows):
+    from tagloom.operators.profile import upsert_wide
+
+    table = spark.createDataFrame([(1, "a"), (None, "b")], "id int, x string")
+    out = upsert_wide(upsert_wide(table, table), spark.createDataFrame([(None, "c"), (2, "d")], "id int, x string"))
+    assert rows(out) == {(1, "a"), (2, "d")}
+
+
+def test_capitals_in_conditions(spark, rows):
+    from tagloom.operators.composite import condition_groups, eval_merge_groups, member_groups, parse_conditions
+
+    rules = spark.createDataFrame([(1, "97 OR 98 AND 132"), (2, "97 or 98 and 132"), (3, "97 And 98")], "merge_tag_id bigint, condition string")
+    pairs = spark.createDataFrame([(1, 98), (1, 132), (2, 97), (2, 98), (3, 132)], "user_id int, tag_id bigint")
+    want = {(1, 1), (1, 2), (2, 3)}
+    assert rows(eval_merge_groups(pairs, condition_groups(rules))) == want
+    assert rows(eval_merge_groups(pairs, member_groups(parse_conditions(rules)))) == want

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom import seeds
+from tagloom.functions.columns import exact_sum
 from tagloom.operators import score
 
 # sample orders: user, day, receivable, discount, paid
@@ -123,3 +124,15 @@ def test_codes(spark):
     got = [(r["colour_code"], r["type_code"]) for r in score.encode_categories(df, "c", "k").collect()]
     assert got == [(1, 9), (20, 37), (0, 0)]
     assert [r["label"] for r in score.weak_label(df, "c", "k").collect()] == [0, 0, 0]
+
+
+def test_amounts_below_a_cent_and_nan(spark):
+    import math
+
+    small = spark.range(1000).select(F.lit(0.004).alias("x"))
+    assert small.agg(exact_sum(small, "x")).first()[0] == pytest.approx(4.0, abs=1e-9)
+    cents = spark.range(3000).select((F.col("id") / 100).alias("x"))
+    assert cents.agg(exact_sum(cents, "x")).first()[0] == 44985.0
+    odd = spark.createDataFrame([(1, float("nan")), (1, 2.5), (2, float("inf")), (3, None), (4, 1e300), (5, 0.1), (5, None)], "u int, x double")
+    got = {r[0]: r[1] for r in odd.groupBy("u").agg(exact_sum(odd, "x")).collect()}
+    assert math.isnan(got[1]) and got[2] == math.inf and got[3] is None and got[4] == 1e300 and got[5] == 0.1

@@ -1,3 +1,4 @@
+from bisect import bisect_right
 from decimal import Decimal
 
 import pytest
@@ -5,7 +6,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from tagloom import seeds
-from tagloom.operators.stats import disjoint
+from tagloom.operators.stats import _candidates
 from tagloom.specs import HBASE, HDFS, HIVE, RDBMS, Band, Rule, bands, close_gaps, in_order, parse_band, parse_rule
 
 
@@ -70,14 +71,14 @@ _bound = st.one_of(st.none(), st.integers(-20, 20))
     st.lists(st.tuples(_bound, _bound, st.booleans(), st.booleans()), min_size=1, max_size=12),
     st.lists(st.integers(-50, 50), min_size=1, max_size=30),
 )
-def test_disjoint_pieces_equal_first_match(raw, halves):
+def test_stretches_hold_the_first_match(raw, halves):
     items = [Band(i, lo, hi, lo_open, hi_open) for i, (lo, hi, lo_open, hi_open) in enumerate(raw)]
-    pieces = disjoint(items)
+    edges, stretches = _candidates(items)
     for half in halves:
         x = half / 2
-        found = [tag for lo, hi, tag in pieces if lo <= x <= hi]
-        want = _first_match(items, x)
-        assert found == ([] if want is None else [want])
+        found = stretches[bisect_right(edges, x)]
+        assert _first_match([items[i] for i in sorted(found)], x) == _first_match(items, x)
+        assert found == sorted(found)
 
 
 def test_rule_text_of_each_source_kind():

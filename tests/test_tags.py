@@ -1,12 +1,13 @@
 import datetime
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tagloom import seeds
 from tagloom.operators import match, stats
-from tagloom.specs import Rule, bands
+from tagloom.specs import Band, Rule, bands
 
 
 def test_unmatched_is_null_and_first_match_wins(spark):
@@ -111,3 +112,40 @@ def test_device_order(spark):
     from tagloom.functions.columns import device_type
 
     assert df.where(~F.equal_null(device_type(F.col("a")), F.col("want"))).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 64, 65, 300, 3000])
+@pytest.mark.parametrize("kind", ["bigint", "decimal(20,2)", "double"])
+def test_search_and_chain_agree_at_every_length_and_type(spark, rows, n, kind):
+    rng = random.Random(n)
+    widths = [(Decimal(2) ** (i % 60), Decimal(2) ** (i % 60 + 1) - 1) for i in range(n)]
+    items = [Band(i, lo + i // 60, hi, rng.random() < 0.2, rng.random() < 0.2) for i, (lo, hi) in enumerate(widths)]
+    items += [Band(9001, Decimal("9007199254740992"), Decimal("9007199254740992")), Band(9002, Decimal("-3.5"), Decimal("-0.5"), True)]
+    items += [Band(9003, Decimal("90071992547409930")), Band(9004, None, Decimal(-100))]
+    values = ["9007199254740993", "9007199254740992", "90071992547409931", "0", "1", "-1", "-3", "-100", "-101"]
+    values += [str(rng.randrange(0, 2 ** rng.randrange(1, 56))) for _ in range(60)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(998, None)], "id int, t string")
+    df = df.select("id", F.col("t").cast(kind).alias("v"))
+    if kind == "double":
+        df = df.unionByName(spark.createDataFrame([(999, float("nan")), (997, float("inf")), (996, -3.5), (995, -0.5)], "id int, v double"))
+    chain = df.select("id", stats.band_column(F.col("v"), items[:400]).alias("tag_id"))
+    assert rows(stats.range_tag_join(df, "id", F.col("v"), items[:400])) == rows(chain)
+    assert rows(stats.range_tag(df, "id", F.col("v"), items[:400])) == rows(chain)
+    if n > 400:
+        exact = {r["id"]: r["v"] for r in df.collect()}
+        for r in stats.range_tag(df, "id", F.col("v"), items).collect():
+            v = exact[r["id"]]
+            if v is None:
+                assert r["tag_id"] is None
+            elif kind != "double":
+                over = [b.lo is None or (v > b.lo if b.lo_open else v >= b.lo) for b in items]
+                under = [b.hi is None or (v < b.hi if b.hi_open else v <= b.hi) for b in items]
+                hit = [b.tag_id for b, x, y in zip(items, over, under) if (x or y if b.wraps else x and y)]
+                assert r["tag_id"] == (hit[0] if hit else None)
+
+
+@pytest.mark.parametrize("n", [3, 250])
+def test_match_compares_texts_at_every_length(spark, rows, n):
+    rules = [Rule(i, str(i), i) for i in range(n)] + [Rule(777, "x", n)]
+    df = spark.createDataFrame([(1, 2), (2, None), (3, 10**6)], "id int, v int")
+    assert rows(match.match_tag(df, "id", "v", rules)) == {(1, 2), (2, None), (3, None)}
