@@ -14,7 +14,7 @@ INDEX_BITS = 22
 FEATURES = ("symbol_rate", "word_length", "dup_line_rate", "repeat_rate")
 # The least width of the middle half that a fence is drawn from, so that a group
 # of like documents doesn't reject the first one that differs a little.
-LEAST_SPREAD = {"symbol_rate": 0.05, "word_length": 0.5, "dup_line_rate": 0.1, "repeat_rate": 0.1}
+LEAST_SPREAD = {"symbol_rate": 0.05, "word_length": 0.5, "dup_line_rate": 0.15, "repeat_rate": 0.1}
 RELATIVE = dict(zip(FEATURES, (("n_symbols", "n_words"), ("word_chars", "n_words"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words"))))
 
 
