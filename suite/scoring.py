@@ -317,6 +317,13 @@ def kmeans_cost(spark: SparkSession, sf: str) -> DataFrame:
     return ml.kmeans_sweep(_groups(spark, sf), [4], max_iter=20).select("k", F.round("cost", 3).alias("cost"))
 
 
+@query("A13_best_k", f"SELECT CAST(count(DISTINCT g) AS INTEGER) AS k FROM {_GROUPS}")
+def kmeans_best_k(spark: SparkSession, sf: str) -> DataFrame:
+    """The cost curve of far groups bends where k is their number."""
+    k = ml.best_k(ml.kmeans_sweep(_groups(spark, sf), range(2, 8), max_iter=20))
+    return _groups(spark, sf).agg(F.lit(k).cast("int").alias("k"), F.count("*").alias("_n")).select("k")
+
+
 @query("A24_bisecting_cost", f"SELECT 4 AS k, round(cost, 3) AS cost FROM {_GROUP_COST}")
 def bisecting_cost(spark: SparkSession, sf: str) -> DataFrame:
     return ml.bisecting_sweep(_groups(spark, sf), [4]).select("k", F.round("cost", 3).alias("cost"))

@@ -64,21 +64,27 @@ def merge_profile(existing: DataFrame, new: DataFrame, user: str = "user_id", ta
 
 def replace_siblings(existing: DataFrame, new: DataFrame, parents: DataFrame) -> DataFrame:
     """Like ``merge_profile``, but a user's new tag ousts the old ones of the same
-    parent. ``parents`` has ``(tag_id, parent_id)``."""
-    parents = broadcast_if(is_small(parents), parents)
-    fresh = new.where("user_id is not null and tag_id is not null").join(parents, "tag_id")
-    ousted = fresh.select("user_id", "parent_id").distinct()
-    stays = (
-        explode_profile(existing)
-        .join(parents, "tag_id", "left")
-        .join(ousted, ["user_id", "parent_id"], "left_anti")
+    parent. ``parents`` has ``(tag_id, parent_id)``.
+
+    The new tags of a user carry their siblings' ids, so profiles are joined once and
+    never taken apart; a user without new tags passes through.
+    """
+    small = is_small(parents)
+    siblings = parents.groupBy("parent_id").agg(F.collect_set("tag_id").alias("_siblings"))
+    kin = parents.join(broadcast_if(small, siblings), "parent_id").select("tag_id", "_siblings")
+    fresh = new.where("user_id is not null and tag_id is not null").join(broadcast_if(small, kin), "tag_id", "left")
+    added = fresh.groupBy("user_id").agg(
+        F.sort_array(F.collect_set(F.col("tag_id").cast("bigint"))).alias("_new"),
+        F.flatten(F.collect_set("_siblings")).alias("_ousted"),
     )
-    lists = collapse_profile(stays)
     none = F.array().cast("array<bigint>")
-    remaining = existing.select("user_id").join(lists, "user_id", "left").select(
-        "user_id", F.coalesce("tag_ids", none).alias("tag_ids")
+    held = F.array_compact(F.coalesce("tag_ids", none))
+    stays = F.sort_array(F.array_except(held, F.coalesce("_ousted", none)))
+    return (
+        existing.where("user_id is not null")
+        .join(added, "user_id", "full_outer")
+        .select("user_id", F.array_union(stays, F.coalesce("_new", none)).alias("tag_ids"))
     )
-    return merge_profile(remaining, new)
 
 
 def merge_many(existing: DataFrame, outputs: Sequence[DataFrame]) -> DataFrame:
