@@ -4,14 +4,15 @@ Two lines at most ``t`` edits apart, one of them cut into t + 1 segments, have a
 in common: as a substring of the other, at a place that moved by few characters. So the
 segments of every line are indexed with the line's length, every line probes the indexes
 of its own length and the ``t`` below with the substrings that could match, and the
-candidates are verified.
+candidates are verified. Most lines share no key with another, so the keys of all lines
+first tell which do, and only those are joined.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import written
@@ -19,7 +20,9 @@ from tagloom.session import broadcast_if, is_small
 
 # A line that more than one in so many lines equals is common; there are fewer than that.
 COMMON_SHARE = 10_000
-LETTERS = "enta"
+CLASSES = 15
+# Lines, by hash, that go along with every task: some 10 MB
+SUSPECTS = 1_000_000
 STEPS = [1 << i for i in range(20, -1, -1)]
 
 
@@ -63,23 +66,23 @@ def _probes(t: int) -> Column:
     return F.array(*keys)
 
 
-def _letters() -> Column:
-    """How often some letters occur, 16 bits each. An edit changes a count by one at most."""
-    counts = [
-        F.shiftleft(
-            (F.length("line") - F.length(F.replace("line", F.lit(x)))).cast("long").bitwiseAND(F.lit(0xFFFF)), 16 * i
-        )
-        for i, x in enumerate(LETTERS)
-    ]
-    return reduce(lambda a, b: a.bitwiseOR(b), counts)
+def _bag(line: Column) -> Column:
+    """How often characters of each of some classes occur, modulo 16, in 4 bits each."""
+    units = F.array(*[F.lit(1 << 4 * i).cast("long") for i in range(CLASSES)])
+    mask = F.lit((1 << 4 * CLASSES) - 1)
+    return F.aggregate(
+        F.split(line, ""),
+        F.lit(0).cast("long"),
+        lambda s, c: (s + F.get(units, F.ascii(c) % CLASSES)).bitwiseAND(mask),
+    )
 
 
 def _alike(a: Column, b: Column, t: int) -> Column:
-    apart = []
-    for i in range(len(LETTERS)):
-        d = (F.shiftrightunsigned(a, 16 * i) - F.shiftrightunsigned(b, 16 * i)).bitwiseAND(F.lit(0xFFFF))
-        apart.append(F.least(d, F.lit(0x10000) - d))
-    return reduce(lambda x, y: x & y, [d <= t for d in apart]) & (reduce(lambda x, y: x + y, apart) <= 2 * t)
+    """An edit changes the counts of two classes by one at most."""
+    middle, mask = F.lit(sum(8 << 4 * i for i in range(CLASSES))), F.lit((1 << 4 * CLASSES) - 1)
+    apart = (a - b + middle).bitwiseAND(mask)  # each difference, plus 8
+    nibbles = [F.shiftrightunsigned(apart, 4 * i).bitwiseAND(F.lit(15)) for i in range(CLASSES)]
+    return reduce(lambda x, y: x + y, [F.abs(d - 8) for d in nibbles]) <= 2 * t
 
 
 def _same_ends(df: DataFrame) -> DataFrame:
@@ -182,21 +185,21 @@ def repeated_lines(
     once = lines.withColumn("n", F.length("line")).filter(F.col("n") >= min_chars).join(
         broadcast_if(True, common), F.col("h") == F.col("_h"), "left"
     ).filter(F.col("_h").isNull() | place.eqNullSafe(F.col("first")))
-    signed = once.select("h", "n", "line", _letters().alias("letters"))
-
-    def side(keys: Column) -> DataFrame:
-        # equal lines meet in their keys' partition, where one row of each is left
-        rows = signed.select("h", "letters", F.explode(keys).alias("key"))
-        return rows.repartition("key").dropDuplicates(["key", "h", "letters"])
-
-    index = side(_indexed(t)).select("key", F.col("h").alias("a"), F.col("letters").alias("_l"))
-    probe = side(_probes(t)).select("key", F.col("h").alias("b"), F.col("letters").alias("_r"))
-    met = probe.join(index, "key").filter((F.col("a") != F.col("b")) & _alike(F.col("_l"), F.col("_r"), t))
-    pairs = written(met.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct(), "line-pairs")
-
+    # lines that share a key with another one: a row each, however many share it
+    met = once.select("h", F.explode_outer(F.array_distinct(F.concat(_indexed(t), _probes(t)))).alias("key"))
+    key = Window.partitionBy("key")
+    met = met.withColumns({"_least": F.min("h").over(key), "_most": F.max("h").over(key)})
+    suspects = written(met.filter("_least <> _most").select("h").distinct(), "line-suspects")
+    some = lines.join(broadcast_if(is_small(suspects, SUSPECTS), suspects), "h", "left_semi")
+    texts = some.groupBy("h").agg(F.first("line").alias("line"))
+    texts = written(texts.withColumns({"n": F.length("line"), "bag": _bag(F.col("line"))}), "line-texts")
+
+    index = texts.select(F.explode(_indexed(t)).alias("key"), F.col("h").alias("a"), F.col("bag").alias("_l"))
+    probe = texts.select(F.explode(_probes(t)).alias("key"), F.col("h").alias("b"), F.col("bag").alias("_r"))
+    found = probe.join(index, "key").filter((F.col("a") != F.col("b")) & _alike(F.col("_l"), F.col("_r"), t))
+    pairs = written(found.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct(), "line-pairs")
     ids = pairs.select(F.explode(F.array("x", "y")).alias("h")).distinct()
     ids = broadcast_if(is_small(ids), ids)
-    texts = written(lines.join(ids, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line")), "line-texts")
     both = pairs.join(texts.select(F.col("h").alias("x"), F.col("line").alias("a")), "x").join(
         texts.select(F.col("h").alias("y"), F.col("line").alias("b")), "y"
     )
