@@ -31,16 +31,20 @@ LAYOUT = "shard int, chunk int, first long, ids int, payload binary, doc_id long
 CACHE = 200_000
 # Punctuation that no special token and no contraction of the tokenizer's pattern holds.
 PLAIN_SIGNS = b'.,!?%$&*#;:()"-_/=+@[]{}~^`'
-_tokenizers: dict[str, tuple] = {}
 
 
 def tokenizer(path: str) -> tuple:
-    """The tokenizer of a file and what is known of its pieces, once per worker."""
-    if path not in _tokenizers:
-        from tokenizers import Tokenizer
+    """The tokenizer of a file and what is known of its pieces, once per worker process.
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {}, _byte_letters())
-    return _tokenizers[path]
+    Functions sent to the workers bring globals of their own to every task, so what tasks
+    share is kept with the library's module.
+    """
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_kept_by_path", {})
+    if path not in kept:
+        kept[path] = (tokenizers.Tokenizer.from_file(path), {}, _byte_letters())
+    return kept[path]
 
 
 def _byte_letters() -> dict[int, str]:
