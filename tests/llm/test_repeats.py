@@ -50,12 +50,12 @@ def test_words(spark, block_bytes, length, start):
 
 
 @pytest.mark.parametrize("block_bytes,bin_bytes", [(1 << 24, 1 << 20), (4000, 3000)])
-@pytest.mark.parametrize("length,k", [(50, 24), (12, 6)])
-def test_bytes(spark, block_bytes, bin_bytes, length, k):
+@pytest.mark.parametrize("length,k,crowd", [(50, 24, 10_000), (12, 6, 10_000), (50, 24, 2), (12, 6, 3)])
+def test_bytes(spark, block_bytes, bin_bytes, length, k, crowd):
     rows = cases.unique_ids()
     want = bytes_left([(d, t.encode()) for d, t in rows], length)
     got = suffix.repeated_bytes(
-        cases.frame(spark, rows), length=length, k=k, block_bytes=block_bytes, bin_bytes=bin_bytes
+        cases.frame(spark, rows), length=length, k=k, block_bytes=block_bytes, bin_bytes=bin_bytes, crowd=crowd
     ).collect()
     assert {r.doc_id: (*r[1:5], [tuple(x) for x in r.removed]) for r in got} == want
 
