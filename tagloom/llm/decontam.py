@@ -43,6 +43,11 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(slots, F.lit(TOKEN), F.lit(0))
 
 
+def plain(text: Column) -> Column:
+    """Lower-case words and digits of a text, whatever stands around them."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))
+
+
 def _hashes(toks: str) -> Column:
     return F.transform(
         F.col(toks), lambda t: F.xxhash64(F.when(t.startswith("<"), F.substring_index(t, "=", 1)).otherwise(t))
@@ -67,6 +72,23 @@ def _windows(df: DataFrame, width: int) -> DataFrame:
     return df
 
 
+def _exact(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """(_doc, _item, _p, _i, _w): windows of plain words of ``_iw`` that stand in ``_dw`` word for word."""
+    some = items.withColumn("_h", F.transform("_iw", lambda w: F.xxhash64(w))).withColumn("_w", F.least(F.size("_iw"), F.lit(width)))
+    hashed = docs.select("_doc", F.transform("_dw", lambda w: F.xxhash64(w)).alias("_h"))
+    keys = items.limit(0).select("_item", F.lit(0).alias("_w"), F.lit(0).alias("_i"), F.lit(0).cast("long").alias("_x"))
+    found = docs.limit(0).select("_doc", F.lit(0).alias("_w"), F.lit(0).alias("_p"), F.lit(0).cast("long").alias("_x"))
+    for w in sorted(r[0] for r in some.select("_w").distinct().collect()):  # at most ``width`` values
+        at = _windows(some.filter(F.col("_w") == w), w).select("_item", "_w", F.posexplode_outer("_x").alias("_i", "_x"))
+        keys = keys.unionByName(at)
+        found = found.unionByName(
+            _windows(hashed, w).select("_doc", F.lit(w).alias("_w"), F.posexplode_outer("_x").alias("_p", "_x"))
+        )
+    keys = written(keys.filter("_x is not null").distinct(), "benchmark-words")
+    hits = found.filter("_x is not null").join(broadcast_if(is_small(keys), keys), ["_x", "_w"])
+    return written(hits.select("_doc", "_item", "_p", "_i", "_w").distinct(), "words-found")
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -86,19 +108,27 @@ def contaminated(
     item_windows (those it has), n_slots (its slots seen there), verbatim (all slots
     filled alike).
 
-    Items of ``min_words`` words up to ``width`` are one window of their own length;
-    shorter ones name nothing and are not searched. Windows need ``min_literals`` words
-    that are no slots, else any table of names would match. Windows on one diagonal
-    (document position less item position) are held together: on it one item value
-    must stand for one document value of its kind and the other way round; diagonals
-    that break this don't count. ``min_share`` of the item's windows must be left.
+    Templates: items of ``min_words`` words up to ``width`` are one window of their own
+    length. Windows need ``min_literals`` words that are no slots, else any table of names
+    would match. Windows on one diagonal (document position less item position) are held
+    together: on it one item value must stand for one document value of its kind and the
+    other way round; diagonals that break this don't count. ``min_share`` of the item's
+    windows must be left.
+
+    Word for word: every item that has a word is also searched as it is, in lower case and
+    without punctuation, down to items of one word, which name every document with that
+    word. All its windows must be found; ``min_share`` of them if templates leave
+    some of its windows out (items under ``min_words``, windows under ``min_literals``).
+    Such pairs count plain windows, have no slots and are verbatim.
 
     Null texts and ids never match. Repeated rows of a document or item count once.
     Empty tables give no rows; other columns are ignored.
     """
+    every = benchmark.select(
+        F.col(item).alias("_item"), tokens(F.col(item_text)).alias("_it"), plain(F.col(item_text)).alias("_iw")
+    ).filter(F.col("_item").isNotNull() & (F.size("_iw") > 0))
     items = (
-        benchmark.select(F.col(item).alias("_item"), tokens(F.col(item_text)).alias("_it"))
-        .filter(F.col("_item").isNotNull() & (F.size("_it") >= min_words))
+        every.select("_item", "_it").filter(F.size("_it") >= min_words)
         .withColumn("_h", _hashes("_it"))
         .withColumn("_w", F.least(F.size("_it"), F.lit(width)))
     )
@@ -151,7 +181,7 @@ def contaminated(
     )
     total = keys.groupBy("_item").agg(F.countDistinct("_i").alias("item_windows"))
     places = cut.select(*line, "_i").distinct()
-    return (
+    templates = (
         places.join(checked, line, "left")
         .filter(F.col("_pairs").isNull() | ((F.col("_pairs") == F.col("_ours")) & (F.col("_pairs") == F.col("_theirs"))))
         .groupBy("_doc", "_item")
@@ -162,8 +192,25 @@ def contaminated(
         )
         .join(broadcast_if(small, total), "_item")
         .filter(F.col("n_windows") >= F.lit(min_share) * F.col("item_windows"))
-        .select(F.col("_doc").alias(id_col), F.col("_item").alias(item), "n_windows", "item_windows", "n_slots", "verbatim")
     )
+    words = docs.select(F.col(id_col).alias("_doc"), plain(F.col(text)).alias("_dw")).filter(F.col("_doc").isNotNull())
+    # whether templates see every window of an item
+    possible = items.groupBy("_item").agg(F.max(F.size("_it") - F.col("_w") + 1).alias("_possible"))
+    covered = total.join(possible, "_item").filter("item_windows = _possible").select("_item", F.lit(True).alias("_covered"))
+    lengths = every.groupBy("_item").agg(F.max(F.size("_iw") - F.least(F.size("_iw"), F.lit(width)) + 1).cast("long").alias("item_windows"))
+    needed = F.when(F.col("_covered"), F.lit(1.0)).otherwise(F.lit(min_share))
+    exact = (
+        _exact(words, every.select("_item", "_iw"), width)
+        .groupBy("_doc", "_item")
+        .agg(F.countDistinct("_i").alias("n_windows"))
+        .join(broadcast_if(is_small(every), lengths.join(covered, "_item", "left")), "_item")
+        .filter(F.col("n_windows") >= needed * F.col("item_windows"))
+        .select("_doc", "_item", "n_windows", "item_windows", F.lit(0).cast("long").alias("n_slots"), F.lit(True).alias("verbatim"))
+    )
+    # what the templates found comes first, it has slots
+    best = F.max(F.struct("n_slots", "n_windows", "item_windows")).alias("_best")
+    both = templates.unionByName(exact).groupBy("_doc", "_item").agg(best, F.bool_or("verbatim").alias("verbatim"))
+    return both.select(F.col("_doc").alias(id_col), F.col("_item").alias(item), "_best.n_windows", "_best.item_windows", "_best.n_slots", "verbatim")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:

@@ -118,3 +118,21 @@ def test_leaks_and_slots(spark):
     assert decontam.contaminated(cases.empty(spark), bench).count() == 0
     assert decontam.contaminated(docs, bench.limit(0)).count() == 0
     assert decontam.decontaminate(docs, bench.limit(0)).count() == docs.count()
+
+
+def found(spark, docs, items, **options):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in decontam.contaminated(cases.frame(spark, docs), bench, **options).collect()}
+
+
+def test_items_of_slots_and_few_words_are_found_word_for_word(spark):
+    items = ["What is 12 + 7 x 3?", "Ann Bob Cid Dan Eve Fay Gus Hal Ida Jim", "Why not?", "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16"]
+    docs = [
+        (1, "Q: What is 12 + 7 x 3? A: 33"), (2, "the class: Ann Bob Cid Dan Eve Fay Gus Hal Ida Jim."), (3, "So why not? Because."),
+        (4, "What is 12 + 8 x 3?"), (5, "Ann Bob Cid Dan Eve Fay Gus Hal Ida Tim"), (6, "why, not so"), (7, "why so not"),
+        (8, "a 1 2 3 4 5 6 7 8 9 10 11 12 b"), (9, "a 1 2 3 4 5 6 7 8 9 b"),
+    ]
+    got = found(spark, docs, items)
+    # half of the windows of an item without templates are enough: 9 has 2 of 9, 5 has 2 of 3
+    assert set(got) == {(1, 0), (2, 1), (3, 2), (5, 1), (6, 2), (8, 3)}
+    assert all(r.verbatim for r in got.values())
