@@ -108,7 +108,8 @@ def contaminated(
     item_windows (those it has), n_slots (its slots seen there), verbatim (all slots
     filled alike).
 
-    Templates: items of ``min_words`` words up to ``width`` are one window of their own
+    Templates: an item's first word is a word where the item begins a sentence and a name
+    behind a word; both readings are searched. Items of ``min_words`` words up to ``width`` are one window of their own
     length. Windows need ``min_literals`` words that are no slots, else any table of names
     would match. Windows on one diagonal (document position less item position) are held
     together: on it one item value must stand for one document value of its kind and the
@@ -125,10 +126,15 @@ def contaminated(
     Empty tables give no rows; other columns are ignored.
     """
     every = benchmark.select(
-        F.col(item).alias("_item"), tokens(F.col(item_text)).alias("_it"), plain(F.col(item_text)).alias("_iw")
-    ).filter(F.col("_item").isNotNull() & (F.size("_iw") > 0))
+        F.col(item).alias("_id"), tokens(F.col(item_text)).alias("_own"), plain(F.col(item_text)).alias("_iw"),
+        # as the item reads behind a word
+        F.slice(tokens(F.concat(F.lit("x "), F.ltrim(item_text))), 2, 1 << 30).alias("_inner"),
+    ).filter(F.col("_id").isNotNull() & (F.size("_iw") > 0))
+    versions = F.when(F.col("_own") == F.col("_inner"), F.array("_own")).otherwise(F.array("_own", "_inner"))
     items = (
-        every.select("_item", "_it").filter(F.size("_it") >= min_words)
+        every.select("_id", F.posexplode(versions).alias("_v", "_it"))
+        .select(F.struct(F.col("_id").alias("id"), F.col("_v").alias("v")).alias("_item"), "_it")
+        .filter(F.size("_it") >= min_words)
         .withColumn("_h", _hashes("_it"))
         .withColumn("_w", F.least(F.size("_it"), F.lit(width)))
     )
@@ -193,14 +199,16 @@ def contaminated(
         .join(broadcast_if(small, total), "_item")
         .filter(F.col("n_windows") >= F.lit(min_share) * F.col("item_windows"))
     )
+    templates = templates.withColumn("_item", F.col("_item.id"))
     words = docs.select(F.col(id_col).alias("_doc"), plain(F.col(text)).alias("_dw")).filter(F.col("_doc").isNotNull())
-    # whether templates see every window of an item
-    possible = items.groupBy("_item").agg(F.max(F.size("_it") - F.col("_w") + 1).alias("_possible"))
-    covered = total.join(possible, "_item").filter("item_windows = _possible").select("_item", F.lit(True).alias("_covered"))
+    # whether templates see every window of an item as it stands
+    possible = items.filter("_item.v = 0").groupBy("_item").agg(F.max(F.size("_it") - F.col("_w") + 1).alias("_possible"))
+    covered = total.join(possible, "_item").filter("item_windows = _possible").select(F.col("_item.id").alias("_item"), F.lit(True).alias("_covered"))
+    every = every.select(F.col("_id").alias("_item"), "_iw")
     lengths = every.groupBy("_item").agg(F.max(F.size("_iw") - F.least(F.size("_iw"), F.lit(width)) + 1).cast("long").alias("item_windows"))
     needed = F.when(F.col("_covered"), F.lit(1.0)).otherwise(F.lit(min_share))
     exact = (
-        _exact(words, every.select("_item", "_iw"), width)
+        _exact(words, every, width)
         .groupBy("_doc", "_item")
         .agg(F.countDistinct("_i").alias("n_windows"))
         .join(broadcast_if(is_small(every), lengths.join(covered, "_item", "left")), "_item")

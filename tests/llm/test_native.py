@@ -136,3 +136,16 @@ def test_items_of_slots_and_few_words_are_found_word_for_word(spark):
     # half of the windows of an item without templates are enough: 9 has 2 of 9, 5 has 2 of 3
     assert set(got) == {(1, 0), (2, 1), (3, 2), (5, 1), (6, 2), (8, 3)}
     assert all(r.verbatim for r in got.values())
+
+
+def test_items_are_found_behind_anything_and_in_lower_case(spark):
+    items = ["Six words are in this item", "Alice has some good pears today", ITEM]
+    docs = [
+        (1, "x y Six words are in this item z"), (2, "said, Six words are in this item"), (3, "1) Six words are in this item"),
+        (4, "(Six words are in this item)"), (5, "he said \"Six words are in this item\""), (6, "x six words are in this item"),
+        (7, "well " + ITEM.lower()), (8, "and Carol has some good pears today"), (9, "x y Six words are in that item"),
+    ]
+    got = found(spark, docs, items)
+    assert set(got) == {*[(i, 0) for i in range(1, 7)], (7, 2), (8, 1)}
+    assert not got[8, 1].verbatim and got[8, 1].n_slots == 1
+    assert all(r.verbatim for k, r in got.items() if k != (8, 1))
