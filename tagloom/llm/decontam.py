@@ -9,7 +9,7 @@ windows and the items' slot values map one to one onto the document's.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import written
@@ -72,6 +72,11 @@ def _windows(df: DataFrame, width: int) -> DataFrame:
     return df
 
 
+def _stretches(df: DataFrame, line: list[str]) -> DataFrame:
+    """``_stretch``: alike for windows of a diagonal side by side; a diagonal has at most the item's windows."""
+    return df.withColumn("_stretch", F.col("_i") - F.row_number().over(Window.partitionBy(*line).orderBy("_i")))
+
+
 def _exact(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     """(_doc, _item, _p, _i, _w): windows of plain words of ``_iw`` that stand in ``_dw`` word for word."""
     some = items.withColumn("_h", F.transform("_iw", lambda w: F.xxhash64(w))).withColumn("_w", F.least(F.size("_iw"), F.lit(width)))
@@ -101,25 +106,30 @@ def contaminated(
     min_words: int = 5,
     min_literals: int = 4,
     min_share: float = 0.5,
+    min_run: int = 13,
+    min_exact_run: int = 20,
 ) -> DataFrame:
     """Pairs of a document and a benchmark item it holds.
 
     Columns: id_col, item, n_windows (different windows of the item found),
-    item_windows (those it has), n_slots (its slots seen there), verbatim (all slots
-    filled alike).
+    item_windows (those it has), share (the one by the other), run (template words of the
+    longest stretch found), n_slots (its slots seen there), verbatim (all slots filled
+    alike).
 
     Templates: an item's first word is a word where the item begins a sentence and a name
     behind a word; both readings are searched. Items of ``min_words`` words up to ``width`` are one window of their own
     length. Windows need ``min_literals`` words that are no slots, else any table of names
-    would match. Windows on one diagonal (document position less item position) are held
-    together: on it one item value must stand for one document value of its kind and the
-    other way round; diagonals that break this don't count. ``min_share`` of the item's
-    windows must be left.
+    would match. Windows side by side on one diagonal (document position less item position)
+    are a stretch: in it one item value must stand for one document value; stretches that
+    break this don't count. ``min_share`` of the item's windows must be left, or a stretch of
+    ``min_run`` template words, however long the item is.
 
     Word for word: every item that has a word is also searched as it is, in lower case and
     without punctuation, down to items of one word, which name every document with that
     word. All its windows must be found; ``min_share`` of them if templates leave
-    some of its windows out (items under ``min_words``, windows under ``min_literals``).
+    some of its windows out (items under ``min_words``, windows under ``min_literals``); a
+    stretch of ``min_exact_run`` words is enough for any item, also inside a stretch whose
+    slots clash.
     Such pairs count plain windows, have no slots and are verbatim.
 
     Null texts and ids never match. Repeated rows of a document or item count once.
@@ -172,32 +182,35 @@ def contaminated(
         ),
         lambda s: s["ours"].contains("="),
     )
-    cut = paired.withColumn("_slots", slots).select(
-        "_doc", "_item", "_i", (F.col("_p") - F.col("_i")).alias("_diagonal"), F.explode_outer("_slots").alias("_s")
+    diagonal = ["_doc", "_item", "_diagonal"]
+    paired = paired.withColumn("_slots", slots).select(
+        "_doc", "_item", "_i", "_w", (F.col("_p") - F.col("_i")).alias("_diagonal"), "_slots"
     )
-    # each pair of values once; then a value of either side must occur in one pair only
-    line = ["_doc", "_item", "_diagonal"]
+    paired = written(_stretches(paired.dropDuplicates([*diagonal, "_i"]), diagonal), "windows-in-stretches")
+    # each pair of values once; then a value of the item must occur in one pair only
+    line = [*diagonal, "_stretch"]
+    cut = paired.select(*line, F.explode_outer("_slots").alias("_s"))
     pairs = cut.groupBy(*line, F.col("_s.ours").alias("ours"), F.col("_s.theirs").alias("theirs")).agg(F.lit(1).alias("_one"))
     pairs = pairs.filter(F.col("ours").isNotNull())
     checked = pairs.groupBy(*line).agg(
         F.count(F.lit(1)).alias("_pairs"),
         F.size(F.collect_set("ours")).alias("_ours"),
-        F.size(F.collect_set("theirs")).alias("_theirs"),
         F.bool_and(F.col("ours") == F.col("theirs")).alias("_same"),
     )
     total = keys.groupBy("_item").agg(F.countDistinct("_i").alias("item_windows"))
-    places = cut.select(*line, "_i").distinct()
+    places = paired.withColumn("_run", F.count(F.lit(1)).over(Window.partitionBy(*line)) + F.col("_w") - 1).drop("_slots")
     templates = (
         places.join(checked, line, "left")
-        .filter(F.col("_pairs").isNull() | ((F.col("_pairs") == F.col("_ours")) & (F.col("_pairs") == F.col("_theirs"))))
+        .filter(F.col("_pairs").isNull() | (F.col("_pairs") == F.col("_ours")))
         .groupBy("_doc", "_item")
         .agg(
             F.countDistinct("_i").alias("n_windows"),
+            F.max("_run").alias("run"),
             F.coalesce(F.max("_ours"), F.lit(0)).cast("long").alias("n_slots"),
             F.bool_and(F.coalesce("_same", F.lit(True))).alias("verbatim"),
         )
         .join(broadcast_if(small, total), "_item")
-        .filter(F.col("n_windows") >= F.lit(min_share) * F.col("item_windows"))
+        .filter((F.col("n_windows") >= F.lit(min_share) * F.col("item_windows")) | (F.col("run") >= min_run))
     )
     templates = templates.withColumn("_item", F.col("_item.id"))
     words = docs.select(F.col(id_col).alias("_doc"), plain(F.col(text)).alias("_dw")).filter(F.col("_doc").isNotNull())
@@ -207,18 +220,24 @@ def contaminated(
     every = every.select(F.col("_id").alias("_item"), "_iw")
     lengths = every.groupBy("_item").agg(F.max(F.size("_iw") - F.least(F.size("_iw"), F.lit(width)) + 1).cast("long").alias("item_windows"))
     needed = F.when(F.col("_covered"), F.lit(1.0)).otherwise(F.lit(min_share))
+    at = _exact(words, every, width).withColumn("_diagonal", F.col("_p") - F.col("_i"))
+    runs = _stretches(at, diagonal).withColumn("_run", F.count(F.lit(1)).over(Window.partitionBy(*line)) + F.col("_w") - 1)
     exact = (
-        _exact(words, every, width)
-        .groupBy("_doc", "_item")
-        .agg(F.countDistinct("_i").alias("n_windows"))
+        runs.groupBy("_doc", "_item")
+        .agg(F.countDistinct("_i").alias("n_windows"), F.max("_run").alias("run"))
         .join(broadcast_if(is_small(every), lengths.join(covered, "_item", "left")), "_item")
-        .filter(F.col("n_windows") >= needed * F.col("item_windows"))
-        .select("_doc", "_item", "n_windows", "item_windows", F.lit(0).cast("long").alias("n_slots"), F.lit(True).alias("verbatim"))
+        .filter((F.col("n_windows") >= needed * F.col("item_windows")) | (F.col("run") >= min_exact_run))
+        .withColumns({"n_slots": F.lit(0).cast("long"), "verbatim": F.lit(True)})
     )
     # what the templates found comes first, it has slots
-    best = F.max(F.struct("n_slots", "n_windows", "item_windows")).alias("_best")
-    both = templates.unionByName(exact).groupBy("_doc", "_item").agg(best, F.bool_or("verbatim").alias("verbatim"))
-    return both.select(F.col("_doc").alias(id_col), F.col("_item").alias(item), "_best.n_windows", "_best.item_windows", "_best.n_slots", "verbatim")
+    counts = ["n_windows", "item_windows", "run", "n_slots"]
+    exact = exact.select("_doc", "_item", *counts, "verbatim")
+    both = templates.select("_doc", "_item", *counts, "verbatim").unionByName(exact).groupBy("_doc", "_item")
+    both = both.agg(F.max(F.struct("n_slots", "n_windows", "item_windows", "run")).alias("_best"), F.bool_or("verbatim").alias("verbatim"))
+    share = (F.col("_best.n_windows") / F.col("_best.item_windows")).alias("share")
+    return both.select(
+        F.col("_doc").alias(id_col), F.col("_item").alias(item), "_best.n_windows", "_best.item_windows", share, "_best.run", "_best.n_slots", "verbatim"
+    )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:

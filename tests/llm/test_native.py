@@ -149,3 +149,25 @@ def test_items_are_found_behind_anything_and_in_lower_case(spark):
     assert set(got) == {*[(i, 0) for i in range(1, 7)], (7, 2), (8, 1)}
     assert not got[8, 1].verbatim and got[8, 1].n_slots == 1
     assert all(r.verbatim for k, r in got.items() if k != (8, 1))
+
+
+def test_long_stretches_and_values_that_coincide(spark):
+    rng = random.Random(11)
+    long = " ".join(rng.choice(cases.WORDS) for _ in range(59))
+    words = long.split()
+    tale = "so Alice gave 3 of her plums to Bob and then 12 of the others went home with " + " ".join(words[:40])
+    story = tale.split()
+    told = " ".join(story[:17]).replace("Alice", "Carol").replace("3", "7").replace("12", "7")
+    docs = [
+        (1, "once " + " ".join(words[9:39]) + " over"), (2, "once " + " ".join(words[9:18]) + " over"),
+        (3, "x " + told + " end"), (4, "and " + ITEM.replace("3", "5").replace("12", "5") + " now"),
+    ]
+    got = found(spark, docs, [long, tale, ITEM])
+    assert (1, 0) in got and (2, 0) not in got
+    assert got[1, 0].run == 30 and got[1, 0].n_windows == 23 and got[1, 0].share == 23 / 52
+    assert (3, 1) in got and got[3, 1].share < 0.5 and not got[3, 1].verbatim
+    assert (4, 2) in got and not got[4, 2].verbatim
+    # a clash beside 25 words that are alike
+    clash = "Then Alice saw how Alice " + long
+    held = found(spark, [(1, "so Then Alice saw how Dora " + " ".join(words[:25]))], [clash])
+    assert held[1, 0].verbatim and held[1, 0].run == 25
