@@ -35,8 +35,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that hold a benchmark item go, with or without an id."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,47 +94,21 @@ def _exact(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     return written(hits.select("_doc", "_item", "_p", "_i", "_w").distinct(), "words-found")
 
 
-def contaminated(
+def _held(
     docs: DataFrame,
     benchmark: DataFrame,
+    text: str,
+    item: str,
+    item_text: str,
     *,
-    id_col: str = "doc_id",
-    text: str = "text",
-    item: str = "item_id",
-    item_text: str = "text",
-    width: int = 8,
-    min_words: int = 5,
-    min_literals: int = 4,
-    min_share: float = 0.5,
-    min_run: int = 13,
-    min_exact_run: int = 20,
+    width: int,
+    min_words: int,
+    min_literals: int,
+    min_share: float,
+    min_run: int,
+    min_exact_run: int,
 ) -> DataFrame:
-    """Pairs of a document and a benchmark item it holds.
-
-    Columns: id_col, item, n_windows (different windows of the item found),
-    item_windows (those it has), share (the one by the other), run (template words of the
-    longest stretch found), n_slots (its slots seen there), verbatim (all slots filled
-    alike).
-
-    Templates: an item's first word is a word where the item begins a sentence and a name
-    behind a word; both readings are searched. Items of ``min_words`` words up to ``width`` are one window of their own
-    length. Windows need ``min_literals`` words that are no slots, else any table of names
-    would match. Windows side by side on one diagonal (document position less item position)
-    are a stretch: in it one item value must stand for one document value; stretches that
-    break this don't count. ``min_share`` of the item's windows must be left, or a stretch of
-    ``min_run`` template words, however long the item is.
-
-    Word for word: every item that has a word is also searched as it is, in lower case and
-    without punctuation, down to items of one word, which name every document with that
-    word. All its windows must be found; ``min_share`` of them if templates leave
-    some of its windows out (items under ``min_words``, windows under ``min_literals``); a
-    stretch of ``min_exact_run`` words is enough for any item, also inside a stretch whose
-    slots clash.
-    Such pairs count plain windows, have no slots and are verbatim.
-
-    Null texts and ids never match. Repeated rows of a document or item count once.
-    Empty tables give no rows; other columns are ignored.
-    """
+    """``contaminated`` for texts: ``_doc`` is the hash of a text, ``_item`` an item it holds."""
     every = benchmark.select(
         F.col(item).alias("_id"), tokens(F.col(item_text)).alias("_own"), plain(F.col(item_text)).alias("_iw"),
         # as the item reads behind a word
@@ -149,7 +123,7 @@ def contaminated(
         .withColumn("_w", F.least(F.size("_it"), F.lit(width)))
     )
     widths = [r[0] for r in items.select("_w").distinct().collect()]  # at most ``width`` values
-    base = docs.select(F.col(id_col).alias("_doc"), tokens(F.col(text)).alias("_dt")).filter(F.col("_doc").isNotNull())
+    base = docs.select(F.xxhash64(text).alias("_doc"), tokens(F.col(text)).alias("_dt"))
     hashed = base.select("_doc", _hashes("_dt").alias("_h"))
     no_items = items.limit(0).select("_item", F.lit(0).alias("_w"), F.lit(0).alias("_i"), F.lit(0).cast("long").alias("_x"))
     keys, found = no_items, base.limit(0).select("_doc", F.lit(0).alias("_w"), F.lit(0).alias("_p"), F.lit(0).cast("long").alias("_x"))
@@ -166,13 +140,13 @@ def contaminated(
     keys = written(keys.distinct(), "benchmark-windows")
     small = is_small(keys)
     hits = written(
-        found.join(broadcast_if(small, keys), ["_x", "_w"]).select("_doc", "_item", "_w", "_p", "_i"), "windows-found"
+        found.join(broadcast_if(small, keys), ["_x", "_w"]).select("_doc", "_item", "_w", "_p", "_i").distinct(), "windows-found"
     )
     # slots are read again, for the few documents that have a window
     few = hits.select("_doc").distinct()
     held = base.join(broadcast_if(is_small(few), few), "_doc", "left_semi")
     kept_items = items.select("_item", "_it").dropDuplicates(["_item"])
-    paired = hits.join(held.dropDuplicates(["_doc", "_dt"]), "_doc").join(broadcast_if(small, kept_items), "_item")
+    paired = hits.join(held.dropDuplicates(["_doc"]), "_doc").join(broadcast_if(small, kept_items), "_item")
     slots = F.filter(
         F.transform(
             F.sequence(F.lit(0), F.col("_w") - 1),
@@ -213,7 +187,7 @@ def contaminated(
         .filter((F.col("n_windows") >= F.lit(min_share) * F.col("item_windows")) | (F.col("run") >= min_run))
     )
     templates = templates.withColumn("_item", F.col("_item.id"))
-    words = docs.select(F.col(id_col).alias("_doc"), plain(F.col(text)).alias("_dw")).filter(F.col("_doc").isNotNull())
+    words = docs.select(F.xxhash64(text).alias("_doc"), plain(F.col(text)).alias("_dw"))
     # whether templates see every window of an item as it stands
     possible = items.filter("_item.v = 0").groupBy("_item").agg(F.max(F.size("_it") - F.col("_w") + 1).alias("_possible"))
     covered = total.join(possible, "_item").filter("item_windows = _possible").select(F.col("_item.id").alias("_item"), F.lit(True).alias("_covered"))
@@ -229,18 +203,82 @@ def contaminated(
         .filter((F.col("n_windows") >= needed * F.col("item_windows")) | (F.col("run") >= min_exact_run))
         .withColumns({"n_slots": F.lit(0).cast("long"), "verbatim": F.lit(True)})
     )
-    # what the templates found comes first, it has slots
     counts = ["n_windows", "item_windows", "run", "n_slots"]
     exact = exact.select("_doc", "_item", *counts, "verbatim")
-    both = templates.select("_doc", "_item", *counts, "verbatim").unionByName(exact).groupBy("_doc", "_item")
-    both = both.agg(F.max(F.struct("n_slots", "n_windows", "item_windows", "run")).alias("_best"), F.bool_or("verbatim").alias("verbatim"))
+    return written(templates.select("_doc", "_item", *counts, "verbatim").unionByName(exact), "items-held")
+
+
+def _named(docs: DataFrame, held: DataFrame, id_col: str, text: str, item: str) -> DataFrame:
+    """The pairs of ``_held`` with the ids of the documents that have the text."""
+    ids = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_doc")).filter(F.col("_id").isNotNull())
+    pairs = ids.join(broadcast_if(is_small(held), held), "_doc").groupBy("_id", "_item")
+    # what the templates found comes first, it has slots
+    both = pairs.agg(F.max(F.struct("n_slots", "n_windows", "item_windows", "run")).alias("_best"), F.bool_or("verbatim").alias("verbatim"))
     share = (F.col("_best.n_windows") / F.col("_best.item_windows")).alias("share")
     return both.select(
-        F.col("_doc").alias(id_col), F.col("_item").alias(item), "_best.n_windows", "_best.item_windows", share, "_best.run", "_best.n_slots", "verbatim"
+        F.col("_id").alias(id_col), F.col("_item").alias(item), "_best.n_windows", "_best.item_windows", share, "_best.run", "_best.n_slots", "verbatim"
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that hold no benchmark item, all columns kept; without an id one stays."""
-    bad = written(contaminated(docs, benchmark, id_col=id_col, **options).select(id_col).distinct(), "contaminated")
-    return docs.join(broadcast_if(is_small(bad), bad), id_col, "left_anti").select(*docs.columns)
+def contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    width: int = 8,
+    min_words: int = 5,
+    min_literals: int = 4,
+    min_share: float = 0.5,
+    min_run: int = 13,
+    min_exact_run: int = 20,
+) -> DataFrame:
+    """Pairs of a document and a benchmark item it holds.
+
+    Columns: id_col, item, n_windows (different windows of the item found),
+    item_windows (those it has), share (the one by the other), run (template words of the
+    longest stretch found), n_slots (its slots seen there), verbatim (all slots filled
+    alike).
+
+    Templates: an item's first word is a word where the item begins a sentence and a name
+    behind a word; both readings are searched. Items of ``min_words`` words up to ``width`` are one window of their own
+    length. Windows need ``min_literals`` words that are no slots, else any table of names
+    would match. Windows side by side on one diagonal (document position less item position)
+    are a stretch: in it one item value must stand for one document value; stretches that
+    break this don't count. ``min_share`` of the item's windows must be left, or a stretch of
+    ``min_run`` template words, however long the item is.
+
+    Word for word: every item that has a word is also searched as it is, in lower case and
+    without punctuation, down to items of one word, which name every document with that
+    word. All its windows must be found; ``min_share`` of them if templates leave
+    some of its windows out (items under ``min_words``, windows under ``min_literals``); a
+    stretch of ``min_exact_run`` words is enough for any item, also inside a stretch whose
+    slots clash.
+    Such pairs count plain windows, have no slots and are verbatim.
+
+    Texts are searched under their 64-bit hash. Null texts never match, and rows without
+    an id are searched but not named. Repeated rows of a document or item count once. Empty
+    tables give no rows; other columns are ignored.
+    """
+    limits = dict(min_words=min_words, min_literals=min_literals, min_share=min_share, min_run=min_run, min_exact_run=min_exact_run)
+    held = _held(docs, benchmark, text, item, item_text, width=width, **limits)
+    return _named(docs, held, id_col, text, item)
+
+
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text: str = "text", unnamed: bool = False, **options
+) -> DataFrame:
+    """The documents that hold no benchmark item, all columns kept.
+
+    A row without an id stays; with ``unnamed`` it goes if its text holds an item. Rows
+    with an id go with every row of it.
+    """
+    key = docs
+    if unnamed:  # a row without an id is named by its text
+        name = F.struct(F.col(id_col).alias("id"), F.when(F.col(id_col).isNull(), F.xxhash64(text)).alias("text"))
+        key = docs.withColumn("_dc_name", name)
+    by = "_dc_name" if unnamed else id_col
+    bad = written(contaminated(key, benchmark, id_col=by, text=text, **options).select(by).distinct(), "contaminated")
+    return key.join(broadcast_if(is_small(bad), bad), by, "left_anti").select(*docs.columns)

@@ -53,3 +53,12 @@ def test_run_is_registered():
     assert registered["pipeline"] is corpus_pipeline.run
     assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
     assert all(n in registered for n in QUERIES)
+
+
+def test_items_in_rows_without_id_are_gone(spark):
+    item = pq.read_table(f"{SF}/benchmark.parquet")["text"].to_pylist()[0]
+    rows = [(None, "well. " + item), (None, "clean"), (None, None), (1, "well. " + item), (2, "clean"), (2, item), (3, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.decontamination(spark, docs, SF)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == [(0, ""), (0, "clean"), (3, "clean")]
