@@ -31,7 +31,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates the one with the least id stays."""
-    return one_of_each(docs, shingle=3, max_distance=2)
+    return one_of_each(docs, by_row=True, shingle=3, max_distance=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,9 +27,9 @@ STEPS = [1 << i for i in range(20, -1, -1)]
 
 
 def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(doc_id, line_no, line, h) of every line that has a word."""
+    """(doc_id, row, line_no, line, h) of every line that has a word; ``row`` tells rows of one id apart by their text."""
     cut = F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.posexplode_outer(cut).alias("line_no", "line"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("row"), F.posexplode_outer(cut).alias("line_no", "line"))
     return rows.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("h", F.xxhash64("line"))
 
 
@@ -171,12 +171,18 @@ def repeated_lines(
     on the input: lines that go count as earlier lines too.
 
     Lines without a word stay, and so do null and empty texts. Rows without an id come
-    first. Rows that repeat an id leave each other's lines of one number alone. Lines are
-    told apart by 64-bit hashes. An empty table gives no rows; other columns are not read.
+    first. Rows that have the same id, or none, stand in the order of the hashes of their
+    texts; those of the same id and text are one document. Lines are told apart by 64-bit
+    hashes. An empty table gives no rows; other columns are not read.
     """
-    t = max_edits
+    gone = _repeated(docs, id_col, text, max_edits, min_chars)
+    return gone.select(F.col("doc_id").alias(id_col), "line_no", "near")
+
+
+def _repeated(docs: DataFrame, id_col: str, text: str, t: int, min_chars: int) -> DataFrame:
+    """(doc_id, row, line_no, near) of every line that goes."""
     lines = _lines(docs, id_col, text)
-    place = F.struct("doc_id", "line_no")
+    place = F.struct("doc_id", "row", "line_no")
     firsts = lines.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
     firsts = written(firsts, "first-lines")
     total = firsts.agg(F.sum("times")).first()[0] or 0
@@ -214,12 +220,12 @@ def repeated_lines(
         .distinct()
     )
     later = written(later, "later-lines")
-    seen = lines.select("doc_id", "line_no", "h").join(firsts.select("h", "first"), "h")
+    seen = lines.select("doc_id", "row", "line_no", "h").join(firsts.select("h", "first"), "h")
     mine = place.eqNullSafe(F.col("first"))
     return (
         seen.join(broadcast_if(is_small(later), later), F.col("h") == F.col("_later"), "left")
         .filter(~mine | F.col("_later").isNotNull())
-        .select(F.col("doc_id").alias(id_col), "line_no", mine.alias("near"))
+        .select("doc_id", "row", "line_no", mine.alias("near"))
     )
 
 
@@ -229,15 +235,19 @@ def removed_by_document(docs: DataFrame, *, id_col: str = "doc_id", **options) -
     return gone.groupBy(id_col).agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", max_edits: int = 2, min_chars: int = 24
+) -> DataFrame:
     """The documents without repeated lines, all columns kept; a document may be left empty.
 
-    ``n_chars`` follows the text where there is such a column.
+    ``n_chars`` follows the text where there is such a column. Every row loses its own
+    lines, also one without an id or with the id of another.
     """
-    gone = removed_by_document(docs, id_col=id_col, text=text, **options).select(
-        F.col(id_col).alias("_ld_id"), F.col("removed").alias("_ld_gone")
-    )
-    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col("_ld_id")), "left")
+    gone = _repeated(docs, id_col, text, max_edits, min_chars).groupBy("doc_id", "row")
+    gone = gone.agg(F.array_sort(F.collect_set("line_no")).alias("_ld_gone"))
+    gone = gone.select(F.col("doc_id").alias("_ld_id"), F.col("row").alias("_ld_row"), "_ld_gone")
+    same = F.col(id_col).eqNullSafe(F.col("_ld_id")) & (F.xxhash64(text) == F.col("_ld_row"))
+    joined = docs.join(gone, same, "left")
     some = F.col("_ld_gone").isNotNull()
     joined = joined.withColumn("_ld_lines", F.when(some, F.split(text, "\n")))
     left = F.array_except(F.sequence(F.lit(0), F.size("_ld_lines") - 1), F.col("_ld_gone"))

@@ -88,3 +88,17 @@ def test_texts_left(spark):
     assert lines.dedup_lines(cases.empty(spark)).count() == 0
     hostile = cases.frame(spark)
     assert lines.dedup_lines(hostile).count() == hostile.count()
+
+
+def test_rows_without_id_and_rows_that_repeat_one_lose_their_own_lines(spark):
+    rng = random.Random(12)
+    own = [" ".join(rng.choice(cases.WORDS) + str(rng.randrange(1000)) for _ in range(8)) for _ in range(30)]
+    rows = []
+    for i in range(10):
+        same = [own[0], own[i % 3], own[10 + i], own[20 + i // 2]]
+        rows.append((None if i < 5 else 7, "\n".join(same)))
+    left = [(r.doc_id, r.text) for r in lines.dedup_lines(cases.frame(spark, rows)).collect()]
+    assert [d for d, _ in left].count(None) == 5 and len(left) == 10
+    kept = [x for _, t in left for x in t.split("\n") if x]
+    # every different line stays once
+    assert sorted(kept) == sorted({x for _, t in rows for x in t.split("\n")})

@@ -109,3 +109,15 @@ def test_one_of_each_keeps_columns_and_empty_tables(spark):
     assert got.count(None) == 3
     assert simhash.one_of_each(cases.empty(spark)).count() == 0
     assert simhash.near_duplicates(cases.empty(spark)).columns == ["doc_id", "fp", "component_id"]
+
+
+def test_one_of_each_by_row_keeps_the_other_texts_of_an_id(spark):
+    rng = random.Random(13)
+    a, b, c = (cases.prose(rng, 60) for _ in range(3))
+    docs = cases.frame(spark, [(1, a), (2, a), (2, b), (2, b), (3, b), (4, c), (None, c), (None, a)])
+    left = simhash.one_of_each(docs, by_row=True)
+    assert left.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text) for r in left.collect())
+    assert got == sorted([(0, a), (0, c), (1, a), (2, b), (4, c)])
+    alone = docs.filter("doc_id <> 2")
+    assert sorted(r.doc_id for r in simhash.one_of_each(alone, by_row=True).collect()) == [1, 3, 4]
