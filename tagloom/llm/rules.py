@@ -133,7 +133,9 @@ def quality_rules(
     A document fails the base rules with under ``min_words`` words or over
     ``max_repeat_percent`` percent of its words in repeated windows. The others are held
     against fences of their language and source: the quartiles of each feature, moved out
-    by ``width`` times their distance. Sketches hold ``k`` values exactly and more with a
+    by ``width`` times their distance, or times ``LEAST_SPREAD`` where that is more. On
+    sf0.1 it is more for all features in all 20 groups of 100 documents or more, so
+    there only the quartile itself follows the data, not how far the fence is from it. Sketches hold ``k`` values exactly and more with a
     rank error of about 1 / k. Groups of under ``min_group`` documents take the merged
     sketch of their language, then of all.
 
