@@ -191,8 +191,9 @@ def _repeated(docs: DataFrame, id_col: str, text: str, t: int, min_chars: int) -
     once = lines.withColumn("n", F.length("line")).filter(F.col("n") >= min_chars).join(
         broadcast_if(True, common), F.col("h") == F.col("_h"), "left"
     ).filter(F.col("_h").isNull() | place.eqNullSafe(F.col("first")))
-    # lines that share a key with another one: a row each, however many share it
-    met = once.select("h", F.explode_outer(F.array_distinct(F.concat(_indexed(t), _probes(t)))).alias("key"))
+    # lines that share a key with another one: a row each, however many share it; the
+    # probes of a line's own length, not moved, are its indexed keys
+    met = once.select("h", F.explode_outer(_probes(t)).alias("key"))
     key = Window.partitionBy("key")
     met = met.withColumns({"_least": F.min("h").over(key), "_most": F.max("h").over(key)})
     suspects = written(met.filter("_least <> _most").select("h").distinct(), "line-suspects")
