@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat, classifier, decontam, doubling, lines, packing, rules, simhash, suffix, tokens
+from tagloom.llm import audit, chat, classifier, decontam, doubling, language, lines, packing, repair, rules, simhash, suffix, tokens
 from tagloom.llm.common import table
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -174,6 +174,61 @@ SELECT doc_id, count(*) AS n_removed, count(*) FILTER (near) AS n_near,
 FROM gone GROUP BY doc_id
 """
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return language.identify(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")), weight="weight")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {WORDS} AS w FROM documents
+), marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+      len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+      100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t),
+      regexp_matches(t, '[#$%&*|]'), coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)
+    ] AS fails
+  FROM d LEFT JOIN marks ON marks.doc_id = d.doc_id
+), c AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY ALL
+), orders AS (
+  SELECT l1 || l2 || l3 || l4 || l5 AS o
+  FROM (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l1), (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l2),
+    (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l3), (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l4),
+    (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l5)
+  WHERE len(list_distinct([l1, l2, l3, l4, l5])) = 5
+), x AS (
+  SELECT part, o, step, substr(o, step::INT, 1) AS letter, n, good, toxic,
+    fails[ascii(substr(o, step::INT, 1)) - 64] AS here,
+    list_bool_or(list_transform(generate_series(1, step - 1), lambda i: fails[ascii(substr(o, i::INT, 1)) - 64])) AS before,
+    len(list_filter(fails, lambda f: f)) = 1 AS alone
+  FROM c, orders, (SELECT unnest(generate_series(1, 5)) AS step)
+), y AS (
+  SELECT part, o, step, letter, coalesce(sum(n) FILTER (NOT here AND NOT coalesce(before, false)), 0) AS kept,
+    coalesce(sum(n) FILTER (here AND NOT coalesce(before, false)), 0) AS removed,
+    coalesce(sum(n) FILTER (here AND before), 0) AS redundant,
+    coalesce(sum(n) FILTER (here AND alone), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (here AND NOT coalesce(before, false)), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (here AND NOT coalesce(before, false)), 0) AS toxic_lost
+  FROM x GROUP BY ALL
+)
+SELECT part, o AS filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM y
+"""
+
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
     "op2_suffix_array": (op2_suffix_array, None),
@@ -185,4 +240,7 @@ QUERIES = {
     "op8_token_planes": (op8_token_planes, None),
     "op9_best_fit": (op9_best_fit, None),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
+    "op11_language_id": (op11_language_id, None),
+    "op12_conversation_repair": (op12_conversation_repair, None),
+    "op13_filter_audit": (op13_filter_audit, OP13_SQL),
 }
