@@ -60,8 +60,8 @@ class Words:
         while at < n:  # a slice of text at a time, or one longer word
             low = self.starts[at]
             to = max(at + 1, int(np.searchsorted(self.ends, low + SLICE, "right")))
-            sums = ragged.prefix_sums(self.block.data[low : self.ends[to - 1]])
-            out[at:to] = ragged.span_hashes(sums, self.starts[at:to] - low, self.ends[at:to] - low)
+            part = self.block.data[low : self.ends[to - 1]]
+            out[at:to] = ragged.byte_hashes(part, self.starts[at:to] - low, self.ends[at:to] - low)
             at = to
         return out
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
 
 MULTIPLIER = 0x9E3779B97F4A7C15
 _M = np.uint64(MULTIPLIER)
@@ -56,13 +57,60 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, inverse: np.ndarray | None = None) -> np.ndarray:
-    """A 64-bit hash of each span, the same wherever its bytes stand."""
+    """A 64-bit hash of each span, the same wherever its bytes stand. Cheap for windows that
+    overlap; some texts are known to share it, so it only picks places, and tells nothing apart."""
     inverse = powers(_INVERSE, len(sums)) if inverse is None else inverse
     h = (sums[ends] - sums[starts]) * inverse[starts]
     h += (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
     return mixed(h)
 
 
+# spans up to so many bytes are hashed all at once, a register of eight bytes at a time
+SHORT = 64
+# the lowest n bytes of a register
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _registers(data: np.ndarray, lengths: np.ndarray, starts: np.ndarray):
+    """For every eight bytes of short spans: which spans have any there, and what they have."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    at = np.ndarray((len(data) + 1,), "<u8", padded.data, 0, (1,))
+    for c in range(-(-min(SHORT, int(lengths.max(initial=0))) // 8)):
+        some = np.flatnonzero((lengths > 8 * c) & (lengths <= SHORT))
+        yield some, at[starts[some] + 8 * c].astype(np.uint64) & _LOW[np.minimum(lengths[some] - 8 * c, 8)]
+
+
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span, the same wherever they stand.
+
+    Every eight bytes are mixed in before the next ones come, so that, unlike with sums of
+    powers, no family of texts is known to share a hash.
+    """
+    lengths = ends - starts
+    h = mixed(lengths.astype(np.uint64) + np.uint64(0xC2B2AE3D27D4EB4F))
+    for some, values in _registers(data, lengths, starts):
+        h[some] = mixed(h[some] * _M + values)
+    for i in np.flatnonzero(lengths > SHORT).tolist():
+        h[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), 42)
+    return h
+
+
+def same_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether each span has the bytes of the span of another number."""
+    lengths = ends - starts
+    same = lengths == lengths[other]
+    values = np.empty(len(starts), np.uint64)
+    for some, mine in _registers(data, lengths, starts):
+        values[some] = mine
+        some = some[same[some]]
+        same[some] = values[some] == values[other[some]]
+    for i in np.flatnonzero(same & (lengths > SHORT) & (other != np.arange(len(other)))).tolist():
+        j = other[i]
+        same[i] = np.array_equal(data[starts[i] : ends[i]], data[starts[j] : ends[j]])
+    return same
+
+
 def inverse_powers(n: int) -> np.ndarray:
     return powers(_INVERSE, n)
 

@@ -13,6 +13,8 @@ a document's do. Spark reads and writes it wherever it can reach.
 from __future__ import annotations
 
 import struct
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -37,11 +39,11 @@ def tokenizer(path: str) -> tuple:
     """The tokenizer of a file and what is known of its pieces, once per worker process.
 
     Functions sent to the workers bring globals of their own to every task, so what tasks
-    share is kept with the library's module.
+    share is kept in a module that only the worker process has.
     """
     import tokenizers
 
-    kept = tokenizers.__dict__.setdefault("_kept_by_path", {})
+    kept = sys.modules.setdefault("_tagloom_tokenizers", types.ModuleType("_tagloom_tokenizers")).__dict__
     if path not in kept:
         kept[path] = (tokenizers.Tokenizer.from_file(path), {}, _byte_letters())
     return kept[path]
@@ -106,8 +108,8 @@ def _encoded(pieces: list[bytes], tok, letters: dict[int, str]) -> list[list[int
 def encode(data: np.ndarray, offsets: np.ndarray, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, each with the end id, and their counts.
 
-    Pieces are told apart by a 64-bit hash and their length; each different one is
-    encoded once, and the first ``CACHE`` are remembered.
+    Pieces are told apart by a hash and then by their bytes; each different one is encoded
+    once, and the first ``CACHE`` are remembered.
     """
     tok, known, letters = tokenizer(path)
     cuts = _cuts(data, offsets)
@@ -115,8 +117,11 @@ def encode(data: np.ndarray, offsets: np.ndarray, path: str, end_id: int) -> tup
     n_docs = len(offsets) - 1
     if not len(starts):
         return np.full(n_docs, end_id, np.uint32), np.ones(n_docs, np.int64)
-    h = ragged.span_hashes(ragged.prefix_sums(data), starts, ends)
-    _, at, back = np.unique(h, return_index=True, return_inverse=True)
+    _, at, back = np.unique(ragged.byte_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    # a piece that shares its hash with another one stands for itself
+    odd = np.flatnonzero(~ragged.same_bytes(data, starts, ends, at[back]))
+    back[odd] = len(at) + np.arange(len(odd))
+    at = np.concatenate((at, odd))
     raw = data.tobytes()
     pieces = [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())]
     lists = list(map(known.get, pieces))

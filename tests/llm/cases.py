@@ -48,3 +48,10 @@ def unique_ids() -> list[tuple[int, str]]:
         if d is not None and d not in seen:
             seen[d] = t or ""
     return sorted(seen.items())
+
+
+def even_and_odd() -> tuple[str, str]:
+    """The letter a where a place has an even number of one bits, else b, and the other way
+    round: sums of powers modulo 2 ** 64 can't tell these two apart."""
+    even = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    return even, even.translate(str.maketrans("ab", "ba"))

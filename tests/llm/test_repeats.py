@@ -109,3 +109,29 @@ def test_least_owner_of_every_window():
                 least[c[i : i + length]] = min(least.get(c[i : i + length], 99), d)
         for c, got in zip(chunks, suffix.first_owners(chunks, docs, length)):
             assert got.tolist() == [least[c[i : i + length]] for i in range(len(c) - length + 1)]
+
+
+def test_words_that_sums_of_powers_confuse(spark):
+    one, other = cases.even_and_odd()
+    words = [f"w{i}" for i in range(24)]
+    rows = [(1, " ".join([*words[:12], one, *words[12:]])), (2, " ".join([*words[:12], other, *words[12:]])), (3, f"{one} {other}")]
+    want = words_left(rows, 20)
+    assert {w[1] for w in want.values()} == {0}
+    got = doubling.repeated_words(cases.frame(spark, rows), length=20).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in got} == want
+
+
+def test_hashes_and_bytes_of_spans():
+    rng = np.random.default_rng(6)
+    texts = [bytes(rng.integers(97, 99, n).astype(np.uint8)) for n in [*range(0, 20), 63, 64, 65, 200] * 3]
+    texts += texts[:30] + [x.encode() for x in cases.even_and_odd()]
+    data = np.frombuffer(b"-".join(texts), np.uint8)
+    starts = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
+    ends = starts + [len(t) for t in texts]
+    from tagloom.llm import ragged
+
+    h = ragged.byte_hashes(data, starts, ends)
+    assert len(set(h.tolist())) == len(set(texts))
+    assert len({(a, t) for a, t in zip(h.tolist(), texts)}) == len(set(texts))
+    other = rng.integers(0, len(texts), len(texts))
+    assert ragged.same_bytes(data, starts, ends, other).tolist() == [t == texts[o] for t, o in zip(texts, other)]

@@ -56,3 +56,15 @@ def test_files_give_back_every_document(spark):
 
 def test_empty_table(spark):
     assert tokens.read_ids(tokens.write_ids(cases.empty(spark), PATH)).count() == 0
+
+
+def test_pieces_that_sums_of_powers_confuse(spark, monkeypatch):
+    texts = [*cases.even_and_odd(), "some pieces and some more", "other pieces"]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in raw])))
+    want = [i for w in whole(texts) for i in w]
+    held = np.frombuffer(b"".join(raw), np.uint8)
+    assert tokens.encode(held, offsets, PATH, 0)[0].tolist() == want
+    # all pieces under one hash: their bytes tell them apart
+    monkeypatch.setattr(tokens.ragged, "byte_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    assert tokens.encode(held, offsets, PATH, 0)[0].tolist() == want
