@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from suite import bind as b
 from tagloom import seeds
 from tagloom.functions.columns import mask, mask_name
-from tagloom.operators import composite, match, profile, search, stats
+from tagloom.operators import catalog, composite, match, profile, search, stats
 from tagloom.plans.jobs import run_pairs
 from tagloom.session import small_table
 
@@ -361,9 +361,60 @@ _EDGES = """(SELECT DISTINCT depth, source_id, source, target_id, target, catego
 def portrait_graph(spark: SparkSession, sf: str) -> DataFrame:
     """The graph of every tag somebody holds."""
     held = b.pairs(spark, sf).select("tag_id").distinct()
-    from tagloom.operators.catalog import leaf_paths
+    return search.portrait_graph(catalog.leaf_paths(b.tags(spark, sf)).join(held, "tag_id", "left_semi"))
 
-    return search.portrait_graph(leaf_paths(b.tags(spark, sf)).join(held, "tag_id", "left_semi"))
+
+# A tree that lost two inner tags: below the one paths begin at level 4, below the other at level 5.
+_LOST = (4, 46)
+_BROKEN = f"""(SELECT a.id AS tag_id, e.id AS l1, e.name AS l1_name, d.id AS l2, d.name AS l2_name, c.id AS l3, c.name AS l3_name,
+  p.id AS l4, p.name AS l4_name, a.id AS l5, a.name AS l5_name FROM tags a LEFT JOIN tags p ON a.pid = p.id AND p.id NOT IN {_LOST}
+  LEFT JOIN tags c ON p.pid = c.id AND c.id NOT IN {_LOST} LEFT JOIN tags d ON c.pid = d.id LEFT JOIN tags e ON d.pid = e.id
+  WHERE a.level = 5 AND a.id IN (SELECT tag_id FROM own))"""
+
+
+def _broken(spark: SparkSession, sf: str) -> DataFrame:
+    return b.tags(spark, sf).where(~F.col("id").isin(*_LOST))
+
+
+@query(
+    "Q9_portrait_broken_tree",
+    b.sql(
+        f"""SELECT user_id, root_id, root, count(DISTINCT node) AS nodes FROM (
+        SELECT user_id, coalesce(l1, l2, l3, l4, l5) AS root_id, coalesce(l1_name, l2_name, l3_name, l4_name, l5_name) AS root,
+          unnest([l1, l2, l3, l4, l5]) AS node FROM own JOIN {_BROKEN} broken USING (tag_id)) GROUP BY ALL"""
+    ),
+)
+def portrait_broken_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Where every path of a user begins, and how many tags hang there."""
+    flat = search.portrait(profile.explode_profile(b.profile(spark, sf)), _broken(spark, sf))
+    roots = search.portrait_tree(flat).select("user_id", F.explode("tags").alias("n"))
+    return roots.select(
+        "user_id",
+        F.col("n.id").alias("root_id"),
+        F.col("n.name").alias("root"),
+        F.regexp_count(F.to_json("n"), F.lit('"id":')).cast("long").alias("nodes"),
+    )
+
+
+_BROKEN_EDGES = f"""(SELECT DISTINCT * FROM (
+  SELECT 0 AS depth, 0 AS source_id, 'user' AS source, l1 AS target_id, l1_name AS target, l1_name AS category FROM {_BROKEN} x WHERE l1 IS NOT NULL UNION ALL
+  SELECT 1, coalesce(l1, 0), coalesce(l1_name, 'user'), l2, l2_name, coalesce(l1_name, l2_name) FROM {_BROKEN} x WHERE l2 IS NOT NULL UNION ALL
+  SELECT 2, coalesce(l2, 0), coalesce(l2_name, 'user'), l3, l3_name, coalesce(l1_name, l2_name, l3_name) FROM {_BROKEN} x WHERE l3 IS NOT NULL UNION ALL
+  SELECT 3, coalesce(l3, 0), coalesce(l3_name, 'user'), l4, l4_name, coalesce(l1_name, l2_name, l3_name, l4_name) FROM {_BROKEN} x WHERE l4 IS NOT NULL UNION ALL
+  SELECT 4, coalesce(l4, 0), coalesce(l4_name, 'user'), l5, l5_name, coalesce(l1_name, l2_name, l3_name, l4_name, l5_name) FROM {_BROKEN} x))"""
+
+
+@query(
+    "Q10_portrait_broken_graph",
+    b.sql(
+        f"""SELECT e.*, coalesce(n, 0) AS children FROM {_BROKEN_EDGES} e
+        LEFT JOIN (SELECT source_id AS s, count(*) AS n FROM {_BROKEN_EDGES} y GROUP BY 1) ON e.target_id = s"""
+    ),
+)
+def portrait_broken_graph(spark: SparkSession, sf: str) -> DataFrame:
+    """Partial paths hang on the root, each with its own highest known tag."""
+    held = profile.explode_profile(b.profile(spark, sf)).select("tag_id").distinct()
+    return search.portrait_graph(catalog.leaf_paths(_broken(spark, sf)).join(held, "tag_id", "left_semi"))
 
 
 _ASKED = """(SELECT DISTINCT CASE order_sn % 5 WHEN 0 THEN '13' || lpad(CAST(member_id AS VARCHAR), 9, '0')

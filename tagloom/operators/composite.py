@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagloom.operators.match import CASE_LIMIT, tag_list
-from tagloom.operators.profile import explode_profile
-from tagloom.session import broadcast_if, is_small, small_table
+from tagloom.session import BROADCAST_ROWS, broadcast_if, is_small, small_table
 
 _MEMBER = re.compile(r"(\d+)\s*(and|or)?", re.IGNORECASE)
 
@@ -67,16 +66,13 @@ def eval_merge_tags(
 ) -> DataFrame:
     """``(user, merge_tag_id)`` for every rule a user meets.
 
-    Short rule lists become tests on the profile row: one scan, no shuffle.
+    A profile row is a user: rows of one user are not put together, and repeated rows give
+    repeated rows. A rule listed twice is met if either form is. Short rule lists become
+    tests on the profile row; of long ones only those are tested that have a tag of the
+    row in their first group. Neither shuffles the profile, and both give the same rows.
     """
     if len(rules) > CASE_LIMIT:
-        rows = [
-            (mid, seq, tag, connector)
-            for mid, members in rules
-            for seq, (tag, connector) in enumerate(members, start=1)
-        ]
-        table = small_table(profile.sparkSession, rows, "merge_tag_id bigint, seq int, basic_tag_id bigint, connector string")
-        return eval_merge_table(explode_profile(profile, user, tags), table, user)
+        return _eval_long(profile, rules, user, tags)
     met = [
         F.when(condition(F.col(tags), members), F.lit(mid).cast("bigint")) for mid, members in rules
     ]
@@ -84,6 +80,25 @@ def eval_merge_tags(
     return rows.where("merge_tag_id is not null")
 
 
+def _eval_long(profile: DataFrame, rules: Sequence[tuple[int, Members]], user: str, tags: str) -> DataFrame:
+    """Rules found by the tags of their first groups, then tested as a whole in the row."""
+    forms: dict[int, list[list[list[int]]]] = {}
+    for mid, members in rules:
+        forms.setdefault(mid, []).append(groups_of(members))
+    rows = []
+    for mid, ways in forms.items():
+        firsts = sorted({tag for groups in ways for tag in groups[0]})
+        rows += [(tag, mid, firsts, ways) for tag in firsts]
+    schema = "tag_id bigint, merge_tag_id bigint, firsts array<bigint>, ways array<array<array<bigint>>>"
+    index = broadcast_if(len(rows) <= BROADCAST_ROWS, small_table(profile.sparkSession, rows, schema))
+    held = F.col("_held")
+    found = profile.select(user, F.col(tags).alias("_held"), F.explode_outer(F.array_distinct(tags)).alias("tag_id")).join(index, "tag_id")
+    # a rule is tested once a row: where its least tag out of the first groups led to it
+    once = F.col("tag_id") == F.array_min(F.array_intersect(held, F.col("firsts")))
+    met = F.exists("ways", lambda way: F.forall(way, lambda group: F.coalesce(F.arrays_overlap(held, group), F.lit(False))))
+    return found.where(once & met).select(user, "merge_tag_id")
+
+
 def condition_groups(rules: DataFrame, key: str = "merge_tag_id", text: str = "condition") -> DataFrame:
     """Rule texts as rows ``(merge_tag_id, tag_id, grp, need)``: the ``and`` parts of a
     text are its groups, the ``or`` parts their tags. Each text is taken apart in

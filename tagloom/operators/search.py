@@ -125,15 +125,17 @@ def portrait(pairs: DataFrame, tags: DataFrame, user: str = "user_id") -> DataFr
 def portrait_tree(paths: DataFrame, user: str = "user_id", merges: DataFrame | None = None) -> DataFrame:
     """One row per user with a nested forest of their tags.
 
-    The paths of a user come together once; the nesting is done inside the row.
-    ``merges`` adds the user's composite tags.
+    The paths of a user come together once; the nesting is done inside the row. A path
+    whose upper tags are missing begins at its highest known one, so unrelated broken paths
+    stay apart. ``merges`` adds the user's composite tags.
     """
-    rows = paths.groupBy(user).agg(
-        F.sort_array(
-            F.collect_set(
-                F.struct(*[F.struct(F.col(f"l{i}").alias("id"), F.col(f"l{i}_name").alias("name")).alias(f"l{i}") for i in range(1, 6)])
-            )
-        ).alias("_paths")
+    node = "struct<id:bigint,name:string>"
+    steps = [F.struct(F.col(f"l{i}").cast("bigint").alias("id"), F.col(f"l{i}_name").alias("name")) for i in range(1, 6)]
+    known = F.filter(F.array(*steps), lambda n: n["id"].isNotNull())
+    rows = (
+        paths.select(user, known.alias("_path"))
+        .groupBy(user)
+        .agg(F.sort_array(F.collect_set("_path")).cast(f"array<array<{node}>>").alias("_paths"))
     )
     out = rows.select(user, _forest(F.col("_paths"), 1).alias("tags"))
     if merges is not None:
@@ -142,35 +144,41 @@ def portrait_tree(paths: DataFrame, user: str = "user_id", merges: DataFrame | N
     return out
 
 
-def _forest(paths: Column, level: int) -> Column:
-    nodes = F.array_distinct(F.transform(paths, lambda p: p[f"l{level}"]))
-    if level == 5:
+def _forest(paths: Column, depth: int) -> Column:
+    """Nodes at a depth of paths that share all above it, each with what is below."""
+    nodes = F.array_distinct(F.transform(F.filter(paths, lambda p: F.size(p) >= depth), lambda p: F.get(p, F.lit(depth - 1))))
+    if depth == 5:
         return nodes
     return F.transform(
         nodes,
         lambda node: F.struct(
             node["id"].alias("id"),
             node["name"].alias("name"),
-            _forest(F.filter(paths, lambda p: p[f"l{level}"]["id"].eqNullSafe(node["id"])), level + 1).alias("children"),
+            _forest(F.filter(paths, lambda p: F.get(p, F.lit(depth - 1))["id"] == node["id"]), depth + 1).alias("children"),
         ),
     )
 
 
 def portrait_graph(paths: DataFrame, root: str = "user") -> DataFrame:
-    """Edges of the force graph, root to level 5, with the number of children of
-    each target and its category (the level-1 name)."""
-    steps = [
-        F.struct(
-            F.lit(i - 1).alias("depth"),
-            (F.lit(0).cast("bigint") if i == 1 else F.col(f"l{i - 1}")).alias("source_id"),
-            (F.lit(root) if i == 1 else F.col(f"l{i - 1}_name")).alias("source"),
-            F.col(f"l{i}").alias("target_id"),
-            F.col(f"l{i}_name").alias("target"),
-            F.col("l1_name").alias("category"),
+    """Edges of the force graph, root to level 5, with the number of children of each target
+    and its category: the name its path begins with. A path whose upper tags are missing
+    hangs with its highest known one on the root."""
+    steps = []
+    for i in range(1, 6):
+        source_id = F.col(f"l{i - 1}") if i > 1 else F.lit(None).cast("bigint")
+        source = F.col(f"l{i - 1}_name") if i > 1 else F.lit(None).cast("string")
+        top = source_id.isNull()
+        steps.append(
+            F.struct(
+                F.lit(i - 1).alias("depth"),
+                F.when(top, F.lit(0).cast("bigint")).otherwise(source_id).alias("source_id"),
+                F.when(top, F.lit(root)).otherwise(source).alias("source"),
+                F.col(f"l{i}").alias("target_id"),
+                F.col(f"l{i}_name").alias("target"),
+                F.coalesce(*[F.when(F.col(f"l{j}").isNotNull(), F.col(f"l{j}_name")) for j in range(1, i + 1)]).alias("category"),
+            )
         )
-        for i in range(1, 6)
-    ]
-    edges = paths.select(F.explode(F.array(*steps)).alias("e")).distinct()
+    edges = paths.select(F.explode(F.array(*steps)).alias("e")).where("e.target_id is not null").distinct()
     # an edge says something about both its ends: it describes its target and is
     # one more child of its source, so one aggregation by node gives both
     none = F.lit(None).cast(edges.schema["e"].dataType)

@@ -89,3 +89,18 @@ def test_lookup(spark, rows):
     assert rows(search.lookup_users(asked, users)) == {
         ("13800000001", "mobile", 1), ("a1@x.com", "email", 1), ("10002", "qq", 2)
     }
+
+
+def test_broken_paths_stay_apart(spark):
+    """Two leaves whose chains break at different tags are two roots, not one null node."""
+    tree = [(1, "top", 1, -1), (2, "b", 2, 1), (3, "c", 3, 2), (4, "d", 4, 3), (5, "whole", 5, 4)]
+    tree += [(14, "d2", 4, 90), (15, "half", 5, 14), (16, "half too", 5, 14), (25, "alone", 5, 91), (26, "other", 5, 92)]
+    tags = spark.createDataFrame(tree, "id long, name string, level int, pid long")
+    pairs = spark.createDataFrame([(1, t) for t in (5, 15, 16, 25, 26)] + [(2, 26)], "user_id long, tag_id long")
+    flat = search.portrait(pairs, tags)
+    shown = {r.user_id: json.loads(r.t) for r in search.portrait_tree(flat).select("user_id", F.to_json("tags").alias("t")).collect()}
+    assert [n["id"] for n in shown[1]] == [1, 14, 25, 26] and [n["id"] for n in shown[2]] == [26]
+    assert [n["id"] for n in shown[1][1]["children"]] == [15, 16] and shown[1][2]["children"] == []
+    edges = {(r.source, r.target, r.category, r.children) for r in search.portrait_graph(flat).collect()}
+    assert ("user", "d2", "d2", 2) in edges and ("user", "alone", "alone", 0) in edges and ("user", "top", "top", 1) in edges
+    assert len(edges) == 5 + 3 + 2 and not any(s is None or t is None for s, t, *_ in edges)

@@ -149,3 +149,27 @@ def test_capitals_in_conditions(spark, rows):
     want = {(1, 1), (1, 2), (2, 3)}
     assert rows(eval_merge_groups(pairs, condition_groups(rules))) == want
     assert rows(eval_merge_groups(pairs, member_groups(parse_conditions(rules)))) == want
+
+
+def test_composites_mean_the_same_at_any_length(spark, rows):
+    from collections import Counter
+
+    df = spark.createDataFrame(
+        [(1, [10]), (1, [20]), (2, [10, 20]), (2, [10, 20]), (3, [20, 10, 10, None]), (4, []), (5, None), (6, [30]), (7, [7, 30])],
+        "user_id long, tag_ids array<long>",
+    )
+    own = [
+        (1, [(10, "and"), (20, "and")]),
+        (2, [(10, "or"), (30, "and")]),
+        (3, [(30, "or"), (10, "and"), (20, "or"), (7, "and")]),
+        (4, [(10, "and")]),
+        (4, [(30, "and")]),  # listed twice: either form
+    ]
+    filler = [(1000 + i, [(5000 + i, "and"), (10, "and")]) for i in range(250)]
+    results = []
+    for n in (0, composite.CASE_LIMIT - len(own), composite.CASE_LIMIT - len(own) + 1, 250):
+        results.append(Counter(map(tuple, composite.eval_merge_tags(df, own + filler[:n]).collect())))
+    assert results[0] == Counter(
+        {(1, 2): 1, (1, 4): 1, (2, 1): 2, (2, 2): 2, (2, 3): 2, (2, 4): 2, (3, 1): 1, (3, 2): 1, (3, 3): 1, (3, 4): 1, (6, 2): 1, (6, 4): 1, (7, 2): 1, (7, 3): 1, (7, 4): 1}
+    )
+    assert all(r == results[0] for r in results)
