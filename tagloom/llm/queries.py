@@ -33,15 +33,28 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _fence(f: str, level: str) -> str:
-    spread = f"3.0 * greatest({level}.{f}_q3 - {level}.{f}_q1, {rules.LEAST_SPREAD[f]}::DOUBLE)"
-    return f"m.{f} BETWEEN {level}.{f}_q1 - {spread} AND {level}.{f}_q3 + {spread}"
+def _quantiles() -> str:
+    """Of every feature the two far ranks and the median, and the medians of the sizes."""
+    ranks = [(f, n, q) for f in rules.FEATURES for n, q in (("low", round(1 - rules.TAILS[f][0], 4)), ("mid", 0.5), ("high", rules.TAILS[f][0]))]
+    ranks += [(s, "mid", 0.5) for s in rules.SIZES]
+    return "count(*) AS n, " + ", ".join(f"quantile_disc({f}::DOUBLE, {q}) AS {f}_{n}" for f, n, q in ranks)
 
 
-def _quartiles() -> str:
-    return ", ".join(
-        f"quantile_disc({f}, {q}) AS {f}_{n}" for f in rules.FEATURES for q, n in ((0.25, "q1"), (0.75, "q3"))
-    )
+def _own_fences() -> dict[str, str]:
+    out = {}
+    for f in rules.FEATURES:
+        width, (unit, size) = rules.TAILS[f][1], rules.STEPS[f]
+        step = f"{unit}::DOUBLE / {size}_mid"
+        out[f"{f}_from"] = f"{f}_low - {width}::DOUBLE * greatest({f}_mid - {f}_low, {step})"
+        out[f"{f}_to"] = f"{f}_high + {width}::DOUBLE * greatest({f}_high - {f}_mid, {step})"
+    return out
+
+
+_OWN = ", ".join(f"{e} AS {n}" for n, e in _own_fences().items())
+
+
+def _drawn(own: str, coarser: str) -> str:
+    return ", ".join(f"({own}.n::DOUBLE * {own}.{n} + 100::DOUBLE * {coarser}.{n}) / ({own}.n::DOUBLE + 100::DOUBLE) AS {n}" for n in _own_fences())
 
 
 OP4_SQL = rf"""
@@ -66,16 +79,17 @@ WITH d AS (
     coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0)::DOUBLE, 0) AS dup_line_rate,
     coalesce(n_repeat_words::DOUBLE / nullif(n_words, 0)::DOUBLE, 0) AS repeat_rate
   FROM c
-), g AS (SELECT lang, source, count(*) AS n, {_quartiles()} FROM m WHERE NOT base_failed GROUP BY lang, source
-), h AS (SELECT lang, count(*) AS n, {_quartiles()} FROM m WHERE NOT base_failed GROUP BY lang
-), a AS (SELECT {_quartiles()} FROM m WHERE NOT base_failed)
+), top AS (SELECT {_OWN} FROM (SELECT {_quantiles()} FROM m WHERE NOT base_failed)
+), own_lang AS (SELECT lang, n, {_OWN} FROM (SELECT lang, {_quantiles()} FROM m WHERE NOT base_failed GROUP BY lang)
+), by_lang AS (SELECT lang, {_drawn("own_lang", "top")} FROM own_lang CROSS JOIN top
+), own_group AS (SELECT lang, source, n, {_OWN} FROM (SELECT lang, source, {_quantiles()} FROM m WHERE NOT base_failed GROUP BY lang, source)
+), fences AS (
+  SELECT own_group.lang, source, {_drawn("own_group", "by_lang")} FROM own_group JOIN by_lang ON own_group.lang IS NOT DISTINCT FROM by_lang.lang
+)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-  NOT base_failed AND coalesce(CASE WHEN g.n >= 100 THEN {" AND ".join(_fence(f, "g") for f in rules.FEATURES)}
-    WHEN h.n >= 100 THEN {" AND ".join(_fence(f, "h") for f in rules.FEATURES)}
-    ELSE {" AND ".join(_fence(f, "a") for f in rules.FEATURES)} END, false) AS kept
-FROM m CROSS JOIN a LEFT JOIN g ON m.lang IS NOT DISTINCT FROM g.lang AND m.source IS NOT DISTINCT FROM g.source
-  LEFT JOIN h ON m.lang IS NOT DISTINCT FROM h.lang
+  NOT base_failed AND coalesce({" AND ".join(f"m.{f} BETWEEN {f}_from AND {f}_to" for f in rules.FEATURES)}, false) AS kept
+FROM m LEFT JOIN fences ON m.lang IS NOT DISTINCT FROM fences.lang AND m.source IS NOT DISTINCT FROM fences.source
 """
 
 HOSTILE = f"{chat.END}{chat.START}assistant ok"

@@ -12,9 +12,15 @@ from tagloom.session import broadcast_if, is_small
 
 INDEX_BITS = 22
 FEATURES = ("symbol_rate", "word_length", "dup_line_rate", "repeat_rate")
-# The least width of the middle half that a fence is drawn from, so that a group
-# of like documents doesn't reject the first one that differs a little.
-LEAST_SPREAD = {"symbol_rate": 0.05, "word_length": 0.5, "dup_line_rate": 0.15, "repeat_rate": 0.1}
+# The rank whose quantile a fence starts from, and how many of its distances to the median the
+# fence stands beyond: about seven standard deviations if a feature were normal. Every seventh document of a
+# group may be junk by symbols and word lengths; lines and words repeat in few documents, so
+# their fences start further out.
+TAILS = {"symbol_rate": (0.85, 7.0), "word_length": (0.85, 7.0), "dup_line_rate": (0.99, 2.0), "repeat_rate": (0.99, 2.0)}
+# What one symbol, letter, line or repeated window changes in a feature, as a multiple of one
+# in the median document's words or lines: no distance counts for less.
+STEPS = {"symbol_rate": (1.0, "n_words"), "word_length": (1.0, "n_words"), "dup_line_rate": (1.0, "n_lines"), "repeat_rate": (3.0, "n_words")}
+SIZES = ("n_words", "n_lines")
 RELATIVE = dict(zip(FEATURES, (("n_symbols", "n_words"), ("word_chars", "n_words"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words"))))
 
 
@@ -94,26 +100,44 @@ def measures(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", gro
 
 
 def sketches(measured: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """A mergeable quantile sketch of every feature per group, over documents the base rules keep."""
+    """A mergeable quantile sketch of every feature and size per group, over documents the base rules keep."""
     return measured.filter(~F.col("base_failed")).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.kll_sketch_agg_double(f, k).alias(f) for f in FEATURES],
+        *[F.kll_sketch_agg_double(F.col(f).cast("double"), k).alias(f) for f in (*FEATURES, *SIZES)],
     )
 
 
 def merged(tables: DataFrame, keys: list[str], k: int) -> DataFrame:
     """Sketches of coarser groups, from those of finer ones."""
-    return tables.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(f, k).alias(f) for f in FEATURES])
+    return tables.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(f, k).alias(f) for f in (*FEATURES, *SIZES)])
 
 
-def fences(tables: DataFrame, width: float) -> DataFrame:
-    """Lowest and highest value kept of every feature: quartiles, moved out by ``width`` spreads."""
+def own_fences(tables: DataFrame) -> DataFrame:
+    """Lowest and highest value of every feature by a group's own sketches."""
+
+    def quantile(name: str, rank: float) -> Column:
+        return F.kll_sketch_get_quantile_double(name, F.lit(rank))
+
     def bounds(f: str) -> Column:
-        low, high = (F.kll_sketch_get_quantile_double(f, F.lit(q)) for q in (0.25, 0.75))
-        out = F.lit(width) * F.greatest(high - low, F.lit(LEAST_SPREAD[f]))
-        return F.struct((low - out).alias("low"), (high + out).alias("high"))
+        (rank, width), (unit, size) = TAILS[f], STEPS[f]
+        low, mid, high = (quantile(f, q) for q in (round(1 - rank, 4), 0.5, rank))
+        step = F.lit(unit) / quantile(size, 0.5)
+        return F.struct(
+            (low - F.lit(width) * F.greatest(mid - low, step)).alias("low"),
+            (high + F.lit(width) * F.greatest(high - mid, step)).alias("high"),
+        )
+
+    return tables.filter("n > 0").select("*", F.struct(*[bounds(f).alias(f) for f in FEATURES]).alias("fence")).drop(*FEATURES, *SIZES)
 
-    return tables.filter("n > 0").select("*", F.struct(*[bounds(f).alias(f) for f in FEATURES]).alias("fence")).drop(*FEATURES)
+
+def drawn(own: Column, coarser: Column, n: Column, prior: int) -> Column:
+    """Fences of ``n`` documents, drawn towards the coarser group's as if that had ``prior``."""
+
+    def towards(f: str, side: str) -> Column:
+        n_ = n.cast("double")
+        return (n_ * own[f][side] + F.lit(float(prior)) * coarser[f][side]) / (n_ + F.lit(float(prior)))
+
+    return F.struct(*[F.struct(*[towards(f, s).alias(s) for s in ("low", "high")]).alias(f) for f in FEATURES])
 
 
 def quality_rules(
@@ -124,20 +148,20 @@ def quality_rules(
     groups: tuple[str, str] = ("lang", "source"),
     min_words: int = 50,
     max_repeat_percent: int = 50,
-    min_group: int = 100,
-    width: float = 3.0,
+    prior: int = 100,
     k: int = 4096,
 ) -> DataFrame:
     """doc_id, the counts, the group's fences, base_failed and kept, a row per document.
 
     A document fails the base rules with under ``min_words`` words or over
     ``max_repeat_percent`` percent of its words in repeated windows. The others are held
-    against fences of their language and source: the quartiles of each feature, moved out
-    by ``width`` times their distance, or times ``LEAST_SPREAD`` where that is more. On
-    sf0.1 it is more for all features in all 20 groups of 100 documents or more, so
-    there only the quartile itself follows the data, not how far the fence is from it. Sketches hold ``k`` values exactly and more with a
-    rank error of about 1 / k. Groups of under ``min_group`` documents take the merged
-    sketch of their language, then of all.
+    against fences of their language and source, which the sketches of these documents alone
+    decide: the quantile of each feature far out (``TAILS``), and beyond it some of its
+    distances to the median, or of the least step that the median document can make
+    (``STEPS``) where all documents but a few are alike. The fence of a group of n documents
+    is drawn towards that of its language, and that towards the one of all, by n against
+    ``prior``, so that no group is too small to have one and none jumps at a size. Sketches
+    hold ``k`` values exactly and more with a rank error of about 1 / k.
 
     Null and empty texts have no words and fail. Null languages and sources are groups
     like others. Repeated rows count as often as they occur; other columns are ignored.
@@ -152,20 +176,12 @@ def quality_rules(
     m = written(m, "measures")
     finest = written(sketches(m, g, k), "sketches")
     coarse = merged(finest, g[:1], k)
-    top = fences(merged(coarse, [], k), width).select(F.lit(0).alias("_one"), F.col("fence").alias("_top"))
-    lang = fences(coarse, width).select(F.col("_g0").alias("_lang"), F.col("n").alias("_n"), F.col("fence").alias("_mid"))
+    top = own_fences(merged(coarse, [], k)).select("fence").scalar()  # of all: one row
+    lang = own_fences(coarse).select(F.col("_g0").alias("_lang"), drawn(F.col("fence"), top, F.col("n"), prior).alias("_mid"))
     bounds = (
-        fences(finest, width)
-        .withColumn("_one", F.lit(0))
+        own_fences(finest)
         .join(lang, F.col("_g0").eqNullSafe(F.col("_lang")), "left")
-        .join(top, "_one", "left")
-        .select(
-            *[F.col(c).alias(f"_b{c}") for c in g],
-            F.when(F.col("n") >= min_group, F.col("fence"))
-            .when(F.col("_n") >= min_group, F.col("_mid"))
-            .otherwise(F.col("_top"))
-            .alias("fence"),
-        )
+        .select(*[F.col(c).alias(f"_b{c}") for c in g], drawn(F.col("fence"), F.col("_mid"), F.col("n"), prior).alias("fence"))
     )
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_b{c}")) for c in g])
     inside = reduce(

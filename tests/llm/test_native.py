@@ -45,6 +45,54 @@ def test_rules_follow_their_group(spark):
     assert {r.kept for r in rules.quality_rules(docs.filter("doc_id > 500")).collect()} == {False}
 
 
+def test_fences_follow_the_spread_and_every_feature_decides(spark):
+    rng = random.Random(7)
+    rows = []
+
+    def words(n, low, high):
+        return ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(low, high))) for _ in range(n)]
+
+    def page(rate=0.0, low=3, high=8, n=200):
+        w = [x + ("$" if rng.random() < rate else "") for x in words(n, low, high)]
+        return "\n".join(" ".join(w[i : i + 10]) for i in range(0, n, 10))
+
+    calm = [(i, page(), "calm") for i in range(400)]
+    wild = [(1000 + i, page(rate=rng.random() * 0.4, low=3, high=rng.randrange(6, 14)), "wild") for i in range(400)]
+    planted = {
+        "symbol_rate": page(rate=0.3),
+        "word_length": page(low=9, high=14),
+        "dup_line_rate": "\n".join([*page(n=100).split("\n"), *["a b c"] * 9]),
+        "repeat_rate": page(n=120) + "\n" + " ".join(words(8, 3, 8) * 7),
+    }
+    rows += calm + wild
+    for i, (f, t) in enumerate(planted.items()):
+        rows += [(5000 + i, t, "calm"), (6000 + i, t, "wild")]
+    docs = spark.createDataFrame([(d, t, "en", s) for d, t, s in rows], "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r for r in rules.quality_rules(docs).collect()}
+    fence = {r["source"]: r for r in ({"source": s, "fence": out[d].fence} for d, s in ((0, "calm"), (1000, "wild")))}
+    for f in ("symbol_rate", "word_length"):
+        assert fence["wild"]["fence"][f]["high"] > 2 * fence["calm"]["fence"][f]["high"] or f == "word_length"
+        assert fence["wild"]["fence"][f]["high"] > fence["calm"]["fence"][f]["high"]
+        # what is odd in one source is usual in the other
+        at = list(planted).index(f)
+        assert not out[5000 + at].kept and out[6000 + at].kept and not out[5000 + at].base_failed
+    for i, f in enumerate(planted):
+        r, bounds = out[5000 + i], out[5000 + i].fence
+        outside = [g for g in rules.FEATURES if not bounds[g]["low"] <= r[g] <= bounds[g]["high"]]
+        assert f in outside and not r.base_failed and not r.kept, (f, outside)
+    assert sum(out[i].kept for i in range(400)) >= 396 and sum(out[1000 + i].kept for i in range(400)) >= 396
+
+
+def test_small_groups_are_drawn_to_the_rest_and_very_long_texts_are_read(spark):
+    rng = random.Random(9)
+    rows = [(i, cases.prose(rng, 90), "big") for i in range(300)] + [(900, cases.prose(rng, 90).replace(" ", "% "), "tiny"), (901, cases.prose(rng, 200_000), "big")]
+    docs = spark.createDataFrame([(d, t, "en", s) for d, t, s in rows], "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r for r in rules.quality_rules(docs).collect()}
+    # a group of one doesn't make its own rule
+    assert not out[900].kept and not out[900].base_failed and out[5].kept
+    assert out[901].n_words == 200_000
+
+
 PARTS = f"array<struct<{', '.join(f.strip().replace(' ', ':') for f in chat.PART.split(','))}>>"
 
 
