@@ -124,8 +124,7 @@ _PIVOT = [8, 9, 14, 15, 22]
     ),
 )
 def pivot_profile(spark: SparkSession, sf: str) -> DataFrame:
-    rows = profile.explode_profile(b.profile(spark, sf))
-    return profile.pivot_profile(rows, b.tags(spark, sf), _PIVOT)
+    return profile.pivot_lists(b.profile(spark, sf), b.tags(spark, sf), _PIVOT)
 
 
 @query(

@@ -105,16 +105,21 @@ def exact_sum(df: DataFrame, name: str, scale: int = 2) -> Column:
     amount has below a unit is added apart and isn't lost. A sum with NaN or infinity
     is what doubles make of it. Decimals already add exactly.
     """
-    if isinstance(df.schema[name].dataType, T.DecimalType):
-        return F.sum(F.col(name)).cast("double")
-    whole = F.coalesce(units(F.col(name), scale), F.lit(0).cast("bigint"))
+    return exact_sum_of(F.col(name), isinstance(df.schema[name].dataType, T.DecimalType), scale)
+
+
+def exact_sum_of(amount: Column, decimal: bool, scale: int = 2) -> Column:
+    """The same of any expression, of which it has to be said whether it is a decimal."""
+    if decimal:
+        return F.sum(amount).cast("double")
+    whole = F.coalesce(units(amount, scale), F.lit(0).cast("bigint"))
     one = F.lit(float(10**scale))
     # beyond a long's range all is rest; a rest that is no more than the rounding of the
     # amount itself, as products of prices have, is none
-    value = F.col(name).cast("double")
+    value = amount.cast("double")
     rest = value - whole.cast("double") / one
     rest = F.when(F.abs(rest) < F.abs(value) * F.lit(2.0**-49), F.lit(0.0)).otherwise(rest)
-    some = F.when(F.col(name).isNotNull(), whole)
+    some = F.when(amount.isNotNull(), whole)
     return F.sum(some).cast("double") / one + F.sum(rest)
 
 

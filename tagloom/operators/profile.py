@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tagloom.session import broadcast_if, is_small
 
 SEPARATOR = ","
+# Tags that a pivot writes into its plan.
+LISTED_CHILDREN = 1_000
 
 
 def decode_tags(text: Column) -> Column:
@@ -104,6 +106,26 @@ def pivot_profile(pairs: DataFrame, tags: DataFrame, parents: Sequence[int], use
     return with_parent.groupBy(F.col(user)).agg(*columns)
 
 
+def pivot_lists(profile: DataFrame, tags: DataFrame, parents: Sequence[int], user: str = "user_id") -> DataFrame:
+    """The same from profile rows: a user's tags are in one row already, so the columns are
+    looked up there and nothing is shuffled. Users with none of the tags are left out.
+
+    The children of the parents are one small row of lists if they are few; beyond that the
+    tags are taken apart and joined.
+    """
+    children = tags.where(F.col("pid").isin(*parents)).select(F.col("id").alias("tag_id"), "pid")
+    if not is_small(children, LISTED_CHILDREN):
+        return pivot_profile(explode_profile(profile, user), tags, parents, user)
+    listed: dict[int, list[int]] = {p: [] for p in parents}
+    for row in children.collect():  # counted before
+        listed[row["pid"]].append(row["tag_id"])
+    columns = []
+    for p in parents:
+        ids = F.array(*[F.lit(i) for i in sorted(listed[p])]).cast("array<bigint>")
+        columns.append(F.array_min(F.array_intersect("tag_ids", ids)).alias(f"tag_{p}"))
+    return profile.select(user, *columns).where(F.coalesce(*[F.col(f"tag_{p}") for p in parents]).isNotNull())
+
+
 def upsert_wide(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     """Column-wise upsert: a new value replaces the old one, a missing one leaves it.
     Rows without a key belong to nobody and are left out."""

@@ -137,12 +137,18 @@ def psm_positive(orders: DataFrame, user: str, receivable: str, coupon: str, sca
     return _psm_score(sums)
 
 
-def _psm_score(sums: DataFrame) -> DataFrame:
+def psm_terms(dotn: Column, otn: Column, dat: Column, rat: Column) -> tuple[Column, Column, Column]:
+    """The three terms of the score from its sums; a term without a value is 0."""
     zero = F.lit(0.0)
-    dotn, otn, dat, rat = (F.col(c).cast("double") for c in ("dotn", "otn", "dat", "rat"))
+    dotn, otn, dat, rat = (c.cast("double") for c in (dotn, otn, dat, rat))
     share = F.coalesce(F.try_divide(dotn, otn), zero)
     single = F.coalesce(F.try_divide(F.try_divide(dat, dotn), F.try_divide(rat, otn)), zero)
     money = F.coalesce(F.try_divide(dat, rat), zero)
+    return share, single, money
+
+
+def _psm_score(sums: DataFrame) -> DataFrame:
+    share, single, money = psm_terms(*[F.col(c) for c in ("dotn", "otn", "dat", "rat")])
     return sums.select("*", share.alias("dor"), single.alias("odr"), money.alias("dara")).withColumn(
         "score", F.col("dor") + F.col("odr") + F.col("dara")
     )

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tagloom import seeds
 from tagloom.functions.columns import day, device_type, exact_sum, zodiac
 from tagloom.operators.match import match_column
 from tagloom.specs import Band, Rule, bands
@@ -22,21 +23,7 @@ from tagloom.specs import Band, Rule, bands
 # searched, with the same tests and the same answers.
 BAND_LIMIT = 64
 
-# Order of the signs in the catalogue. Tag ids 103 to 114.
-ZODIAC_TAGS = {
-    "aries": 103,
-    "taurus": 104,
-    "gemini": 105,
-    "cancer": 106,
-    "leo": 107,
-    "virgo": 108,
-    "libra": 109,
-    "scorpio": 110,
-    "sagittarius": 111,
-    "capricorn": 112,
-    "aquarius": 113,
-    "pisces": 114,
-}
+ZODIAC_TAGS = {r.text: r.tag_id for r in seeds.ZODIAC}
 
 
 # ---------------------------------------------------------------- bands

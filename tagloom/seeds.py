@@ -21,6 +21,22 @@ EDUCATION = rules(
     [("小学", 92), ("初中", 93), ("高中", 94), ("大专", 95), ("本科", 96), ("硕士", 97), ("博士", 98)]
 )
 EMPLOYMENT = rules([("事业单位", 99), ("在职", 100), ("待业", 101), ("自主就业", 102)])
+ZODIAC = rules(
+    [
+        ("aries", 103),
+        ("taurus", 104),
+        ("gemini", 105),
+        ("cancer", 106),
+        ("leo", 107),
+        ("virgo", 108),
+        ("libra", 109),
+        ("scorpio", 110),
+        ("sagittarius", 111),
+        ("capricorn", 112),
+        ("aquarius", 113),
+        ("pisces", 114),
+    ]
+)
 DISTRICT = rules(
     [("CBD", 115), ("西单", 116), ("王府井", 117), ("朝外", 118), ("三里屯", 119), ("徐家汇", 120), ("环球港", 121)]
 )
@@ -58,9 +74,28 @@ CAR = rules([("有车无贷", 223), ("有车有贷", 224), ("无车", 225)])
 SHOP_GENDER = [Rule(248, "1", 1), Rule(249, "2", 2)]
 
 # --- fixed values: range rules (rule text, tag id)
-AGE = rules([(f"{year}0101-{year + 9}1231", 52 + i) for i, year in enumerate(range(1950, 2030, 10))])
+AGE = rules(
+    [
+        ("19500101-19591231", 52),
+        ("19600101-19691231", 53),
+        ("19700101-19791231", 54),
+        ("19800101-19891231", 55),
+        ("19900101-19991231", 56),
+        ("20000101-20091231", 57),
+        ("20100101-20191231", 58),
+        ("20200101-20291231", 59),
+    ]
+)
 HEIGHT = rules(
-    [(f"{cm}-{cm + 9}", 60 + i) for i, cm in enumerate(range(150, 210, 10))] + [("210-240", 66)]
+    [
+        ("150-159", 60),
+        ("160-169", 61),
+        ("170-179", 62),
+        ("180-189", 63),
+        ("190-199", 64),
+        ("200-209", 65),
+        ("210-240", 66),
+    ]
 )
 CYCLE = rules([("0-7", 127), ("8-14", 128), ("15-30", 129), ("31-60", 130), ("61-90", 131)])
 SPENDING = [
@@ -209,14 +244,31 @@ TREE = [
     (15, 3, "marriage"),
     (16, 3, "education"),
     (17, 3, "employment"),
+    (18, 3, "zodiac"),
     (19, 3, "business district"),
     (20, 3, "nationality"),
     (21, 4, "purchase cycle"),
     (22, 4, "spending band"),
+    (23, 4, "average order"),
     (24, 4, "payment"),
+    (25, 4, "largest order"),
+    (29, 4, "discount depth"),
+    (30, 4, "coupon type"),
+    (33, 5, "last login"),
+    (34, 5, "page type"),
+    (35, 5, "visit duration"),
+    (38, 5, "device"),
+    (39, 5, "browsing hours"),
     (42, 5, "purchased goods"),
+    (44, 5, "category preference"),
+    (45, 5, "brand preference"),
     (46, 6, "property"),
+    (47, 6, "property value"),
     (48, 6, "car"),
+    (49, 6, "car value"),
+    (233, 4, "price sensitivity"),
+    (239, 5, "activity"),
+    (244, 4, "shop gender"),
 ]
 
 # Level-5 rules by the level-4 tag they belong to.
@@ -231,11 +283,28 @@ RULES_BY_TAG = {
     15: MARRIAGE,
     16: EDUCATION,
     17: EMPLOYMENT,
+    18: ZODIAC,
     19: DISTRICT,
     20: NATIONALITY,
     21: CYCLE,
     22: SPENDING,
+    23: ORDER_VALUE,
     24: PAYMENT,
+    25: LARGEST_ORDER,
+    29: DISCOUNT_DEPTH,
+    30: COUPON,
+    33: LAST_LOGIN,
+    34: PAGE,
+    35: VISIT_SECONDS,
+    38: DEVICE,
+    39: BROWSING_HOURS,
+    44: CATEGORY,
+    45: BRAND,
     46: PROPERTY,
+    47: PROPERTY_VALUE,
     48: CAR,
+    49: CAR_VALUE,
+    233: PSM,
+    239: ACTIVITY,
+    244: SHOP_GENDER,
 }

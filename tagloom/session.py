@@ -73,6 +73,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tagloom/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared folder and read again, for what several later steps
+    start from: none of them makes it anew, and a lost executor costs only its own share."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """Driver-side rows as a local relation. Unlike rows handed over one by one its
     size is known to the optimizer, and reading it needs no Python worker."""
