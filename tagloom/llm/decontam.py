@@ -94,6 +94,19 @@ def _exact(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     return written(hits.select("_doc", "_item", "_p", "_i", "_w").distinct(), "words-found")
 
 
+def _whole(docs: DataFrame, items: DataFrame, text: str) -> DataFrame:
+    """(_doc, _item): items that fill a line or sentence of a document by themselves."""
+    keys = items.select("_item", F.array_join("_iw", " ").alias("_line")).distinct()
+    pieces = F.transform(F.split(F.coalesce(text, F.lit("")), r"[.!?;:\n\r]+"), lambda s: F.array_join(plain(s), " "))
+    lines = docs.select(F.xxhash64(text).alias("_doc"), F.explode_outer(F.array_distinct(pieces)).alias("_line"))
+    return lines.join(broadcast_if(is_small(keys), keys), "_line").select("_doc", "_item")
+
+
+def unsearched(benchmark: DataFrame, *, item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The items that no search can find: without an id or without a word, all columns kept."""
+    return benchmark.filter(F.col(item).isNull() | (F.size(plain(F.col(item_text))) == 0))
+
+
 def _held(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -107,6 +120,7 @@ def _held(
     min_share: float,
     min_run: int,
     min_exact_run: int,
+    min_exact_words: int,
 ) -> DataFrame:
     """``contaminated`` for texts: ``_doc`` is the hash of a text, ``_item`` an item it holds."""
     every = benchmark.select(
@@ -192,6 +206,7 @@ def _held(
     possible = items.filter("_item.v = 0").groupBy("_item").agg(F.max(F.size("_it") - F.col("_w") + 1).alias("_possible"))
     covered = total.join(possible, "_item").filter("item_windows = _possible").select(F.col("_item.id").alias("_item"), F.lit(True).alias("_covered"))
     every = every.select(F.col("_id").alias("_item"), "_iw")
+    short, every = every.filter(F.size("_iw") < min_exact_words), every.filter(F.size("_iw") >= min_exact_words)
     lengths = every.groupBy("_item").agg(F.max(F.size("_iw") - F.least(F.size("_iw"), F.lit(width)) + 1).cast("long").alias("item_windows"))
     needed = F.when(F.col("_covered"), F.lit(1.0)).otherwise(F.lit(min_share))
     at = _exact(words, every, width).withColumn("_diagonal", F.col("_p") - F.col("_i"))
@@ -205,7 +220,13 @@ def _held(
     )
     counts = ["n_windows", "item_windows", "run", "n_slots"]
     exact = exact.select("_doc", "_item", *counts, "verbatim")
-    return written(templates.select("_doc", "_item", *counts, "verbatim").unionByName(exact), "items-held")
+    out = templates.select("_doc", "_item", *counts, "verbatim").unionByName(exact)
+    if short.take(1):
+        one = F.lit(1).cast("long")
+        whole = _whole(docs, short, text).join(short.select("_item", F.size("_iw").cast("long").alias("run")).distinct(), "_item")
+        whole = whole.withColumns({"n_windows": one, "item_windows": one, "n_slots": F.lit(0).cast("long"), "verbatim": F.lit(True)})
+        out = out.unionByName(whole.select(*[F.col(c).cast(out.schema[c].dataType) if c in counts else c for c in out.columns]))
+    return written(out, "items-held")
 
 
 def _named(docs: DataFrame, held: DataFrame, id_col: str, text: str, item: str) -> DataFrame:
@@ -234,6 +255,7 @@ def contaminated(
     min_share: float = 0.5,
     min_run: int = 13,
     min_exact_run: int = 20,
+    min_exact_words: int = 4,
 ) -> DataFrame:
     """Pairs of a document and a benchmark item it holds.
 
@@ -251,8 +273,9 @@ def contaminated(
     ``min_run`` template words, however long the item is.
 
     Word for word: every item that has a word is also searched as it is, in lower case and
-    without punctuation, down to items of one word, which name every document with that
-    word. All its windows must be found; ``min_share`` of them if templates leave
+    without punctuation. One of under ``min_exact_words`` words must fill a line or sentence
+    of the document by itself, else "the" would name every document; items without a word
+    can't be searched, ``unsearched`` names them. Of longer ones all windows must be found; ``min_share`` of them if templates leave
     some of its windows out (items under ``min_words``, windows under ``min_literals``); a
     stretch of ``min_exact_run`` words is enough for any item, also inside a stretch whose
     slots clash.
@@ -262,7 +285,7 @@ def contaminated(
     an id are searched but not named. Repeated rows of a document or item count once. Empty
     tables give no rows; other columns are ignored.
     """
-    limits = dict(min_words=min_words, min_literals=min_literals, min_share=min_share, min_run=min_run, min_exact_run=min_exact_run)
+    limits = dict(min_words=min_words, min_literals=min_literals, min_share=min_share, min_run=min_run, min_exact_run=min_exact_run, min_exact_words=min_exact_words)
     held = _held(docs, benchmark, text, item, item_text, width=width, **limits)
     return _named(docs, held, id_col, text, item)
 

@@ -188,13 +188,14 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", by_row: bool = False
     """The documents without their near duplicates: of each component the least id stays.
 
     All columns are kept. Rows that repeat an id are one document, of which one row
-    stays; rows without an id stay. With ``by_row`` rows that repeat an id with different
-    texts are documents of their own; each component keeps a row of its least id.
+    stays; rows without an id stay. With ``by_row`` rows without an id, and rows that repeat
+    an id with different texts, are documents of their own; each component keeps a row of its
+    least id, or one row without an id if it has no other.
     """
     found = written(near_duplicates(docs, id_col=id_col, **options).select(id_col, "component_id"), "near-duplicates")
     gone = found.filter(F.col(id_col) != F.col("component_id")).select(id_col)
     left = docs.join(broadcast_if(is_small(gone), gone.distinct()), id_col, "left_anti").select(*docs.columns)
-    if found.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").take(1):
+    if found.groupBy(id_col).count().filter(F.col(id_col).isNull() | (F.col("count") > 1)).take(1):
         if by_row:
             return _row_of_each(docs, id_col, **options)
         named = left.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col])
@@ -207,8 +208,8 @@ def _row_of_each(docs: DataFrame, id_col: str, *, text: str = "text", **options)
     keyed = docs.withColumn("_od_key", F.xxhash64(id_col, text))
     found = near_duplicates(keyed, id_col="_od_key", text=text, **options).select("_od_key", "component_id").distinct()
     found = written(found, "near-duplicate-rows")
-    named = keyed.filter(F.col(id_col).isNotNull())
-    least = named.select(F.col(id_col).alias("_od_id"), "_od_key").join(found, "_od_key").groupBy("component_id")
-    least = least.agg(F.min(F.struct("_od_id", "_od_key")).alias("_od_least")).select("_od_least._od_key")
-    left = named.join(least, "_od_key", "left_semi").dropDuplicates(["_od_key"])
-    return left.unionByName(keyed.filter(F.col(id_col).isNull())).select(*docs.columns)
+    # one of a group: the least id's row, a row without an id only where no other is
+    rank = F.struct(F.col(id_col).isNull().alias("_none"), F.col(id_col).alias("_od_id"), "_od_key")
+    least = keyed.select(rank.alias("_rank"), "_od_key").join(found, "_od_key").groupBy("component_id")
+    least = least.agg(F.min("_rank").alias("_least")).select("_least._od_key")
+    return keyed.join(least, "_od_key", "left_semi").dropDuplicates(["_od_key"]).select(*docs.columns)

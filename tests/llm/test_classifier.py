@@ -71,3 +71,32 @@ def test_gradients():
             down = loss()
             weight[at] = old
             assert abs((up - down) / 2e-2 - grads[name][at]) < 2e-3, (name, at)
+
+
+def test_long_texts_are_learned_from(spark):
+    """All texts of one label are longer than what is learned of one; none would be left without pieces."""
+    rng = random.Random(6)
+    good = [(i, cases.prose(rng, 3000)) for i in range(40)]
+    junk = [(1000 + i, cases.prose(rng, 60).replace(" ", "%%% ")) for i in range(40)]
+    docs = cases.frame(spark, [*good, *junk, (7000, None)])
+    labels = spark.createDataFrame([(d, int(d < 1000), 0) for d, _ in [*good, *junk]] + [(7000, 1, 0)] + [(9000 + i, i % 2, 0) for i in range(2000)], "doc_id long, quality int, toxic int")
+    out = classifier.classify(docs, labels, sample_bytes=2000, sample_docs=50).collect()
+    tested = [r for r in out if r.held_out and r.doc_id < 5000]
+    assert len(tested) > 10 and sum((r.score >= 0.5) == (r.doc_id < 1000) for r in tested) / len(tested) > 0.9
+
+
+def test_held_out_given_labels(spark):
+    """Ranks the held-out labelled documents of the given table right: area under the curve of at least 0.95."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = classifier.fit(docs, labels)
+    tested = docs.join(labels.filter(classifier.held_out()), "doc_id").select("text", "quality").collect()
+    tables = model.pair_tables()
+    raw = [r.text.encode() for r in tested]
+    score = model.score(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw]))), tables)
+    label = np.array([r.quality for r in tested])
+    rank = np.empty(len(score))
+    rank[np.argsort(score)] = np.arange(1, len(score) + 1)
+    ones = label.sum()
+    auc = (rank[label == 1].sum() - ones * (ones + 1) / 2) / (ones * (len(label) - ones))
+    assert len(label) > 500 and auc >= 0.95

@@ -68,10 +68,9 @@ def test_fences_follow_the_spread_and_every_feature_decides(spark):
     for i, (f, t) in enumerate(planted.items()):
         rows += [(5000 + i, t, "calm"), (6000 + i, t, "wild")]
     docs = spark.createDataFrame([(d, t, "en", s) for d, t, s in rows], "doc_id long, text string, lang string, source string")
-    out = {r.doc_id: r for r in rules.quality_rules(docs).collect()}
+    out = {r.doc_id: r for r in rules.quality_rules(docs, prior=20).collect()}
     fence = {r["source"]: r for r in ({"source": s, "fence": out[d].fence} for d, s in ((0, "calm"), (1000, "wild")))}
     for f in ("symbol_rate", "word_length"):
-        assert fence["wild"]["fence"][f]["high"] > 2 * fence["calm"]["fence"][f]["high"] or f == "word_length"
         assert fence["wild"]["fence"][f]["high"] > fence["calm"]["fence"][f]["high"]
         # what is odd in one source is usual in the other
         at = list(planted).index(f)
@@ -176,13 +175,14 @@ def found(spark, docs, items, **options):
 def test_items_of_slots_and_few_words_are_found_word_for_word(spark):
     items = ["What is 12 + 7 x 3?", "Ann Bob Cid Dan Eve Fay Gus Hal Ida Jim", "Why not?", "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16"]
     docs = [
-        (1, "Q: What is 12 + 7 x 3? A: 33"), (2, "the class: Ann Bob Cid Dan Eve Fay Gus Hal Ida Jim."), (3, "So why not? Because."),
+        (1, "Q: What is 12 + 7 x 3? A: 33"), (2, "the class: Ann Bob Cid Dan Eve Fay Gus Hal Ida Jim."), (3, "So it was. Why not? Because."),
         (4, "What is 12 + 8 x 3?"), (5, "Ann Bob Cid Dan Eve Fay Gus Hal Ida Tim"), (6, "why, not so"), (7, "why so not"),
         (8, "a 1 2 3 4 5 6 7 8 9 10 11 12 b"), (9, "a 1 2 3 4 5 6 7 8 9 b"),
     ]
     got = found(spark, docs, items)
     # half of the windows of an item without templates are enough: 9 has 2 of 9, 5 has 2 of 3
-    assert set(got) == {(1, 0), (2, 1), (3, 2), (5, 1), (6, 2), (8, 3)}
+    # a short item has to be a sentence or line of its own
+    assert set(got) == {(1, 0), (2, 1), (3, 2), (5, 1), (8, 3)}
     assert all(r.verbatim for r in got.values())
 
 
@@ -219,3 +219,30 @@ def test_long_stretches_and_values_that_coincide(spark):
     clash = "Then Alice saw how Alice " + long
     held = found(spark, [(1, "so Then Alice saw how Dora " + " ".join(words[:25]))], [clash])
     assert held[1, 0].verbatim and held[1, 0].run == 25
+
+
+def test_an_item_of_one_word_needs_a_line_of_its_own(spark):
+    docs = [(1, "the cat and the dog"), (2, "a\nThe!\nb"), (3, "by the. It"), (4, None), (5, ""), (6, "of the")]
+    assert set(found(spark, docs, ["the", "of the", "...", None])) == {(2, 0), (6, 1)}
+    bench = spark.createDataFrame([(1, "the"), (2, "..."), (3, None), (None, "a b")], "item_id long, text string")
+    assert sorted((r.item_id or 0) for r in decontam.unsearched(bench).collect()) == [0, 2, 3]
+
+
+def test_reparameterised_items_are_found(spark):
+    """200 items with other names and numbers in documents of other words; recall at least 0.9, no false pair."""
+    rng = random.Random(21)
+    names = "Alice Bruno Carla Dmitri Elena Farid Greta Hugo".split()
+    others = "Zoe Yann Xenia Walter Vera Ulrich Tessa Sven".split()
+    items, docs = [], []
+    for i in range(200):
+        w = [rng.choice(cases.WORDS) + rng.choice("abcdefghij") + rng.choice("klmnopqrst") for _ in range(16)]
+        shape = f"when {{a}} had {{n}} {w[0]} {w[1]} {w[2]} and gave {{m}} kg of {w[3]} {w[4]} to {{b}} the {w[5]} {w[6]} {w[7]} of {{b}} was {w[8]} {w[9]} so how many {w[10]} {w[11]} were left for {{a}} {w[12]} {w[13]}"
+        a, b = rng.sample(names, 2)
+        c, d = rng.sample(others, 2)
+        items.append("Say " + shape.format(a=a, b=b, n=rng.randrange(10, 99), m=rng.randrange(100, 999)) + "?")
+        told = "so " + shape.format(a=c, b=d, n=rng.randrange(1000, 9999), m=rng.randrange(2, 9)) + "?"
+        docs.append((i, cases.prose(rng, 60) + "\n" + told + "\n" + cases.prose(rng, 40)))
+    docs += [(1000 + i, cases.prose(rng, 100)) for i in range(100)]
+    got = set(found(spark, docs, items))
+    assert {p for p in got if p[0] != p[1]} == set()
+    assert len(got) >= 180

@@ -1,6 +1,7 @@
 import pyarrow.parquet as pq
 import pytest
 
+import cases
 import corpus_pipeline
 from tagloom.llm import classifier, decontam, lines, simhash
 from tagloom.llm.common import table, written
@@ -51,7 +52,7 @@ def test_run_is_registered():
 
     registered = __spark_entry__.queries()
     assert registered["pipeline"] is corpus_pipeline.run
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert all(n in registered for n in QUERIES)
 
 
@@ -62,3 +63,30 @@ def test_items_in_rows_without_id_are_gone(spark):
     left = corpus_pipeline.decontamination(spark, docs, SF)
     assert left.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == [(0, ""), (0, "clean"), (3, "clean")]
+
+
+def test_hostile_and_empty_tables_pass_every_stage(spark, tmp_path):
+    """Nulls, copies without an id, repeated rows, long texts and clashing columns, stage by
+    stage against what the stage must leave; then an empty table."""
+    rows = cases.texts() + [(None, cases.texts()[2][1])] * 4
+    docs = cases.frame(spark, rows)
+    seen = docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = written(stage(spark, seen, SF), name)
+        if name != "best_fit_packing":
+            assert out.columns == docs.columns
+            assert out.count() <= seen.count()
+        if name == "line_dedup":
+            assert out.count() == seen.count()
+        if name == "simhash_near_dedup":
+            kept = [(r.doc_id, r.text) for r in out.select("doc_id", "text").collect()]
+            assert len(set(kept)) == len(kept)
+            texts = [t or "" for d, t in kept]
+            before = {r.text or "" for r in seen.select("text").collect()}
+            # every text left is a text that came, and no text stays twice
+            assert len(set(texts)) == len(texts) and set(texts) <= before
+        seen = out
+    seen = cases.empty(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        seen = written(stage(spark, seen, SF), name)
+        assert seen.count() == 0

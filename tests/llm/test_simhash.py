@@ -118,6 +118,15 @@ def test_one_of_each_by_row_keeps_the_other_texts_of_an_id(spark):
     left = simhash.one_of_each(docs, by_row=True)
     assert left.columns == docs.columns
     got = sorted((r.doc_id or 0, r.text) for r in left.collect())
-    assert got == sorted([(0, a), (0, c), (1, a), (2, b), (4, c)])
+    # rows without an id are compared like others
+    assert got == sorted([(1, a), (2, b), (4, c)])
     alone = docs.filter("doc_id <> 2")
     assert sorted(r.doc_id for r in simhash.one_of_each(alone, by_row=True).collect()) == [1, 3, 4]
+
+
+def test_equal_rows_without_an_id_leave_one(spark):
+    rng = random.Random(14)
+    a, b, c = (cases.prose(rng, 60) for _ in range(3))
+    docs = cases.frame(spark, [(None, a)] * 5 + [(None, b), (7, b), (8, c), (None, None), (None, None)])
+    left = simhash.one_of_each(docs, by_row=True)
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == sorted([(0, a), (7, b), (8, c), (0, "")])
