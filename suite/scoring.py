@@ -202,6 +202,33 @@ def psm_positive(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(score.psm_positive(rows, "member_id", "receivable", "coupon", 4))
 
 
+# Coupons and amounts of either sign, and some of none.
+_SIGNED = """(SELECT member_id, CASE WHEN order_sn % 11 = 0 THEN -coupon4 ELSE coupon4 END AS c4,
+  CASE WHEN order_sn % 17 = 0 THEN -cents * 100 ELSE cents * 100 END + CASE WHEN order_sn % 11 = 0 THEN -coupon4 ELSE coupon4 END AS r4 FROM priced)"""
+
+
+@query(
+    "A7_psm_positive_signs",
+    b.sql(
+        f"""SELECT member_id, dotn, otn, dat, rat, round(coalesce(dotn::DOUBLE / nullif(otn, 0), 0), 6) AS dor,
+        round(coalesce((dat / nullif(dotn, 0)) / nullif(rat / nullif(otn, 0), 0), 0), 6) AS odr, round(coalesce(dat / nullif(rat, 0), 0), 6) AS dara FROM (
+        SELECT member_id, count(*) FILTER (c4 > 0) AS dotn, count(*) FILTER (r4 > 0) AS otn,
+          coalesce(CAST(sum(c4) FILTER (c4 > 0) AS DOUBLE), 0) / 10000 AS dat, coalesce(CAST(sum(r4) FILTER (r4 > 0) AS DOUBLE), 0) / 10000 AS rat
+        FROM {_SIGNED} GROUP BY member_id)"""
+    ),
+)
+def psm_positive_signs(spark: SparkSession, sf: str) -> DataFrame:
+    """Only positive amounts count on either side; here a good part of them is not."""
+    order = F.col("order_sn")
+    rows = b.priced_orders(spark, sf).select(
+        "member_id",
+        F.when(order % 17 == 0, -F.col("amount")).otherwise(F.col("amount")).alias("amount"),
+        F.when(order % 11 == 0, -F.col("coupon")).otherwise(F.col("coupon")).alias("coupon"),
+    )
+    rows = rows.withColumn("receivable", F.col("amount") + F.col("coupon"))
+    return _rounded(score.psm_positive(rows, "member_id", "receivable", "coupon", 4)).drop("score")
+
+
 @query(
     "A8_psm_band",
     b.sql(
@@ -420,6 +447,41 @@ def spend_power(spark: SparkSession, sf: str) -> DataFrame:
     return ml.cluster_tags(rows, "member_id", ml.kmeans_fit(rows, 3), tags)
 
 
+def _told(assembled: DataFrame, user: str, model, rules: list[Rule]) -> DataFrame:
+    """Per user whether the tag is that of the nearest center, and whether more users' centers
+    with a greater sum have a better place: what a clustering must give whatever it found."""
+    centers = [[float(x) for x in c] for c in model.clusterCenters()]
+    place = {i: sum(sum(o) > sum(c) for o in centers) for i, c in enumerate(centers)}
+    tags = [r.tag_id for r in sorted(rules, key=lambda r: (r.order or 0, r.tag_id))]
+    point = ml.as_array("features")
+
+    def far(center: list[float]):
+        both = F.zip_with(point, F.array(*[F.lit(x) for x in center]), lambda a, c: (a - c) * (a - c))
+        return F.aggregate(both, F.lit(0.0), lambda acc, x: acc + x)
+
+    given = ml.cluster_tags(assembled, user, model, rules).select(user, "prediction", "tag_id")
+    away = assembled.select(F.col(user).alias("_user"), F.array(*[far(c) for c in centers]).alias("_far"))
+    return given.join(away, F.col(user) == F.col("_user")).select(
+        user,
+        (F.get("_far", F.col("prediction")) <= F.array_min("_far") * (1 + 1e-9) + 1e-12).alias("nearest"),
+        (F.col("tag_id") == F.element_at(F.array(*[F.lit(tags[place[i]]) for i in range(len(centers))]), F.col("prediction") + 1)).alias("ranked"),
+    )
+
+
+@query("A15_cluster_invariants", b.sql(f"SELECT member_id, true AS nearest, true AS ranked FROM {_RFM}"))
+def cluster_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    model = ml.kmeans_fit(_scored_points(spark, sf), len(seeds.SPENDING), weight="weight")
+    return _told(_scored_vectors(spark, sf), "member_id", model, seeds.SPENDING)
+
+
+@query("A17_spend_power_invariants", b.sql(f"SELECT member_id, true AS nearest, true AS ranked FROM {_RFM}"))
+def spend_power_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    rows = ml.normalize(ml.assemble(_power(spark, sf), ["recency", "frequency", "monetary"]), 1.0)
+    rows = rows.select("member_id", F.col("normed").alias("features"))
+    tags = [Rule(t, "", i) for i, t in enumerate(seeds.SPEND_POWER, start=1)]
+    return _told(rows, "member_id", ml.kmeans_fit(rows, 3), tags)
+
+
 # ---------------------------------------------------------------- shop gender
 
 

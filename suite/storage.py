@@ -11,7 +11,7 @@ from tagloom.operators import cells, match, profile, search
 from tagloom.session import shared_dir
 from tagloom.sinks import writers
 from tagloom.sources import readers
-from tagloom.specs import HBASE, HDFS, HIVE, SourceSpec
+from tagloom.specs import HBASE, HDFS, HIVE, SourceSpec, parse_rule
 
 QUERIES: dict[str, tuple] = {}
 
@@ -83,6 +83,15 @@ def read_hive(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_hive(spark, "tagloom_part")
 
 
+@query("S5_read_stored_table", b.sql("SELECT CAST(id AS VARCHAR) AS id, gender, nationality FROM u WHERE gender = '1'"))
+def read_stored_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of the catalog that was written before, by a rule text with a condition."""
+    users = b.users(spark, sf).select(F.col("id").cast("string").alias("id"), "gender", "nationality", "job")
+    users.write.mode("overwrite").option("path", shared_dir(spark, "table")).saveAsTable("tagloom_stored_users")
+    text = "inType=hive\ndbTable=tagloom_stored_users\nselectFieldNames=id,gender,nationality\nwhereFieldNames=gender\nwhereFieldValues=1"
+    return readers.read_source(spark, parse_rule(text)[0])
+
+
 @query("S6_read_delimited", "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status, o_orderpriority AS priority FROM orders")
 def read_delimited(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "text")

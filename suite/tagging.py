@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from suite import bind as b
-from tagloom import seeds
+from tagloom import seeds, specs
 from tagloom.functions import columns as col
 from tagloom.functions import predicates as pred
 from tagloom.operators import match, quality, stats
+from tagloom.session import small_table
 from tagloom.specs import Rule, bands
 
 QUERIES: dict[str, tuple] = {}
@@ -113,6 +114,26 @@ def parse_rule(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "F4_parse_rule_specs",
+    """SELECT CAST(n_nationkey AS BIGINT) AS id, 'rdbms' AS kind, 'tbl_' || n_name AS source_table, 'id|r' || CAST(n_regionkey AS VARCHAR) AS fields,
+    'a[eq]' || CAST(n_nationkey AS VARCHAR) || ',b[eq]x' AS conditions, 'jdbc:x?a=' || CAST(n_regionkey AS VARCHAR) || '&b=1' AS url, 0 AS part
+    FROM nation UNION ALL SELECT n_nationkey, 'rdbms', 'second', 'k|v', 'a[eq]' || CAST(n_nationkey AS VARCHAR) || ',b[eq]x',
+    'jdbc:x?a=' || CAST(n_regionkey AS VARCHAR) || '&b=1', 1 FROM nation""",
+)
+def parse_rule_specs(spark: SparkSession, sf: str) -> DataFrame:
+    """A rule text per nation, of which there are 25, as the parser of the jobs reads it: two sources each."""
+    found = []
+    for n in b.table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey").collect():
+        text = (
+            f"inType=MySQL\r\nurl=jdbc:x?a={n['n_regionkey']}&b=1\ndbTable=tbl_{n['n_name']}#second\nselectFieldNames=id,r{n['n_regionkey']}#k,v\n"
+            f"whereFieldNames=a,b\nwhereFieldValues={n['n_nationkey']},x"
+        )
+        for i, spec in enumerate(specs.parse_rule(text)):
+            found.append((n["n_nationkey"], spec.kind, spec.table, "|".join(spec.fields), spec.where, spec.option("url"), i))
+    return small_table(spark, found, "id bigint, kind string, source_table string, fields string, conditions string, url string, part int")
+
+
 @query("F5_project", b.sql("SELECT id, gender, birthday FROM u"))
 def project(spark: SparkSession, sf: str) -> DataFrame:
     fields = "id,gender,birthday".split(",")

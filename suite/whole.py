@@ -10,7 +10,7 @@ from suite import catalogue as tree
 from suite import profiles, scoring, tagging
 from tagloom import seeds
 from tagloom.functions.columns import units
-from tagloom.operators import bitmaps, composite, intervals, pages, profile, search
+from tagloom.operators import bitmaps, composite, intervals, labels, pages, profile, search
 from tagloom.plans import catalogue
 from tagloom.session import shared_dir, small_table, tune
 
@@ -276,3 +276,59 @@ def audit_page_index(spark: SparkSession, sf: str) -> DataFrame:
     order = [("ctime", True), "type", "tag_id", "id"]
     index = pages.write_pages(tree._audit(spark, sf), shared_dir(spark, "pages"), order, 8)
     return pages.read_page(spark, index, 4, 30).withColumn("ctime", F.col("ctime").cast("string"))
+
+
+# ---------------------------------------------------------------- labels of the tree
+
+
+@query("Q14_leaf_tags_labels", tree.QUERIES["Q14_leaf_tags"][1])
+def leaf_tags_labels(spark: SparkSession, sf: str) -> DataFrame:
+    tags = b.tags(spark, sf)
+    found, _ = labels.tree_labels(tags)
+    leaves = tags.where("level = 5").select(F.col("id").alias("tag_id"))
+    return leaves.join(labels.at_or_below(found, [5, 8, 97]).select("id"), F.col("tag_id") == F.col("id"), "left_semi")
+
+
+# A forest over the products: chains of 50, which end in a pair that points at each other
+# where the number is a multiple of 500, and in a child of product 1 elsewhere.
+_UP = "CASE WHEN p_partkey % 500 = 0 THEN p_partkey + 1 WHEN p_partkey % 50 = 0 THEN 1 WHEN p_partkey = 1 THEN -1 ELSE p_partkey - 1 END"
+
+
+@query(
+    "Q15_deep_tree_labels",
+    f"""WITH RECURSIVE t AS (SELECT p_partkey AS id, {_UP} AS pid FROM part),
+    c AS (SELECT id, id AS top, pid, 1 AS n FROM t UNION ALL SELECT c.id, t.id, t.pid, n + 1 FROM c JOIN t ON c.pid = t.id WHERE n < 200),
+    rooted AS (SELECT id, max(n) AS depth FROM c GROUP BY id HAVING bool_or(pid NOT IN (SELECT id FROM t)))
+    SELECT t.id, CAST(depth AS BIGINT) AS depth, CAST(count(c.id) AS BIGINT) AS below FROM t JOIN rooted ON t.id = rooted.id
+    JOIN c ON c.top = t.id GROUP BY ALL UNION ALL SELECT id, NULL, NULL FROM t WHERE id NOT IN (SELECT id FROM rooted)""",
+)
+def deep_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Depth and size of every tag of a forest with long chains; tags without a root are shown without them."""
+    p = b.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.expr(_UP).cast("bigint").alias("pid"))
+    found, lost = labels.tree_labels(p)
+    out = found.select("id", "depth", (F.col("last") - F.col("first") + 1).alias("below"))
+    return out.unionByName(lost, allowMissingColumns=True)
+
+
+# ---------------------------------------------------------------- counts kept by difference
+
+# Version k holds some users, and of their tags some, in a pattern that moves with k.
+_KEPT = "(user_id * 7 + k) % 5 < 3 AND (tag_id + user_id + k * 3) % 4 > 0"
+
+
+@query(
+    "Q5_counts_by_difference",
+    b.sql(f"SELECT tag_id, 1 AS tag_type, count(*) AS user_count FROM (SELECT *, 5 AS k FROM own) WHERE {_KEPT} GROUP BY tag_id"),
+)
+def counts_by_difference(spark: SparkSession, sf: str) -> DataFrame:
+    """Counted once, then carried through four more versions by what changed."""
+    whole = b.profile(spark, sf)
+
+    def version(k: int) -> DataFrame:
+        stays = F.filter("tag_ids", lambda t: (t + F.col("user_id") + k * 3) % 4 > 0)
+        return whole.where((F.col("user_id") * 7 + k) % 5 < 3).select("user_id", stays.alias("tag_ids"))
+
+    counts = search.tag_user_count(version(1))
+    for k in range(2, 6):
+        counts = search.updated_counts(counts, search.tag_count_changes(version(k - 1), version(k)))
+    return counts

@@ -37,21 +37,23 @@ from tagloom.session import small_table
 from tagloom.specs import Rule, in_order
 
 
-# Partitions that a fit reads. Random starts are drawn by partition and row, so a model is
-# the same only where the layout is; raise it for points that were not counted first.
+# Partitions that a fit reads unless it is told otherwise. Random starts are drawn by
+# partition and row, so a model is the same only where the layout is.
 FIT_PARTITIONS = 16
+COUNT = "_count"
 
 
 @contextmanager
-def kept(df: DataFrame, parts: int = FIT_PARTITIONS):
-    """Data that a fit iterates over, released afterwards.
+def kept(df: DataFrame, parts: int | None = None):
+    """Data that a fit iterates over, released afterwards, in ``parts`` partitions
+    (``FIT_PARTITIONS``, read when it is called).
 
     Rows are dealt by their values and put in order, whatever layout they come in:
     neither the number of shuffle partitions nor their sizes show in the model.
     """
     values = [vector_to_array(F.col(f.name)) if isinstance(f.dataType, VectorUDT) else F.col(f.name) for f in df.schema]
     order = [F.xxhash64(*values), *values]
-    held = df.repartition(parts, order[0]).sortWithinPartitions(*order).persist(StorageLevel.MEMORY_AND_DISK)
+    held = df.repartition(parts or FIT_PARTITIONS, order[0]).sortWithinPartitions(*order).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield held
     finally:
@@ -96,8 +98,8 @@ def normalize_array(values: Column, p: float) -> Column:
     return F.transform(values, lambda x: F.when(norm == 0, x).otherwise(x / norm))
 
 
-def pca_project(df: DataFrame, n: int, features: str = "features", out: str = "projected") -> DataFrame:
-    with kept(df.select(features)) as held:
+def pca_project(df: DataFrame, n: int, features: str = "features", out: str = "projected", parts: int | None = None) -> DataFrame:
+    with kept(df.select(features), parts) as held:
         model = PCA(k=n, inputCol=features, outputCol=out).fit(held)
     return model.transform(df)
 
@@ -105,12 +107,14 @@ def pca_project(df: DataFrame, n: int, features: str = "features", out: str = "p
 # ---------------------------------------------------------------- clusters
 
 
-def _points(df: DataFrame, features: str, weight: str | None) -> DataFrame:
-    return df.select(features, *([weight] if weight else []))
-
-
-def _weighted(estimator, weight: str | None):
-    return estimator.setWeightCol(weight) if weight else estimator
+def counted(df: DataFrame, features: str, label: str | None = None, weight: str | None = None) -> tuple[DataFrame, str]:
+    """Points to fit on and the name of their weight. Equal points are one with their count
+    as weight, unless a weight is given, so one that a third of all rows hold is one row."""
+    rest = [label] if label else []
+    if weight:
+        return df.select(features, *rest, weight), weight
+    rows = df.groupBy(vector_to_array(F.col(features)).alias("_values"), *rest).agg(F.count("*").cast("double").alias(COUNT))
+    return rows.select(array_to_vector("_values").alias(features), *rest, COUNT), COUNT
 
 
 def kmeans_fit(
@@ -120,9 +124,11 @@ def kmeans_fit(
     max_iter: int = 10,
     features: str = "features",
     weight: str | None = None,
+    parts: int | None = None,
 ) -> KMeansModel:
-    with kept(_points(df, features, weight)) as held:
-        return _weighted(KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features), weight).fit(held)
+    points, weight = counted(df, features, weight=weight)
+    with kept(points, parts) as held:
+        return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features, weightCol=weight).fit(held)
 
 
 def centers_frame(spark: SparkSession, model) -> DataFrame:
@@ -171,14 +177,14 @@ def cluster_stats(predicted: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _sweep(points: DataFrame, ks: Sequence[int], estimator, parallelism: int) -> DataFrame:
+def _sweep(points: DataFrame, ks: Sequence[int], estimator, parallelism: int, parts: int | None) -> DataFrame:
     """Cost per k. The fits do not depend on each other, so a few run at a time
     over the same cached points, the way Spark's own cross validator does."""
 
     def cost(k: int) -> float:
         return float(estimator(k).fit(held).summary.trainingCost)
 
-    with kept(points) as held, ThreadPool(min(parallelism, len(ks))) as pool:
+    with kept(points, parts) as held, ThreadPool(min(parallelism, len(ks))) as pool:
         costs = pool.map(inheritable_thread_target(points.sparkSession)(cost), ks)
     bend = [
         costs[i - 1] - 2 * costs[i] + costs[i + 1] if 0 < i < len(costs) - 1 else None
@@ -197,13 +203,16 @@ def kmeans_sweep(
     features: str = "features",
     weight: str | None = None,
     parallelism: int = 8,
+    parts: int | None = None,
 ) -> DataFrame:
     """Cost per k and how sharply the cost curve bends there."""
 
+    points, weight = counted(df, features, weight=weight)
+
     def estimator(k: int):
-        return _weighted(KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features), weight)
+        return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features, weightCol=weight)
 
-    return _sweep(_points(df, features, weight), list(ks), estimator, parallelism)
+    return _sweep(points, list(ks), estimator, parallelism, parts)
 
 
 def bisecting_sweep(
@@ -214,11 +223,14 @@ def bisecting_sweep(
     features: str = "features",
     weight: str | None = None,
     parallelism: int = 8,
+    parts: int | None = None,
 ) -> DataFrame:
+    points, weight = counted(df, features, weight=weight)
+
     def estimator(k: int):
-        return _weighted(BisectingKMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features), weight)
+        return BisectingKMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features, weightCol=weight)
 
-    return _sweep(_points(df, features, weight), list(ks), estimator, parallelism)
+    return _sweep(points, list(ks), estimator, parallelism, parts)
 
 
 def best_k(sweep: DataFrame) -> int:
@@ -230,17 +242,17 @@ def best_k(sweep: DataFrame) -> int:
 
 
 def _fit_trees(
-    train: DataFrame, classifier, max_categories: int, label: str, features: str, weight: str | None
+    train: DataFrame, classifier, max_categories: int, label: str, features: str, weight: str | None, parts: int | None
 ) -> PipelineModel:
     """Label index, category index, trees, and the label of the prediction."""
-    with kept(train) as held:
+    points, weight = counted(train, features, label, weight)
+    with kept(points, parts) as held:
         labels = StringIndexer(inputCol=label, outputCol="indexed_label").fit(held)
         index = VectorIndexer(
             inputCol=features, outputCol="indexed_features", maxCategories=max_categories, handleInvalid="keep"
         ).fit(held)
         classifier.setLabelCol("indexed_label").setFeaturesCol("indexed_features")
-        if weight:
-            classifier.setWeightCol(weight)
+        classifier.setWeightCol(weight)
         back = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels.labels)
         return Pipeline(stages=[labels, index, classifier, back]).fit(held)
 
@@ -269,9 +281,10 @@ def decision_tree_fit(
     bins: int = 24,
     max_categories: int = 3,
     weight: str | None = None,
+    parts: int | None = None,
 ) -> PipelineModel:
     tree = DecisionTreeClassifier(impurity="gini", maxDepth=depth, maxBins=bins)
-    return _fit_trees(train, tree, max_categories, label, features, weight)
+    return _fit_trees(train, tree, max_categories, label, features, weight, parts)
 
 
 def random_forest_fit(
@@ -282,9 +295,10 @@ def random_forest_fit(
     max_categories: int = 4,
     seed: int = 10,
     weight: str | None = None,
+    parts: int | None = None,
 ) -> PipelineModel:
     forest = RandomForestClassifier(numTrees=trees, seed=seed)
-    return _fit_trees(train, forest, max_categories, label, features, weight)
+    return _fit_trees(train, forest, max_categories, label, features, weight, parts)
 
 
 def naive_bayes_fit(
@@ -293,21 +307,24 @@ def naive_bayes_fit(
     features: str = "features",
     smoothing: float = 1.0,
     weight: str | None = None,
+    parts: int | None = None,
 ) -> PipelineModel:
     labels = StringIndexer(inputCol=label, outputCol="indexed_label")
-    bayes = NaiveBayes(labelCol="indexed_label", featuresCol=features, smoothing=smoothing)
-    if weight:
-        bayes.setWeightCol(weight)
-    with kept(train) as held:
+    points, weight = counted(train, features, label, weight)
+    bayes = NaiveBayes(labelCol="indexed_label", featuresCol=features, smoothing=smoothing, weightCol=weight)
+    with kept(points, parts) as held:
         return Pipeline(stages=[labels, bayes]).fit(held)
 
 
-def points_tree_fit(train: DataFrame, label: str = "label", features: str = "features"):
+def points_tree_fit(
+    train: DataFrame, label: str = "label", features: str = "features", weight: str | None = None, parts: int | None = None
+):
     """Tree on labelled points: depth 5, 32 bins."""
+    points, weight = counted(train, features, label, weight)
     tree = DecisionTreeClassifier(
-        labelCol=label, featuresCol=features, impurity="gini", maxDepth=5, maxBins=32
+        labelCol=label, featuresCol=features, weightCol=weight, impurity="gini", maxDepth=5, maxBins=32
     )
-    with kept(train.select(label, features)) as held:
+    with kept(points, parts) as held:
         return tree.fit(held)
 
 

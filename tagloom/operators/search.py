@@ -85,6 +85,36 @@ def stored_tag_count(counts: DataFrame, tag_ids: Sequence[int], tag_type: int) -
     return wanted.join(sums, "tag_id", "left").select("tag_id", F.coalesce("_n", F.lit(0)).alias("user_count"))
 
 
+def tag_count_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``(tag_id, change)``: how the users per tag differ between two versions of a profile.
+
+    A user's row is compared with itself: tags that came count one more, tags that went one
+    less, and users whose tags stayed send nothing on. Each version has a user once.
+    """
+    none = F.array().cast("array<bigint>")
+    before = old.where("user_id is not null").select("user_id", F.col("tag_ids").alias("_old"))
+    after = new.where("user_id is not null").select("user_id", F.col("tag_ids").alias("_new"))
+    both = before.join(after, "user_id", "full_outer").select(F.coalesce("_old", none).alias("_old"), F.coalesce("_new", none).alias("_new"))
+    changed = F.concat(
+        F.transform(F.array_except("_new", "_old"), lambda t: F.struct(t.alias("tag_id"), F.lit(1).alias("n"))),
+        F.transform(F.array_except("_old", "_new"), lambda t: F.struct(t.alias("tag_id"), F.lit(-1).alias("n"))),
+    )
+    rows = both.select(F.explode(changed).alias("c")).where("c.tag_id is not null")
+    return rows.groupBy("c.tag_id").agg(F.sum("c.n").alias("change")).where("change != 0")
+
+
+def updated_counts(counts: DataFrame, changes: DataFrame) -> DataFrame:
+    """Stored counts with the changes added; tags that nobody has any more go."""
+    kinds = counts.select("tag_id", "tag_type", "user_count")
+    moved = changes.select(F.col("tag_id").alias("_tag"), "change")
+    total = F.coalesce("user_count", F.lit(0)) + F.coalesce("change", F.lit(0))
+    return (
+        kinds.join(moved, F.col("tag_id") == F.col("_tag"), "full_outer")
+        .select(F.coalesce("tag_id", "_tag").alias("tag_id"), F.coalesce("tag_type", F.lit(1)).alias("tag_type"), total.alias("user_count"))
+        .where("user_count > 0")
+    )
+
+
 def all_user_count(profile: DataFrame) -> DataFrame:
     """Sum of the per-tag counts, and how many users hold any tag at all."""
     return profile.agg(

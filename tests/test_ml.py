@@ -192,3 +192,30 @@ def test_clusters_do_not_depend_on_the_layout(spark, fit):
             spark.conf.set("spark.sql.shuffle.partitions", 8)
             spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert found[0] == found[1] == found[2]
+
+
+def test_equal_points_are_counted_before_a_fit(spark):
+    """A third of the points is one value: one row with its weight; the model follows neither
+    the layout of the input nor the number of shuffle partitions, and costs what a fit of all rows costs."""
+    from pyspark.ml.clustering import KMeans
+
+    rows = [(i, 5.0 if i % 3 == 0 else float(i % 100) + 200 * (i % 2), float(i % 7)) for i in range(9000)]
+    df = ml.assemble(spark.createDataFrame(rows, "id long, x double, y double"), ["x", "y"])
+    points, weight = ml.counted(df, "features")
+    assert points.count() < 800 and points.agg(F.sum(weight)).first()[0] == 9000
+    with ml.kept(points, parts=4) as held:
+        assert held.rdd.getNumPartitions() == 4
+        assert max(len(p) for p in held.rdd.glom().collect()) < 400
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (4, 8, 32):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            model = ml.kmeans_fit(df.repartition(n), 3)
+            seen.append(sorted(tuple(round(float(x), 9) for x in c) for c in model.clusterCenters()))
+            more = ml.kmeans_fit(df.repartition(n), 3, parts=n)
+            assert len(more.clusterCenters()) == 3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1] == seen[2]
+    whole = KMeans(k=3, seed=10, maxIter=10).fit(df).summary.trainingCost
+    assert ml.kmeans_fit(df, 3).summary.trainingCost <= 1.1 * whole
