@@ -6,11 +6,17 @@ segments of every line are indexed with the line's length, every line probes the
 of its own length and the ``t`` below with the substrings that could match, and the
 candidates are verified. Most lines share no key with another, so the keys of all lines
 first tell which do, and only those are joined.
+
+Lines made from one template share a segment without being near. Keys that many lines
+index are not joined: their lines are cut finer, and as t edits hit at most t of the
+pieces, all the others together make the key.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from itertools import combinations, product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +29,10 @@ COMMON_SHARE = 10_000
 CLASSES = 15
 # Lines, by hash, that go along with every task: some 10 MB
 SUSPECTS = 1_000_000
+# A key that more lines index is taken apart into finer ones.
+CROWDED = 256
+# So many pieces more than edits are cut then, beyond the one that is always left.
+FINER = 6
 STEPS = [1 << i for i in range(20, -1, -1)]
 
 
@@ -66,6 +76,70 @@ def _probes(t: int) -> Column:
     return F.array(*keys)
 
 
+def _blocks(t: int, probing: bool) -> list[dict]:
+    """Per choice of t pieces to leave out, and per way the lines' lengths may run apart in
+    them: the runs of pieces between, each with how far it moved.
+
+    An insertion counts for the piece before it (at the very beginning for the first), so
+    nothing moves inside a run.
+    """
+    parts, rows = t + 1 + FINER, []
+    ways = [w for w in product(range(-t, t + 1), repeat=t) if sum(map(abs, w)) <= t and sum(w) >= 0]
+    for number, out in enumerate(combinations(range(parts), t)):
+        seen = set()
+        for way in ways if probing else [(0,) * t]:
+            edges, moved, runs = [-1, *out, parts], 0, []
+            for i, (low, high) in enumerate(zip(edges, edges[1:])):
+                moved += way[i - 1] if i else 0
+                if low + 1 < high:
+                    runs.append((low + 1, high, moved))
+            if (tuple(runs), sum(way)) not in seen:
+                seen.add((tuple(runs), sum(way)))
+                rows.append({"c": number, "shorter": sum(way), "runs": [dict(zip("abm", r)) for r in runs]})
+    return rows
+
+
+def _finer(texts: DataFrame, t: int, probing: bool) -> DataFrame:
+    """(key, h, bag): the finer keys of a line, or those of the lines as long or up to t shorter that it may be near to."""
+    parts = t + 1 + FINER
+    kind = "array<struct<c:int,shorter:int,runs:array<struct<a:int,b:int,m:int>>>>"
+    rows = texts.select("h", "bag", "n", "line", F.explode(F.from_json(F.lit(json.dumps(_blocks(t, probing))), kind)).alias("_c"))
+    length = F.col("n") - F.col("_c.shorter")
+
+    def begin(i: Column) -> Column:
+        return (F.floor(length / parts) * i + F.greatest(F.lit(0), length % parts - (parts - i))).cast("int")
+
+    def run(r: Column) -> Column:
+        return F.substring(F.col("line"), begin(r["a"]) + r["m"] + 1, begin(r["b"]) - begin(r["a"]))
+
+    return rows.select(F.xxhash64(length, "_c.c", F.transform("_c.runs", run)).alias("key"), "h", "bag")
+
+
+def _candidates(texts: DataFrame, t: int, crowded: int) -> DataFrame:
+    """Pairs (x, y) of line hashes that share a key and about their characters; every pair within t edits is among them."""
+
+    def met(index: DataFrame, probe: DataFrame) -> DataFrame:
+        index = index.select("key", F.col("h").alias("a"), F.col("bag").alias("_l"))
+        probe = probe.select("key", F.col("h").alias("b"), F.col("bag").alias("_r"))
+        found = probe.join(index, "key").filter((F.col("a") != F.col("b")) & _alike(F.col("_l"), F.col("_r"), t))
+        return found.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+
+    index = texts.select(F.explode(_indexed(t)).alias("key"), "h", "bag")
+    probe = texts.select(F.explode(_probes(t)).alias("key"), "h", "bag")
+    sizes = index.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
+    full = written(sizes.filter(F.col("_n") > crowded).select("key"), "line-crowded")
+    if t == 0 or not full.take(1):
+        return met(index, probe).distinct()
+    hint = broadcast_if(is_small(full), full)
+
+    def inside(keys: DataFrame) -> DataFrame:
+        mine = written(keys.join(hint, "key", "left_semi").select("h").distinct(), "line-crowds")
+        return texts.join(broadcast_if(is_small(mine, SUSPECTS), mine), "h", "left_semi")
+
+    finer = met(_finer(inside(index), t, False), _finer(inside(probe), t, True))
+    return met(index.join(hint, "key", "left_anti"), probe).union(finer).distinct()
+
+
 def _bag(line: Column) -> Column:
     """How often characters of each of some classes occur, modulo 16, in 4 bits each."""
     units = F.array(*[F.lit(1 << 4 * i).cast("long") for i in range(CLASSES)])
@@ -201,10 +275,7 @@ def _repeated(docs: DataFrame, id_col: str, text: str, t: int, min_chars: int) -
     texts = some.groupBy("h").agg(F.first("line").alias("line"))
     texts = written(texts.withColumns({"n": F.length("line"), "bag": _bag(F.col("line"))}), "line-texts")
 
-    index = texts.select(F.explode(_indexed(t)).alias("key"), F.col("h").alias("a"), F.col("bag").alias("_l"))
-    probe = texts.select(F.explode(_probes(t)).alias("key"), F.col("h").alias("b"), F.col("bag").alias("_r"))
-    found = probe.join(index, "key").filter((F.col("a") != F.col("b")) & _alike(F.col("_l"), F.col("_r"), t))
-    pairs = written(found.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct(), "line-pairs")
+    pairs = written(_candidates(texts, t, CROWDED), "line-pairs")
     ids = pairs.select(F.explode(F.array("x", "y")).alias("h")).distinct()
     ids = broadcast_if(is_small(ids), ids)
     both = pairs.join(texts.select(F.col("h").alias("x"), F.col("line").alias("a")), "x").join(

@@ -155,17 +155,19 @@ def pack(
     sizes = tuple(sorted(capacities))
     length = word_tokens(F.col("text")) if length is None else length
     most = sizes[-1]
+    # rows without an id, or with one id, are dealt by their texts
+    salt = F.xxhash64("text") if "text" in docs.columns else F.lit(0)
     n = F.greatest(F.coalesce(length.cast("long"), F.lit(0)), F.lit(0))
     cut = (
-        docs.select(F.col(id_col).alias("_doc"), n.alias("_n"))
+        docs.select(F.col(id_col).alias("_doc"), n.alias("_n"), salt.alias("_salt"))
         .filter("_n > 0")
-        .select("_doc", "_n", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / most) - 1)).alias("piece"))
+        .select("_doc", "_n", "_salt", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / most) - 1)).alias("piece"))
         .select(
             "_doc",
             "piece",
             (F.col("piece") * most).alias("start"),
             F.least(F.col("_n") - F.col("piece") * most, F.lit(most)).cast("int").alias("n_tokens"),
-            F.pmod(F.xxhash64("_doc", "piece"), F.lit(buckets)).cast("int").alias("_bucket"),
+            F.pmod(F.xxhash64("_doc", "_salt", "piece"), F.lit(buckets)).cast("int").alias("_bucket"),
         )
     )
     pieces = written(cut, "pieces")

@@ -13,7 +13,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm import ragged
@@ -142,15 +142,18 @@ def links(prints: DataFrame, *, max_distance: int = 2, crowded: int = 256) -> Da
     """
     k = max_distance
     rows = prints.select("fp", F.explode(_variants(F.col("fp"), k)).alias("v")).select("fp", "v.slot", "v.key", "v.side")
-    sized = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
-    few = sized.filter(F.col("n").between(2, crowded))
+    # counted in part before the shuffle, and few keys are shared: the rows then stay where they
+    # are, or meet in a join that splits a crowded key
+    counts = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared-keys")
+    sized = written(rows.join(broadcast_if(is_small(counts), counts), "key"), "shared-variants")
+    few = sized.filter(F.col("n") <= crowded)
     ours = few.filter("side <> 1").select("key", "side", F.col("fp").alias("a"))
     theirs = few.filter("side <> 0").select("key", F.col("side").alias("_side"), F.col("fp").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= k
     met = (F.col("side") + F.col("_side") == 1) | ((F.col("side") == 2) & (F.col("_side") == 2) & (F.col("a") < F.col("b")))
     pairs = ours.join(theirs, "key").filter(near & met).select("a", "b")
     # a fingerprint counts once a key, and crowded keys are rare: mostly this stays empty
-    crowd = written(sized.filter(F.col("n") > crowded).select("fp", "slot", "key", "side"), "crowded")
+    crowd = sized.filter(F.col("n") > crowded).select("fp", "slot", "key", "side")
     return pairs.union(_stars(crowd, k)) if crowd.take(1) else pairs
 
 

@@ -31,6 +31,8 @@ MAGIC = b"PLN1"
 HEADER = "<4sBIII"  # magic, planes to an id, ids, ids in a block, planes
 LAYOUT = "shard int, chunk int, first long, ids int, payload binary, doc_id long, row long, n_tokens long"
 CACHE = 200_000
+# Characters of a text that help to deal rows of one id
+BEGIN = 32
 # Punctuation that no special token and no contraction of the tokenizer's pattern holds.
 PLAIN_SIGNS = b'.,!?%$&*#;:()"-_/=+@[]{}~^`'
 
@@ -216,7 +218,9 @@ def write_ids(
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     shards = 1 + size // shard_bytes
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    ordered = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    # many rows may have one id, or none: by their beginnings a range can end among them
+    begin = F.substring("text", 1, BEGIN)
+    ordered = rows.repartitionByRange(shards, "doc_id", begin).sortWithinPartitions("doc_id", "text")
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

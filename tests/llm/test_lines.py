@@ -102,3 +102,35 @@ def test_rows_without_id_and_rows_that_repeat_one_lose_their_own_lines(spark):
     kept = [x for _, t in left for x in t.split("\n") if x]
     # every different line stays once
     assert sorted(kept) == sorted({x for _, t in rows for x in t.split("\n")})
+
+
+def templated(n):
+    """Lines of one template; numbers of one length, so that they share segments by the hundred."""
+    rng = random.Random(3)
+    return [
+        f"A new message was posted on {rng.randrange(10, 29)} May {rng.randrange(1990, 2030)} at {rng.randrange(10, 24)}:{rng.randrange(10, 60)} by user number {i:06d}"
+        for i in rng.sample(range(10**6), n)
+    ]
+
+
+@pytest.mark.parametrize("t", [1, 2, 3])
+def test_crowded_segments_lose_no_pair(spark, monkeypatch, t):
+    monkeypatch.setattr(lines, "CROWDED", 3)
+    rng = random.Random(t)
+    base = templated(12)
+    rows = [(i, "\n".join(changed(rng, rng.choice(base), rng.randrange(0, t + 2)) for _ in range(6))) for i in range(20)]
+    rows += [(50 + i, changed(rng, "short one", rng.randrange(0, t + 1))) for i in range(12)]
+    got = lines.repeated_lines(cases.frame(spark, rows), max_edits=t, min_chars=5).collect()
+    assert sorted(((True, r.doc_id, r.line_no), r.near) for r in got) == gone(rows, t, 5)
+    assert any(r.near for r in got)
+
+
+def test_a_template_does_not_meet_all_its_pairs(spark):
+    n = 3000
+    texts = spark.createDataFrame([(i, x) for i, x in enumerate(templated(n))], "h long, line string")
+    texts = texts.selectExpr("h", "line", "length(line) AS n").withColumn("bag", lines._bag(lines.F.col("line")))
+    finer = lines._finer(texts, 2, False).groupBy("key").count()
+    largest, met = finer.agg(lines.F.max("count"), lines.F.sum(lines.F.expr("count * (count - 1) / 2"))).first()
+    assert met < n * n / 2 / 10
+    one = texts.select(lines.F.explode(lines._indexed(2)).alias("key")).groupBy("key").count().agg(lines.F.max("count")).first()[0]
+    assert one == n and largest < n / 20

@@ -81,3 +81,14 @@ def test_lengths_nulls_ties_and_empty(spark):
     check(rows, [(1, 10), (None, 40), (5, 32), (6, 33)], SIZES)
     assert packing.pack(cases.empty(spark)).count() == 0
     assert packing.pack(df.filter("w = 0"), length=F.col("w")).count() == 0
+
+
+def test_rows_without_an_id_are_dealt_by_their_texts(spark, monkeypatch):
+    kept = {}
+    real = packing.written
+    monkeypatch.setattr(packing, "written", lambda df, name: kept.setdefault(name, real(df, name)))
+    df = spark.createDataFrame([(None, f"no id {i}") for i in range(2000)], "doc_id long, text string")
+    rows = packing.pack(df, capacities=(8, 16), buckets=32).collect()
+    assert len({(r.bin_id, r.bin_offset) for r in rows}) == len(rows) == 2000
+    counts = [r["_count"] for r in kept["piece-counts"].collect()]
+    assert len(counts) == 32 and max(counts) < 150

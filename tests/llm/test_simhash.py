@@ -1,6 +1,7 @@
 import random
 
 import cases
+import numpy as np
 import xxhash
 
 from tagloom.llm import simhash
@@ -130,3 +131,26 @@ def test_equal_rows_without_an_id_leave_one(spark):
     docs = cases.frame(spark, [(None, a)] * 5 + [(None, b), (7, b), (8, c), (None, None), (None, None)])
     left = simhash.one_of_each(docs, by_row=True)
     assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == sorted([(0, a), (7, b), (8, c), (0, "")])
+
+
+def test_a_key_of_many_is_counted_before_the_shuffle(spark):
+    prints = spark.range(3000).selectExpr("xxhash64(id) AS fp")
+    near = prints.limit(50).selectExpr("fp ^ 5L AS fp").union(prints.selectExpr("(fp & 4294967295L) | (7L << 32) AS fp"))
+    found = simhash.links(prints.union(near).distinct(), max_distance=2, crowded=64)
+    plan = found._jdf.queryExecution().toString()
+    assert "Window" not in plan
+    rows = {tuple(sorted(r)) for r in found.collect()}
+    ids = sorted(r.fp for r in prints.union(near).distinct().collect())
+    graph = {x: x for x in ids}
+
+    def top(x):
+        while graph[x] != x:
+            x = graph[x]
+        return x
+
+    for a, b in rows:
+        graph[max(top(a), top(b))] = min(top(a), top(b))
+    held = np.array(ids, np.int64)
+    for x in ids:
+        for y in held[np.bitwise_count(np.bitwise_xor(held, np.int64(x)).view(np.uint64)) <= 2]:
+            assert top(x) == top(int(y))

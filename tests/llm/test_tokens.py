@@ -68,3 +68,12 @@ def test_pieces_that_sums_of_powers_confuse(spark, monkeypatch):
     # all pieces under one hash: their bytes tell them apart
     monkeypatch.setattr(tokens.ragged, "byte_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
     assert tokens.encode(held, offsets, PATH, 0)[0].tolist() == want
+
+
+def test_rows_without_an_id_are_spread(spark):
+    rows = [(None, f"{i:04d} text without an id " * 5) for i in range(1500)] + [(i, "with one") for i in range(500)]
+    stored = tokens.write_ids(cases.frame(spark, rows), PATH, shard_bytes=10_000)
+    sizes = [r["count"] for r in stored.filter("payload is null").groupBy("shard").count().collect()]
+    assert sum(sizes) == 2000 and len(sizes) >= 10 and max(sizes) < 600
+    starts = sorted((r.start, r.doc_id) for r in tokens.read_ids(stored).collect())
+    assert [d for _, d in starts] == [None] * 1500 + list(range(500))
