@@ -429,6 +429,10 @@ _ASKED = """(SELECT DISTINCT CASE order_sn % 5 WHEN 0 THEN '13' || lpad(CAST(mem
     ),
 )
 def lookup(spark: SparkSession, sf: str) -> DataFrame:
+    return search.lookup_users(asked_numbers(spark, sf), b.users(spark, sf))
+
+
+def asked_numbers(spark: SparkSession, sf: str) -> DataFrame:
     """One number per order, of a kind that depends on the order."""
     k, key = F.col("order_sn") % 5, F.col("member_id").cast("string")
     num = (
@@ -438,7 +442,7 @@ def lookup(spark: SparkSession, sf: str) -> DataFrame:
         .when(k == 3, F.concat(F.lit("1101"), F.lpad(key, 13, "0"), F.lit("X")))
         .otherwise("nobody")
     )
-    return search.lookup_users(b.orders(spark, sf).select(num.alias("num")), b.users(spark, sf))
+    return b.orders(spark, sf).select(num.alias("num"))
 
 
 @query(

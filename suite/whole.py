@@ -10,7 +10,7 @@ from suite import catalogue as tree
 from suite import profiles, scoring, tagging
 from tagloom import seeds
 from tagloom.functions.columns import units
-from tagloom.operators import bitmaps, composite, intervals, labels, pages, profile, search
+from tagloom.operators import accounts, bitmaps, composite, intervals, labels, pages, profile, search
 from tagloom.plans import catalogue
 from tagloom.session import shared_dir, small_table, tune
 
@@ -332,3 +332,13 @@ def counts_by_difference(spark: SparkSession, sf: str) -> DataFrame:
     for k in range(2, 6):
         counts = search.updated_counts(counts, search.tag_count_changes(version(k - 1), version(k)))
     return counts
+
+
+# ---------------------------------------------------------------- accounts by bucket
+
+
+@query("Q11_account_index", profiles.QUERIES["Q11_lookup_users"][1])
+def account_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The numbers of all orders, from an index over the accounts of all users."""
+    index = accounts.write_accounts(b.users(spark, sf), shared_dir(spark, "accounts"), buckets=32)
+    return accounts.find_accounts(spark, index, profiles.asked_numbers(spark, sf))
