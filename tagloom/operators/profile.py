@@ -68,23 +68,31 @@ def replace_siblings(existing: DataFrame, new: DataFrame, parents: DataFrame) ->
     """Like ``merge_profile``, but a user's new tag ousts the old ones of the same
     parent. ``parents`` has ``(tag_id, parent_id)``.
 
-    The new tags of a user carry their siblings' ids, so profiles are joined once and
-    never taken apart; a user without new tags passes through.
+    New tags are told by their parents, and so are the tags held by users who got new ones;
+    no row holds the children of a parent, of which there may be millions. A user without
+    new tags passes through.
     """
-    small = is_small(parents)
-    siblings = parents.groupBy("parent_id").agg(F.collect_set("tag_id").alias("_siblings"))
-    kin = parents.join(broadcast_if(small, siblings), "parent_id").select("tag_id", "_siblings")
-    fresh = new.where("user_id is not null and tag_id is not null").join(broadcast_if(small, kin), "tag_id", "left")
+    kin = broadcast_if(is_small(parents), parents.where("parent_id is not null").select("tag_id", "parent_id").distinct())
+    fresh = new.where("user_id is not null and tag_id is not null").join(kin, "tag_id", "left")
     added = fresh.groupBy("user_id").agg(
         F.sort_array(F.collect_set(F.col("tag_id").cast("bigint"))).alias("_new"),
-        F.flatten(F.collect_set("_siblings")).alias("_ousted"),
+        F.collect_set("parent_id").alias("_renewed"),
+    )
+    known = existing.where("user_id is not null")
+    renewed = known.join(added.where(F.size("_renewed") > 0).select("user_id", "_renewed"), "user_id")
+    old = renewed.select("user_id", "_renewed", F.explode_outer("tag_ids").alias("tag_id")).where("tag_id is not null")
+    ousted = (
+        old.join(kin, "tag_id")
+        .where(F.array_contains("_renewed", F.col("parent_id")))
+        .groupBy("user_id")
+        .agg(F.collect_set(F.col("tag_id").cast("bigint")).alias("_ousted"))
     )
     none = F.array().cast("array<bigint>")
     held = F.array_compact(F.coalesce("tag_ids", none))
     stays = F.sort_array(F.array_except(held, F.coalesce("_ousted", none)))
     return (
-        existing.where("user_id is not null")
-        .join(added, "user_id", "full_outer")
+        known.join(added.drop("_renewed"), "user_id", "full_outer")
+        .join(ousted, "user_id", "left")
         .select("user_id", F.array_union(stays, F.coalesce("_new", none)).alias("tag_ids"))
     )
 

@@ -173,3 +173,17 @@ def test_composites_mean_the_same_at_any_length(spark, rows):
         {(1, 2): 1, (1, 4): 1, (2, 1): 2, (2, 2): 2, (2, 3): 2, (2, 4): 2, (3, 1): 1, (3, 2): 1, (3, 3): 1, (3, 4): 1, (6, 2): 1, (6, 4): 1, (7, 2): 1, (7, 3): 1, (7, 4): 1}
     )
     assert all(r == results[0] for r in results)
+
+
+def test_replace_siblings_holds_no_list_of_all_children(spark, rows):
+    # a list of 6,000 siblings for each of 6,000 children would be 36 million ids
+    children = 6_000
+    parents = small_table(spark, [(t, 1) for t in range(children)] + [(9_000, 2), (9_001, 2), (9_002, None)], "tag_id long, parent_id long")
+    held = [(1, [5, 9_000]), (2, [5, 7, None]), (3, [9_002]), (4, []), (5, [5]), (5, [8, 77_777])]
+    old = small_table(spark, held, "user_id long, tag_ids array<long>")
+    new = small_table(spark, [(1, 6), (2, 9_001), (3, 9_002), (5, 9), (7, 5), (None, 5), (4, None)], PAIRS)
+    got = profile.replace_siblings(old, new, parents)
+    want = {(1, (9_000, 6)), (2, (5, 7, 9_001)), (3, (9_002,)), (4, ()), (5, (9,)), (5, (77_777, 9)), (7, (5,))}
+    assert rows(got) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_siblings" not in plan
