@@ -16,19 +16,34 @@ from pyspark.sql.window import Window
 from tagloom.session import stored
 
 
+def _join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join that shuffles both sides. The tables of every round would each go through the
+    driver if they were broadcast, which Spark does by their size in files."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _climb(nodes: DataFrame, value: str) -> tuple[DataFrame, DataFrame]:
     """Values added up from every node to its root, as ``(id, value)``, and the nodes without
-    a root. ``nodes`` has ``id, up`` (null at a root) and the value."""
-    at, limit = nodes.select("id", "up", value), nodes.count().bit_length()
-    for _ in range(limit + 1):
-        if not at.where("up is not null").take(1):
+    a root. ``nodes`` has ``id, up`` (null at a root) and the value.
+
+    A round that ends no pointer is the last: of the nodes whose pointers still run, one with
+    a root would have a node above it that ended in this round.
+    """
+    at = nodes.select("id", "up", value)
+    done, running = at.where("up is null"), at.where("up is not null")
+    for _ in range(nodes.count().bit_length() + 1):
+        if not running.take(1):
             break
-        above = at.select(F.col("id").alias("_id"), F.col("up").alias("_up"), F.col(value).alias("_v"))
-        at = at.join(above, F.col("up") == F.col("_id"), "left").select(
+        above = done.unionByName(running).select(F.col("id").alias("_id"), F.col("up").alias("_up"), F.col(value).alias("_v"))
+        at = _join(running, above, F.col("up") == F.col("_id"), "left").select(
             "id", F.col("_up").alias("up"), (F.col(value) + F.coalesce("_v", F.lit(0))).alias(value)
         )
         at = stored(at, "climb")
-    return at.where("up is null").select("id", value), at.where("up is not null").select("id")
+        ended, running = at.where("up is null"), at.where("up is not null")
+        if not ended.take(1):
+            break
+        done = done.unionByName(ended)
+    return done.select("id", value), running.select("id")
 
 
 def _sizes(nodes: DataFrame) -> DataFrame:
@@ -38,10 +53,9 @@ def _sizes(nodes: DataFrame) -> DataFrame:
         # what the nodes this far below hold; many of one node are summed before they are sent
         below = at.where("_jump is not null").groupBy(F.col("_jump").alias("_to")).agg(F.sum("size").alias("_more"))
         above = at.select(F.col("id").alias("_id"), F.col("_jump").alias("_next"))
-        at = (
-            at.join(below, F.col("id") == F.col("_to"), "left")
-            .join(above, F.col("_jump") == F.col("_id"), "left")
-            .select("id", "up", F.col("_next").alias("_jump"), (F.col("size") + F.coalesce("_more", F.lit(0))).alias("size"))
+        at = _join(at, below, F.col("id") == F.col("_to"), "left")
+        at = _join(at, above, F.col("_jump") == F.col("_id"), "left").select(
+            "id", "up", F.col("_next").alias("_jump"), (F.col("size") + F.coalesce("_more", F.lit(0))).alias("size")
         )
         at = stored(at, "sizes")
     return at.select("id", "up", "size")
@@ -61,7 +75,7 @@ def _before(nodes: DataFrame, order: list[Column]) -> DataFrame:
     totals = totals.withColumn("_ahead", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)))
     totals = totals.select(F.col("_range").alias("_r"), F.col("up").alias("_u"), "_ahead")
     mine = ranged.withColumn("_mine", F.coalesce(F.sum("size").over(here), F.lit(0)))
-    return mine.join(totals, (F.col("_range") == F.col("_r")) & F.col("up").eqNullSafe(F.col("_u"))).select(
+    return _join(mine, totals, (F.col("_range") == F.col("_r")) & F.col("up").eqNullSafe(F.col("_u"))).select(
         *nodes.columns, (F.col("_ahead") + F.col("_mine")).alias("before")
     )
 
@@ -75,13 +89,13 @@ def tree_labels(tags: DataFrame, order: str | None = None) -> tuple[DataFrame, D
     """
     nodes = tags.select("id", "pid", *([F.col(order).alias("_order")] if order else [F.lit(None).cast("int").alias("_order")]))
     known = nodes.select(F.col("id").alias("up"))
-    nodes = stored(nodes.join(known, F.col("pid") == F.col("up"), "left"), "nodes")
+    nodes = stored(_join(nodes, known, F.col("pid") == F.col("up"), "left"), "nodes")
     depths, lost = _climb(nodes.withColumn("depth", F.lit(1).cast("bigint")), "depth")
-    rooted = nodes.join(depths, "id")
-    sized = _sizes(rooted).join(rooted.select("id", "pid", "_order", "depth"), "id")
+    rooted = _join(nodes, depths, "id")
+    sized = _join(_sizes(rooted), rooted.select("id", "pid", "_order", "depth"), "id")
     placed = _before(sized, [F.col("_order").asc_nulls_first(), F.col("id").asc()])
     firsts, _ = _climb(placed.withColumn("first", F.col("before") + 1), "first")
-    out = placed.join(firsts, "id").select("id", "pid", "first", (F.col("first") + F.col("size") - 1).alias("last"), "depth")
+    out = _join(placed, firsts, "id").select("id", "pid", "first", (F.col("first") + F.col("size") - 1).alias("last"), "depth")
     return out, lost
 
 

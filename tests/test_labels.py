@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.operators import labels, search
+from tagloom.session import stored
 
 
 def walk(rows):
@@ -79,3 +80,23 @@ def test_counts_by_difference(spark, rows, seed):
     assert search.tag_count_changes(versions[0], versions[0]).collect() == []
     gone = search.updated_counts(counts, search.tag_count_changes(versions[-1], versions[0].where(F.lit(False))))
     assert gone.collect() == []
+
+
+def test_rounds_follow_the_depth_and_send_no_table_through_the_driver(spark, monkeypatch, rows):
+    # chains of 4 under one root, and a cycle of two with a tail, which never ends
+    tree = [(i, -1 if i == 0 else 0 if i % 4 == 1 else i - 1) for i in range(400)]
+    tree += [(1000, 1001), (1001, 1000), (1002, 1001)]
+    plans = []
+
+    def kept(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(labels, "stored", kept)
+    found, lost = labels.tree_labels(spark.createDataFrame(tree, "id long, pid long"))
+    assert rows(lost.select("id")) == {(1000,), (1001,), (1002,)}
+    assert {(r["id"], r["depth"]) for r in found.collect()} == {(i, 1 if i == 0 else 2 + (i - 1) % 4) for i in range(400)}
+    # depth 5 is known after three rounds, one more finds that nothing ends; 403 nodes have nine bits
+    assert sum(name == "climb" for name, _ in plans) <= 4 + 3
+    plans.append(("out", found._jdf.queryExecution().executedPlan().toString()))
+    assert not [name for name, plan in plans if "Broadcast" in plan]
