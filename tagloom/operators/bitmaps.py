@@ -1,8 +1,10 @@
-"""Tags as bitmaps: users in buckets, one bitmap per tag and bucket.
+"""Tags as bitmaps: users in buckets, one bitmap per tag and bucket that has users of it.
 
-A bucket holds ``BUCKET`` users side by side; a bitmap of a bucket says which of them have a
-tag. "Any" is their union, "all" their intersection, a composite rule both, so a question
-over tags reads some four kilobytes per tag and bucket instead of every user's list. User
+A bucket holds ``BUCKET`` users side by side; its bitmap is one whole number whose bits say
+which of them have a tag. "Any" is their union, "all" their intersection, a composite rule
+both, so a question over tags reads one short row per 64 users that stand together, instead
+of every user's list. A bucket without a user of the tag has no row: a tag of few users
+spread over all takes no more rows than it has users, however many users there are. User
 ids are whole numbers, best close together; negative ones have buckets of their own. The
 index is built by one aggregate, partial before the shuffle, and keeps the tags apart that
 a user holds once or often alike.
@@ -12,80 +14,68 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.operators.composite import Members, groups_of
 from tagloom.operators.profile import explode_profile
 from tagloom.session import BROADCAST_ROWS, broadcast_if, is_small, small_table
 
-# Users of a bucket: bits of one bitmap of Spark.
-BUCKET = 32_768
+# Users of a bucket: bits of a long.
+BUCKET = 64
+
+
+def _bucket(user: str) -> Column:
+    return F.shiftright(F.col(user).cast("bigint"), 6).alias("bucket")
+
+
+def _union(user: str) -> Column:
+    """One bit per user of a bucket."""
+    bit = F.col(user).cast("bigint").bitwiseAND(F.lit(BUCKET - 1)).cast("int")
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("users")
 
 
 def tag_bitmaps(profile: DataFrame, user: str = "user_id", tags: str = "tag_ids") -> DataFrame:
     """``(tag_id, bucket, users)`` of a profile; rows without a user are nobody's."""
     pairs = explode_profile(profile.where(F.col(user).isNotNull()), user, tags)
-    return pairs.groupBy("tag_id", F.bitmap_bucket_number(user).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(user)).alias("users")
-    )
+    return pairs.groupBy("tag_id", _bucket(user)).agg(_union(user))
 
 
 def user_bitmaps(profile: DataFrame, user: str = "user_id") -> DataFrame:
     """``(bucket, users)`` of all users, for shares and complements."""
     held = profile.where(F.col(user).isNotNull())
-    return held.groupBy(F.bitmap_bucket_number(user).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(user)).alias("users"))
+    return held.groupBy(_bucket(user)).agg(_union(user))
 
 
 def members(bitmaps: DataFrame, user: str = "user_id") -> DataFrame:
-    """The users of bitmaps with their other columns, one row each.
-
-    Bytes without a user are skipped by the eight before a byte is looked into.
-    """
+    """The users of bitmaps with their other columns, one row each."""
     rest = [c for c in bitmaps.columns if c not in ("bucket", "users")]
-    digits = F.hex("users")
-    words = F.filter(
-        F.transform(F.sequence(F.lit(0), F.lit(BUCKET // 64 - 1)), lambda i: F.struct(i.alias("i"), F.substring(digits, i * 16 + 1, F.lit(16)).alias("h"))),
-        lambda w: w["h"] != "0" * 16,
-    )
-    eight = bitmaps.select(*rest, "bucket", F.explode(words).alias("w"))
-    byte = F.transform(
-        F.sequence(F.lit(0), F.lit(7)),
-        lambda i: F.struct((F.col("w.i") * 8 + i).alias("at"), F.conv(F.substring(F.col("w.h"), i * 2 + 1, F.lit(2)), 16, 10).cast("int").alias("b")),
-    )
-    bits = F.flatten(
-        F.transform(
-            F.filter(byte, lambda x: x["b"] != 0),
-            lambda x: F.array_compact(F.array(*[F.when(x["b"].bitwiseAND(F.lit(1 << j)) != 0, x["at"] * 8 + j) for j in range(8)])),
-        )
-    )
-    # as Spark numbers them: the first bucket begins with user 1, those up to 0 count down
-    up, down = (F.col("bucket") - 1) * BUCKET + F.col("_bit") + 1, F.col("bucket") * BUCKET - F.col("_bit")
-    return eight.select(*rest, "bucket", F.explode(bits).alias("_bit")).select(*rest, F.when(F.col("bucket") > 0, up).otherwise(down).alias(user))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(BUCKET - 1)), lambda i: F.getbit("users", i) == 1)
+    return bitmaps.select(*rest, "bucket", F.explode(bits).alias("_bit")).select(*rest, (F.col("bucket") * BUCKET + F.col("_bit")).alias(user))
 
 
 def any_of(bitmaps: DataFrame, ids: Sequence[int]) -> DataFrame:
     """``(bucket, users)`` with at least one of the tags."""
-    return bitmaps.where(F.col("tag_id").isin(*ids)).groupBy("bucket").agg(F.bitmap_or_agg("users").alias("users"))
+    return bitmaps.where(F.col("tag_id").isin(*ids)).groupBy("bucket").agg(F.bit_or("users").alias("users"))
 
 
 def all_of(bitmaps: DataFrame, ids: Sequence[int]) -> DataFrame:
     """``(bucket, users)`` with all of the tags; a bucket that lacks a tag has none."""
     wanted = sorted(set(ids))
     found = bitmaps.where(F.col("tag_id").isin(*wanted)).groupBy("bucket").agg(
-        F.bitmap_and_agg("users").alias("users"), F.count("*").alias("_n")
+        F.bit_and("users").alias("users"), F.count("*").alias("_n")
     )
     return found.where(F.col("_n") == len(wanted)).select("bucket", "users")
 
 
 def count_users(bitmaps: DataFrame) -> DataFrame:
     """How many users bitmaps of different buckets hold."""
-    return bitmaps.agg(F.coalesce(F.sum(F.bitmap_count("users")), F.lit(0)).alias("users"))
+    return bitmaps.agg(F.coalesce(F.sum(F.bit_count("users")), F.lit(0)).alias("users"))
 
 
 def tag_counts(bitmaps: DataFrame, tag_type: int = 1) -> DataFrame:
     """Users per tag, in the shape of the stored counts."""
-    return bitmaps.groupBy("tag_id").agg(F.sum(F.bitmap_count("users")).alias("user_count")).select(
+    return bitmaps.groupBy("tag_id").agg(F.sum(F.bit_count("users")).alias("user_count")).select(
         "tag_id", F.lit(tag_type).alias("tag_type"), "user_count"
     )
 
@@ -104,12 +94,15 @@ def composite_bitmaps(bitmaps: DataFrame, groups: DataFrame) -> DataFrame:
     the union of a group's tags, then the intersection of a rule's groups.
 
     Rules meet the bitmaps by tag; a user with many tags or a tag with many users is no more
-    than its bits. Any number of rules and groups.
+    than its bits. Any number of rules and groups. The bits of a rule and bucket are dealt
+    once, for groups and rules alike: there is little to put together before, as a tag has
+    one row a bucket.
     """
     met = bitmaps.join(broadcast_if(is_small(groups), groups.distinct()), "tag_id")
-    either = met.groupBy("merge_tag_id", "bucket", "grp", "need").agg(F.bitmap_or_agg("users").alias("users"))
-    both = either.groupBy("merge_tag_id", "bucket", "need").agg(F.bitmap_and_agg("users").alias("users"), F.count("*").alias("_n"))
-    return both.where((F.col("_n") == F.col("need")) & (F.bitmap_count("users") > 0)).select("merge_tag_id", "bucket", "users")
+    met = met.select("merge_tag_id", "bucket", "grp", "need", "users").repartition("merge_tag_id", "bucket")
+    either = met.groupBy("merge_tag_id", "bucket", "grp", "need").agg(F.bit_or("users").alias("users"))
+    both = either.groupBy("merge_tag_id", "bucket", "need").agg(F.bit_and("users").alias("users"), F.count("*").alias("_n"))
+    return both.where((F.col("_n") == F.col("need")) & (F.col("users") != 0)).select("merge_tag_id", "bucket", "users")
 
 
 def eval_merge_bitmaps(bitmaps: DataFrame, rules: Sequence[tuple[int, Members]]) -> DataFrame:

@@ -110,3 +110,19 @@ def test_search_pages_equal_the_sorted_ones(spark, profile, tmp_path, rows):
     index = pages.write_pages(found, str(tmp_path / "s"), ["user_id"], 4)
     for number in (1, 3, 9):
         assert rows(pages.read_page(spark, index, number, 17)) == rows(search.page(found, ["user_id"], number, 17))
+
+
+def test_tags_of_few_users_far_apart_take_few_bytes(spark, rows):
+    # 300 users a tag, no two in one bucket: a bitmap of four kilobytes each would be 24 MB
+    held = spark.range(6_000).select((F.col("id") * 40_009 - 3_000_000).alias("user_id"), F.array(F.col("id") % 20, F.lit(99).cast("long")).alias("tag_ids"))
+    maps = bitmaps.tag_bitmaps(held)
+    assert sum(len(bytes(r.users)) if isinstance(r.users, (bytes, bytearray)) else 8 for r in maps.collect()) <= 16 * 6_000
+    both = bitmaps.members(bitmaps.eval_merge_bitmaps(maps, [(1, [(3, "or"), (4, "and"), (99, "and")]), (2, [(3, "and"), (4, "and")])]))
+    assert rows(both) == {(1, i * 40_009 - 3_000_000) for i in range(6_000) if i % 20 in (3, 4)}
+
+
+def test_every_bit_of_a_bucket_and_ends_of_the_numbers(spark, rows):
+    users = [*range(-130, 130), (1 << 63) - 1, -(1 << 63)]
+    maps = bitmaps.tag_bitmaps(spark.createDataFrame([(u, [7]) for u in users], "user_id long, tag_ids array<long>"))
+    assert rows(bitmaps.members(maps)) == {(7, u) for u in users}
+    assert bitmaps.tag_counts(maps).first()["user_count"] == len(users) == bitmaps.count_users(maps).first()[0]
