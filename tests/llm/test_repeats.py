@@ -97,6 +97,20 @@ def test_borders_are_common_prefixes():
             assert border[i] == (same if same < length else -1)
 
 
+def test_borders_of_few_symbols_are_read_from_packed_keys():
+    rng = random.Random(3)
+    for _ in range(60):
+        piece = [rng.randrange(1, 258 if rng.random() < 0.3 else 3) for _ in range(rng.randrange(1, 40))]
+        text = np.array([x for _ in range(rng.randrange(1, 9)) for x in piece[rng.randrange(len(piece)) :]] + [0], np.uint16)
+        length = rng.randrange(1, 40)
+        order, _ = suffix.suffix_ranks(text, length)
+        whole = suffix.common_prefixes(text[order - 1], length)
+        border, reach = suffix.short_prefixes(text, order, length)
+        assert reach == min(14, length)
+        assert border.tolist() == [x if x < reach else -1 for x in whole.tolist()]
+        assert suffix.common_prefixes(text[order - 1], length, (border, reach)).tolist() == whole.tolist()
+
+
 def test_least_owner_of_every_window():
     rng = random.Random(4)
     for _ in range(30):
