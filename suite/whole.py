@@ -83,7 +83,13 @@ def catalogue_tags(spark: SparkSession, ids: list[int] | None = None) -> DataFra
 
 def sources(spark: SparkSession, sf: str) -> None:
     """The tables that the rule texts name."""
-    lines, part = b.table(spark, sf, "lineitem"), b.table(spark, sf, "part")
+    lines = b.table(spark, sf, "lineitem")
+    # texts are made once per product, not once per line
+    part = b.table(spark, sf, "part").select(
+        "p_partkey",
+        b.pick(b.texts(seeds.CATEGORY), F.col("p_size") % 11).alias("category"),
+        b.pick(b.texts(seeds.BRAND), F.regexp_extract("p_brand", r"(\d+)", 1).cast("int") % 6).alias("brand"),
+    )
     full, off = units(F.col("l_extendedprice")), units(F.col("l_discount")) * (1 + F.col("l_orderkey") % 9)
     flag = F.col("l_returnflag")
     detailed = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
@@ -91,8 +97,8 @@ def sources(spark: SparkSession, sf: str) -> None:
         (full * 100 / F.lit(10000.0)).alias("receivable"),
         (full * (100 - off) / F.lit(10000.0)).alias("paid"),
         F.when(flag == "A", "折扣券").when(flag == "N", "活动券").when(flag == "R", "积分换购").alias("coupon_type"),
-        b.pick(b.texts(seeds.CATEGORY), F.col("p_size") % 11).alias("category"),
-        b.pick(b.texts(seeds.BRAND), F.regexp_extract("p_brand", r"(\d+)", 1).cast("int") % 6).alias("brand"),
+        "category",
+        "brand",
     )
     logs = b.logs(spark, sf)
     named = {

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -152,12 +154,17 @@ def rule_value(rule: Column, name: str) -> Column:
 def device_type(user_agent: Column) -> Column:
     """Device family named in a user agent. Phones are tested before desktops,
     because their agents also carry a desktop word."""
+    agent = F.lower(user_agent)
+
+    def names(*words: str) -> Column:
+        return reduce(or_, [agent.contains(w) for w in words])
+
     return (
-        F.when(user_agent.rlike("(?i)android"), "Android")
-        .when(user_agent.rlike("(?i)iphone|ipad|ios"), "IOS")
-        .when(user_agent.rlike("(?i)windows"), "Windows")
-        .when(user_agent.rlike("(?i)mac ?os|macintosh"), "Mac")
-        .when(user_agent.rlike("(?i)linux"), "Linux")
+        F.when(names("android"), "Android")
+        .when(names("iphone", "ipad", "ios"), "IOS")
+        .when(names("windows"), "Windows")
+        .when(names("mac os", "macos", "macintosh"), "Mac")
+        .when(names("linux"), "Linux")
     )
 
 

@@ -149,13 +149,25 @@ def _activity(rows: Rows, time: str, url: str) -> Parts:
     return aggregates, share
 
 
+def _ballot(colour: str, kind: str) -> Column:
+    """What a good votes for: 1 male, 2 female, null if its colour or kind is not known."""
+    colour, kind = F.col(colour).cast("string"), F.col(kind).cast("string")
+    known = colour.isin([t for t, code in seeds.COLOUR_CODES.items() if code]) & kind.isin(
+        [t for t, code in seeds.PRODUCT_TYPES.items() if code]
+    )
+    female = colour.isin(*seeds.FEMALE_COLOURS) | kind.isin(*seeds.FEMALE_TYPES)
+    return F.when(known, F.when(female, 2).otherwise(1))
+
+
+def _ballot_name(colour: str, kind: str) -> str:
+    return f"_ballot_{colour}_{kind}"
+
+
 def _vote(rows: Rows, colour: str, kind: str) -> Parts:
     """Rule 1 or 2 if at least 0.6 of the goods known by colour and kind vote for it."""
-    known = (score.lookup(F.col(colour), seeds.COLOUR_CODES) != 0) & (score.lookup(F.col(kind), seeds.PRODUCT_TYPES) != 0)
-    female = F.coalesce(F.col(colour).isin(*seeds.FEMALE_COLOURS), F.lit(False)) | F.coalesce(
-        F.col(kind).isin(*seeds.FEMALE_TYPES), F.lit(False)
-    )
-    aggregates = {"male": F.count(F.when(known & ~female, 1)), "female": F.count(F.when(known & female, 1))}
+    name = _ballot_name(colour, kind)
+    ballot = F.col(name) if name in rows.df.columns else _ballot(colour, kind)
+    aggregates = {"male": F.count(F.when(ballot == 1, 1)), "female": F.count(F.when(ballot == 2, 1))}
 
     def majority(male: Column, female: Column) -> Column:
         return F.when(F.try_divide(male, male + female) >= 0.6, "1").when(F.try_divide(female, male + female) >= 0.6, "2")
@@ -262,7 +274,8 @@ def _one_plan(group: tuple, members: list) -> SourcePlan:
 def read_plan(spark: SparkSession, plan: SourcePlan) -> DataFrame:
     """The rows of a plan: one source, or two joined. The user column leads.
 
-    Rows without a user are nobody's and go before anything is joined or summed up.
+    Rows without a user are nobody's and go before anything is joined or summed up. Goods
+    vote before the join, which then moves a number instead of two texts.
     """
     left = read_source(spark, plan.specs[0])
     if len(plan.specs) == 1:
@@ -271,7 +284,9 @@ def read_plan(spark: SparkSession, plan: SourcePlan) -> DataFrame:
     right = read_source(spark, plan.specs[1]).select(*plan.specs[1].fields).where(F.col(plan.key).isNotNull())
     right = right.withColumnRenamed(other, "_link")
     names = [f for f in plan.specs[0].fields if f not in right.columns]
-    both = left.select(*[F.col(f) for f in names], F.col(link).alias("_left")).join(right, F.col("_left") == F.col("_link"))
+    votes = {t.arguments for t in plan.tags if t.measure == "vote" and set(t.arguments) <= set(names)}
+    ballots = [_ballot(*a).alias(_ballot_name(*a)) for a in sorted(votes)]
+    both = left.select(*[F.col(f) for f in names], *ballots, F.col(link).alias("_left")).join(right, F.col("_left") == F.col("_link"))
     return both.drop("_left", "_link")
 
 

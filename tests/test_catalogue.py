@@ -122,3 +122,21 @@ def test_pivot_of_lists_is_the_pivot_of_rows(spark, rows):
     out = profile.pivot_lists(df, tags, [8, 14])
     assert rows(out) == want == rows(profile.pivot_profile(profile.explode_profile(df), tags, [8, 14]))
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_stay_below_the_joins(spark, rows):
+    """A good votes before it is joined to its order; category and brand are made once per product."""
+    goods = [("o1", "白色", "冰吧"), ("o1", "黑色", "冰吧"), ("o1", None, "冰吧"), ("o2", "白色", "料理机"), ("o2", "x", "料理机"), ("o3", "黑色", None)]
+    spark.createDataFrame(goods, "g string, colour string, kind string").createOrReplaceTempView("voters")
+    spark.createDataFrame([("o1", 7), ("o2", 8), ("o3", 9)], "o string, member long").createOrReplaceTempView("voters_orders")
+    rule = text("voters#voters_orders", "g,colour,kind#member,o", "vote(colour,kind)")
+    tags = [(10, "vote", 4, 1, None, 3, rule), (11, "male", 5, 10, 1, 3, "1"), (12, "female", 5, 10, 2, 3, "2")]
+    table = spark.createDataFrame(tags, TAGS)
+    # member 7 has a vote for either side, 8 one for rule 2, 9 none
+    assert rows(catalogue.run_catalogue(spark, table, "2020-01-01")) == {(8, 12)}
+    (plan,) = catalogue.compile_catalogue(table)
+    above = catalogue.run_plan(spark, plan, "2020-01-01")._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "_ballot" in above and "colour#" not in above
+    whole.sources(spark, SF)
+    lines = spark.table("catalogue_lines")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" in lines and "regexp_extract" not in lines.split("Join")[0]
